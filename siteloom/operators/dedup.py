@@ -33,7 +33,8 @@ from siteloom.session import materialise
 
 # Fixed value: the similarity from which a page is a duplicate.
 THRESHOLD = 0.9
-BLOCK = 16
+BLOCK = 32
+MAX_BLOCK = 256
 
 DECISION = "page_id long, orig_id long, score double"
 
@@ -125,7 +126,7 @@ def _compare(later: DataFrame, kept: DataFrame, similarity: Similarity, threshol
     """Verified pairs ``(page_id, orig_id, score, key)`` of later pages with kept ones of their key."""
     least = similarity.length_ratio(threshold)
     reach = F.array(F.lit(0)) if least <= 0 else F.array(F.lit(-1), F.lit(0), F.lit(1))
-    hot = materialise(hot_keys(later, "key", min_rows=hot_rows))
+    hot = hot_keys(later, "key", min_rows=hot_rows)
     left = salted(later, hot, "key", [F.col("page_id")])
     right = repeated(kept, hot, "key").select(
         "key",
@@ -159,7 +160,7 @@ def _compare(later: DataFrame, kept: DataFrame, similarity: Similarity, threshol
 def _settle_blocks(pairs: DataFrame) -> DataFrame:
     """Decisions within the blocks: a page with a kept earlier partner is a duplicate of the first such."""
 
-    # At most BLOCK pages of one key, ids only.
+    # The pairs within one block of one key, ids only.
     def settle(rows: pd.DataFrame) -> pd.DataFrame:
         found, duplicates = [], set()
         ordered = rows.sort_values(["page_id", "orig_new", "orig_id"])
@@ -181,53 +182,28 @@ def _first_match(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("page_id").agg(first.alias("_m")).select("page_id", "_m.orig_id", "_m.score")
 
 
-def _decide_by_signature(members: DataFrame, similarity: Similarity, threshold: float, block: int, hot_rows: int) -> DataFrame:
-    """Rounds for pages with one key each: blocks of the first pages per key."""
+def _decide(members: DataFrame, similarity: Similarity, threshold: float, block: int, hot_rows: int) -> DataFrame:
+    """Rounds over blocks of the first undecided pages of each signature."""
     # With this filter Spark keeps only the first rows per key before it shuffles.
     place = F.row_number().over(Window.partitionBy("key").orderBy("is_new", "page_id"))
     decisions = []
     undecided = members.select("page_id", "key", "is_new")
     while True:
-        chosen = materialise(undecided.withColumn("_place", place).where(F.col("_place") <= block).select("page_id"))
-        heads = materialise(members.join(chosen, "page_id", "left_semi"))
+        chosen = undecided.withColumn("_place", place).where(F.col("_place") <= block)
+        heads = materialise(members.join(chosen.select("page_id"), "page_id", "left_semi"))
         settled = materialise(_settle_blocks(_compare(heads, heads, similarity, threshold, hot_rows)))
         decisions.append(settled)
-        rest = materialise(undecided.join(chosen, "page_id", "left_anti"))
+        rest = undecided.join(heads.select("page_id"), "page_id", "left_anti")
         if rest.isEmpty():
-            return reduce(DataFrame.unionByName, decisions)
+            break
         kept = heads.join(settled, "page_id", "left_anti")
         later = members.join(rest.select("page_id"), "page_id", "left_semi")
         matched = materialise(_first_match(_compare(later, kept, similarity, threshold, hot_rows)))
         decisions.append(matched)
         undecided = materialise(rest.join(matched, "page_id", "left_anti"))
         if undecided.isEmpty():
-            return reduce(DataFrame.unionByName, decisions)
-
-
-def _decide_by_band(members: DataFrame, similarity: Similarity, threshold: float, hot_rows: int) -> DataFrame:
-    """Rounds for pages with several keys: a page that is first in all its keys is kept."""
-    decisions = []
-    undecided = members
-    while not undecided.isEmpty():
-        firsts = undecided.groupBy("key").agg(F.min(F.struct("is_new", "page_id")).alias("_first"))
-        is_first = F.col("_first.page_id") == F.col("page_id")
-        heads = materialise(
-            undecided.select("page_id", "key", "is_new")
-            .join(firsts, "key")
-            .groupBy("page_id")
-            # A stored page is kept in any case.
-            .agg(F.bool_and(is_first | ~F.col("is_new")).alias("_head"))
-            .where("_head")
-            .select("page_id")
-        )
-        kept = undecided.join(heads, "page_id", "left_semi")
-        later = undecided.join(heads, "page_id", "left_anti")
-        pairs = _compare(later, kept, similarity, threshold, hot_rows)
-        matched = materialise(_first_match(pairs))
-        decisions.append(matched)
-        undecided = materialise(later.join(matched, "page_id", "left_anti"))
-    if not decisions:
-        return members.sparkSession.createDataFrame([], DECISION)
+            break
+        block = min(2 * block, MAX_BLOCK)
     return reduce(DataFrame.unionByName, decisions)
 
 
@@ -239,7 +215,6 @@ def near_duplicates(
     history: DataFrame | None = None,
     similarity: Similarity | None = None,
     threshold: float = THRESHOLD,
-    match: str = "full",
     block: int = BLOCK,
     hot_rows: int = MIN_ROWS,
     page_id: str = "page_id",
@@ -285,7 +260,7 @@ def near_duplicates(
         F.min_by("page_id", F.struct("is_new", "page_id")).alias("rep_id"), F.count("*").alias("_n")
     )
     shared = groups.where(F.col("_n") > 1).select("_copy", "rep_id")
-    hot = materialise(hot_keys(sigs, "_copy", min_rows=hot_rows))
+    hot = hot_keys(sigs, "_copy", min_rows=hot_rows)
     copies = materialise(
         salted(sigs.where("is_new").select("page_id", "_copy"), hot, "_copy", [F.col("page_id")])
         .join(repeated(shared, hot, "_copy"), ["_copy", "_salt"])
@@ -294,7 +269,7 @@ def near_duplicates(
     )
 
     # 2. Pages whose signature another page shares, with their texts.
-    keyed = signature_keys(sigs.join(copies, "page_id", "left_anti"), match)
+    keyed = signature_keys(sigs.join(copies, "page_id", "left_anti"))
     contested_keys = keyed.groupBy("key").agg(F.count("*").alias("_n"), F.bool_or("is_new").alias("_any"))
     contested = keyed.join(contested_keys.where((F.col("_n") > 1) & F.col("_any")), "key", "left_semi")
     slim = contested.select("page_id", "key", "is_new", "n_chars")
@@ -305,10 +280,7 @@ def near_duplicates(
     )
 
     # 3. Decide.
-    if match == "full":
-        decided = _decide_by_signature(members, similarity, threshold, block, hot_rows)
-    else:
-        decided = _decide_by_band(members, similarity, threshold, hot_rows)
+    decided = _decide(members, similarity, threshold, block, hot_rows)
     followed = copies.join(decided.withColumnRenamed("page_id", "rep_id"), "rep_id", "left").select(
         "page_id",
         F.coalesce("orig_id", "rep_id").alias("orig_id"),

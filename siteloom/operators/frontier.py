@@ -32,6 +32,7 @@ def bfs(
     *,
     max_level: int | None = MAX_LEVEL,
     max_pages: int | None = MAX_PAGES,
+    host_links: DataFrame | None = None,
     hot_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """``(url, level)`` of all URLs visited from the seeds, level by level.
@@ -40,13 +41,16 @@ def bfs(
     A level that would take the total above ``max_pages`` keeps its first URLs
     in text order and the rest is not visited; the levels go on from there.
 
+    ``host_links(host, dst)`` are followed once, when a host is first reached:
+    the URLs of its sitemap.
+
     The links are written once, bucketed by source, so that a level shuffles
     only itself. Sources with very many links are salted, so that no task has to
     expand such a hub alone. Every level is written out.
     """
     spark = links.sparkSession
     edges = materialise(links.select("src", "dst").where(F.col("dst").isNotNull()))
-    hubs = materialise(hot_keys(edges, "src", min_rows=hot_rows))
+    hubs = hot_keys(edges, "src", min_rows=hot_rows)
     spread, table = bucketed(salted(edges, hubs, "src", [F.col("dst")]), ["src", "_salt"])
     frontier = materialise(seeds.select("url").distinct())
     levels: list[DataFrame] = []
@@ -66,8 +70,12 @@ def bfs(
         if max_level is not None and level == max_level:
             break
         sources = repeated(frontier.withColumnRenamed("url", "src"), hubs, "src")
-        reached = sources.join(spread, ["src", "_salt"]).select(F.col("dst").alias("url")).distinct()
-        frontier = materialise(reached.join(visited.select("url"), "url", "left_anti"))
+        reached = sources.join(spread, ["src", "_salt"]).select(F.col("dst").alias("url"))
+        if host_links is not None:
+            hosts = visited.groupBy(urls.authority("url").alias("host")).agg(F.min("level").alias("first"))
+            new = hosts.where(F.col("first") == level - 1).select("host")
+            reached = reached.unionByName(new.join(host_links, "host").select(F.col("dst").alias("url")))
+        frontier = materialise(reached.distinct().join(visited.select("url"), "url", "left_anti"))
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     if not levels:
         return frontier.limit(0).withColumn("level", F.lit(0))

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteloom.functions.text import shingles
-from siteloom.session import materialise
 
 # The minimum over no units, the band mask, the number of vocabulary units.
 SENTINEL = 2**31 - 1
@@ -131,11 +130,9 @@ def dense(
     A text without known units gets the sentinel in every place.
     """
     count = len(scheme.functions)
-    hashed = _sized(
-        materialise(
-            vocab.select("gram", *[hash_of(F.col("idx")).cast("long").alias(f"_h{k}") for k, hash_of in enumerate(scheme.functions)])
-        )
-    )
+    # Hashed here once per vocabulary unit, not once per unit of every text.
+    hashes = [hash_of(F.col("idx")).cast("long").alias(f"_h{k}") for k, hash_of in enumerate(scheme.functions)]
+    hashed = _sized(vocab.select("gram", *hashes))
     grams = docs.select(doc_id, *carry, F.explode_outer(scheme.shingle(F.col(text))).alias("gram"))
     smallest = grams.join(hashed, "gram", "left").groupBy(doc_id).agg(
         *[F.max(name).alias(name) for name in carry],

@@ -10,18 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siteloom.session import materialise
+
 HOT_SHARE = 0.001
 MIN_ROWS = 200_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = MIN_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = MIN_ROWS) -> DataFrame | None:
     """Keys that hold more than ``share`` of the rows, with the number of salts each needs.
 
     At most ``1 / share`` keys can qualify, so the result is safe to broadcast
-    at any data size.
+    at any data size. None if the table is too small for a hot key.
     """
-    limit = max(int(df.count() * share), min_rows)
-    return (
+    rows = df.count()
+    if rows <= min_rows:
+        return None
+    limit = max(int(rows * share), min_rows)
+    return materialise(
         df.groupBy(F.col(key).alias("_hot"))
         .agg(F.count("*").alias("_rows"))
         .where(F.col("_rows") > limit)
@@ -29,14 +34,18 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
     )
 
 
-def salted(df: DataFrame, hot: DataFrame, key: str, by: list[Column]) -> DataFrame:
+def salted(df: DataFrame, hot: DataFrame | None, key: str, by: list[Column]) -> DataFrame:
     """Add ``_salt``: 0 for ordinary keys, a hash of ``by`` for hot ones."""
+    if hot is None:
+        return df.withColumn("_salt", F.lit(0))
     salt = F.pmod(F.xxhash64(*by), F.coalesce("_salts", F.lit(1))).cast("int")
     return _with_salts(df, hot, key).withColumn("_salt", salt).drop("_hot", "_salts")
 
 
-def repeated(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+def repeated(df: DataFrame, hot: DataFrame | None, key: str) -> DataFrame:
     """Repeat each row once per salt of its key."""
+    if hot is None:
+        return df.withColumn("_salt", F.lit(0))
     salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     return _with_salts(df, hot, key).withColumn("_salt", F.explode(salts)).drop("_hot", "_salts")
 
