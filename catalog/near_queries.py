@@ -16,17 +16,18 @@ HISTORY = 3  # every third document is a stored one
 
 GRAMS = """grams AS (
   SELECT doc_id, substr(text, i, 3) AS gram FROM (SELECT doc_id, text, unnest(range(1, length(text) - 1)) AS i FROM documents))"""
-TOP = f"""{GRAMS}, vocab AS (
+TOP = f"""{GRAMS}, vocab AS MATERIALIZED (
   SELECT gram, (row_number() OVER (ORDER BY n DESC, gram) - 1)::BIGINT AS idx, n
   FROM (SELECT gram, count(*) AS n FROM grams GROUP BY 1 ORDER BY n DESC, gram LIMIT {VOCAB}))"""
 ENCODED = f"""{TOP}, encoded AS (SELECT DISTINCT doc_id, idx FROM grams JOIN vocab USING (gram))"""
 PARAMETERS = minhash.hash_parameters(32)
-DENSE = f"""{ENCODED}, dense AS (
-  SELECT d.doc_id, {', '.join(f"coalesce(min(({a} * idx + {b}) % {minhash.PRIME}), {minhash.SENTINEL})::BIGINT AS h{k}" for k, (a, b) in enumerate(PARAMETERS))}
-  FROM documents d LEFT JOIN encoded e ON e.doc_id = d.doc_id GROUP BY 1)"""
+HASHED = ", ".join(f"({a} * idx + {b}) % {minhash.PRIME} AS h{k}" for k, (a, b) in enumerate(PARAMETERS))
+DENSE = f"""{TOP}, hashed AS MATERIALIZED (SELECT gram, {HASHED} FROM vocab), dense AS (
+  SELECT d.doc_id, {', '.join(f"coalesce(min(h{k}), {minhash.SENTINEL})::BIGINT AS h{k}" for k in range(32))}
+  FROM documents d LEFT JOIN (SELECT doc_id, hashed.* FROM (SELECT DISTINCT doc_id, gram FROM grams) JOIN hashed USING (gram)) e ON e.doc_id = d.doc_id GROUP BY 1)"""
 BANDS = ", ".join("xor(" + " + ".join(f"h{k}" for k in range(4 * band, 4 * band + 4)) + ", 6)" for band in range(8))
 SIGNED = f"""{DENSE}, signed AS (
-  SELECT doc_id, h0 < {minhash.SENTINEL} AS has_units, [{BANDS}] AS bands FROM dense), sigs AS (
+  SELECT doc_id, h0 < {minhash.SENTINEL} AS has_units, [{BANDS}] AS bands FROM dense), sigs AS MATERIALIZED (
   SELECT doc_id, has_units, bands, array_to_string(bands, '-') AS sig FROM signed)"""
 
 
@@ -101,23 +102,25 @@ def _duplicates(spark, sf, **options):
 def _verified(score: str, is_new: str) -> str:
     """All verified pairs within a signature by brute force, then the greedy pass in page order."""
     return f"""WITH RECURSIVE {SIGNED}, base AS (
-  SELECT d.doc_id AS id, lower(d.text) AS t, s.sig, s.has_units, {is_new} AS is_new FROM documents d JOIN sigs s USING (doc_id)), placed AS (
-  SELECT *, row_number() OVER (PARTITION BY sig ORDER BY is_new, id) AS pos FROM base), pairs AS (
-  SELECT b.id AS later, b.sig, list({{'pos': a.pos, 'id': a.id, 'score': {score}}} ORDER BY a.pos) AS partners
-  FROM placed b JOIN placed a ON a.sig = b.sig AND a.pos < b.pos
-  WHERE b.is_new AND (a.t = b.t OR (b.has_units AND {score} >= 0.9)) GROUP BY ALL), walk AS (
+  SELECT d.doc_id AS id, lower(d.text) AS t, s.sig, s.has_units, {is_new} AS is_new,
+    CASE WHEN count(*) OVER (PARTITION BY s.sig) > 1 THEN
+      list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) ELSE [] END AS g
+  FROM documents d JOIN sigs s USING (doc_id)), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY sig ORDER BY is_new, id) AS pos FROM base), scored AS MATERIALIZED (
+  SELECT b.id AS later, a.pos, a.id, {score} AS score FROM placed b JOIN placed a ON a.sig = b.sig AND a.pos < b.pos
+  WHERE b.is_new AND (b.has_units OR a.t = b.t)), pairs AS MATERIALIZED (
+  SELECT later, list({{'pos': pos, 'id': id, 'score': score}} ORDER BY pos) AS partners FROM scored WHERE score >= 0.9 GROUP BY later), walk AS (
   SELECT sig, 0::BIGINT AS pos, []::BIGINT[] AS kept, NULL::BIGINT AS id, NULL::BIGINT AS orig, NULL::DOUBLE AS score FROM (SELECT DISTINCT sig FROM placed)
   UNION ALL
   SELECT sig, pos, CASE WHEN hit IS NULL THEN list_append(kept, id) ELSE kept END, id, hit.id, hit.score FROM (
-    SELECT p.sig, p.pos, w.kept, p.id, list_filter(coalesce(q.partners, []), x -> list_contains(w.kept, x.id))[1] AS hit
+    SELECT p.sig, p.pos, w.kept, p.id, list_filter(coalesce(q.partners, []), lambda x: list_contains(w.kept, x.id))[1] AS hit
     FROM walk w JOIN placed p ON p.sig = w.sig AND p.pos = w.pos + 1 LEFT JOIN pairs q ON q.later = p.id)), duplicates AS (
   SELECT id AS page_id, orig AS orig_id, score FROM walk WHERE orig IS NOT NULL)"""
 
 
 # Levenshtein over whole texts is quadratic in their length, so the SQL check uses shingle sets.
-JACCARD = """(CASE WHEN a.t = b.t THEN 1.0 ELSE
-    len(list_intersect(list_distinct(list_transform(range(1, length(a.t) - 1), i -> substr(a.t, i, 3))), list_distinct(list_transform(range(1, length(b.t) - 1), i -> substr(b.t, i, 3)))))::DOUBLE
-    / len(list_distinct(list_concat(list_transform(range(1, length(a.t) - 1), i -> substr(a.t, i, 3)), list_transform(range(1, length(b.t) - 1), i -> substr(b.t, i, 3))))) END)"""
+JACCARD = """(CASE WHEN a.t = b.t OR (a.g = [] AND b.g = []) THEN 1.0
+    ELSE len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) END)"""
 FOUND = _verified(JACCARD, "true")
 
 

@@ -133,7 +133,8 @@ def dense(
     # Hashed here once per vocabulary unit, not once per unit of every text.
     hashes = [hash_of(F.col("idx")).cast("long").alias(f"_h{k}") for k, hash_of in enumerate(scheme.functions)]
     hashed = _sized(vocab.select("gram", *hashes))
-    grams = docs.select(doc_id, *carry, F.explode_outer(scheme.shingle(F.col(text))).alias("gram"))
+    once = F.array_distinct(scheme.shingle(F.col(text)))
+    grams = docs.select(doc_id, *carry, F.explode_outer(once).alias("gram"))
     smallest = grams.join(hashed, "gram", "left").groupBy(doc_id).agg(
         *[F.max(name).alias(name) for name in carry],
         *[F.min(f"_h{k}").alias(f"_h{k}") for k in range(count)],

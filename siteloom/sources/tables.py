@@ -136,7 +136,8 @@ def resolved_images(images: DataFrame, page: DataFrame) -> DataFrame:
 
     Needs ``page_url, filename, content_type, path``.
     """
-    found = images.join(_page_ids(page, "page_url", "page_id"), "page_url")
+    given = images.select("page_url", "filename", "content_type", "path")
+    found = given.join(_page_ids(page, "page_url", "page_id"), "page_url")
     identified = found.withColumns({"id": F.xxhash64("page_id", "path"), "accessed_time": _now()})
     return identified.select(*schema("image").names)
 
@@ -146,8 +147,9 @@ def resolved_files(files: DataFrame, page: DataFrame) -> tuple[DataFrame, DataFr
 
     Needs ``url, data_type_code, path``.
     """
-    found = files.join(_page_ids(page, "url", "page_id"), "url").withColumn("id", F.xxhash64("page_id", "path"))
-    rejected = files.join(page.select("url"), "url", "left_anti")
+    given = files.select("url", "data_type_code", "path")
+    found = given.join(_page_ids(page, "url", "page_id"), "url").withColumn("id", F.xxhash64("page_id", "path"))
+    rejected = given.join(page.select("url"), "url", "left_anti")
     return found.select(*schema("page_data").names), rejected
 
 
