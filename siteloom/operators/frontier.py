@@ -51,7 +51,8 @@ def bfs(
     spark = links.sparkSession
     edges = materialise(links.select("src", "dst").where(F.col("dst").isNotNull()))
     hubs = hot_keys(edges, "src", min_rows=hot_rows)
-    spread, table = bucketed(salted(edges, hubs, "src", [F.col("dst")]), ["src", "_salt"])
+    keys = ["src"] if hubs is None else ["src", "_salt"]
+    spread, table = bucketed(salted(edges, hubs, "src", [F.col("dst")]).select(*keys, "dst"), keys)
     frontier = materialise(seeds.select("url").distinct())
     levels: list[DataFrame] = []
     total, level = 0, 0
@@ -69,8 +70,8 @@ def bfs(
         level += 1
         if max_level is not None and level == max_level:
             break
-        sources = repeated(frontier.withColumnRenamed("url", "src"), hubs, "src")
-        reached = sources.join(spread, ["src", "_salt"]).select(F.col("dst").alias("url"))
+        sources = repeated(frontier.withColumnRenamed("url", "src"), hubs, "src").select(*keys)
+        reached = sources.join(spread, keys).select(F.col("dst").alias("url"))
         if host_links is not None:
             hosts = visited.groupBy(urls.authority("url").alias("host")).agg(F.min("level").alias("first"))
             new = hosts.where(F.col("first") == level - 1).select("host")
