@@ -25,7 +25,7 @@ def characters(text: Column | str) -> Column:
 
 
 def jaccard(left: Column, right: Column) -> Column:
-    """Size of the intersection over size of the union of two arrays; 1.0 if both are empty."""
-    union = F.size(F.array_union(left, right))
+    """Size of the intersection over size of the union of two sets, as arrays; 1.0 if both are empty."""
     shared = F.size(F.array_intersect(left, right))
-    return F.when(union == 0, F.lit(1.0)).otherwise(shared / union)
+    total = F.size(left) + F.size(right)
+    return F.when(total == 0, F.lit(1.0)).otherwise(shared / (total - shared))

@@ -41,42 +41,46 @@ DECISION = "page_id long, orig_id long, score double"
 
 @dataclass(frozen=True)
 class Similarity:
-    """A similarity of two lower-cased texts (later, earlier) as a Column.
+    """A similarity of two pages.
 
-    ``length_ratio`` gives, for a threshold, the least shorter-to-longer length
-    ratio that can reach it (0 if lengths say nothing).
+    ``prepare`` turns a lower-cased text into what is compared, once per page.
+    ``score`` takes (later, earlier, threshold) and may give NULL for pairs that
+    cannot reach the threshold. ``length_ratio`` gives, for a threshold, the
+    least shorter-to-longer length ratio that can reach it (0 if lengths say nothing).
     """
 
-    score: Callable[[Column, Column], Column]
+    score: Callable[[Column, Column, float], Column]
     length_ratio: Callable[[float], float]
-    in_python: bool = False
+    prepare: Callable[[Column], Column] = lambda text: text
 
 
 def matching_blocks(autojunk: bool = True) -> Similarity:
     """Ratcliff-Obershelp ratio; ``autojunk`` as in the standard library's matcher."""
 
     # Nested, so that the function travels to the workers by value.
-    def score(later: Column, earlier: Column) -> Column:
+    def score(later: Column, earlier: Column, threshold: float = 0.0) -> Column:
         @F.pandas_udf("double")
         def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
             from difflib import SequenceMatcher
 
+            def one(a: str, b: str) -> float | None:
+                matcher = SequenceMatcher(None, a, b, autojunk)
+                # The quick ratio is an upper bound, from the letters alone.
+                return matcher.ratio() if matcher.quick_ratio() >= threshold else None
+
             for a_texts, b_texts in batches:
-                yield pd.Series(
-                    [SequenceMatcher(None, a, b, autojunk).ratio() for a, b in zip(a_texts, b_texts)],
-                    dtype="float64",
-                )
+                yield pd.Series([one(a, b) for a, b in zip(a_texts, b_texts)], dtype="float64")
 
         return ratio(later, earlier)
 
     # At most all of the shorter text matches: 2 * short / (short + long) >= t.
-    return Similarity(score, lambda t: t / (2 - t), in_python=True)
+    return Similarity(score, lambda t: t / (2 - t))
 
 
 def levenshtein_ratio() -> Similarity:
     """1 - edits / longer length, on the JVM side."""
 
-    def score(later: Column, earlier: Column) -> Column:
+    def score(later: Column, earlier: Column, threshold: float = 0.0) -> Column:
         longest = F.greatest(F.length(later), F.length(earlier))
         return F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(later, earlier) / longest)
 
@@ -85,7 +89,11 @@ def levenshtein_ratio() -> Similarity:
 
 def shingle_jaccard(shingle: Callable[[Column], Column] = shingles) -> Similarity:
     """Jaccard similarity of the sets of shingles, on the JVM side."""
-    return Similarity(lambda later, earlier: jaccard(shingle(later), shingle(earlier)), lambda t: 0.0)
+    return Similarity(
+        lambda later, earlier, threshold=0.0: jaccard(later, earlier),
+        lambda t: 0.0,
+        lambda text: F.array_distinct(shingle(text)),
+    )
 
 
 def signature_keys(sigs: DataFrame, match: str = "full") -> DataFrame:
@@ -143,16 +151,16 @@ def _compare(later: DataFrame, kept: DataFrame, similarity: Similarity, threshol
     # The same bound as the bands, without their slack; a hair below, as it is computed in doubles.
     possible = short >= long * (least - 1e-9)
     pairs = left.where("is_new").join(right, ["key", "_salt", "band"]).where(comes_first & possible)
-    if similarity.in_python:
-        # The few pairs that are left are the costly ones: deal them to all tasks.
-        tasks = int(later.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        pairs = pairs.repartition(tasks, "page_id", "orig_id")
-    scored = pairs.select(
+    # The few pairs that are left are the costly ones: deal them to all tasks. The
+    # score comes out of a generator, so that the filter on it does not pass the
+    # exchange and score every pair a second time.
+    tasks = int(later.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scored = pairs.repartition(tasks, "page_id", "orig_id").select(
         "page_id",
         "orig_id",
         "key",
         F.col("_orig_new").alias("orig_new"),
-        similarity.score(F.col("text"), F.col("_orig_text")).alias("score"),
+        F.explode(F.array(similarity.score(F.col("text"), F.col("_orig_text"), threshold))).alias("score"),
     )
     return scored.where(F.col("score") >= threshold)
 
@@ -274,7 +282,7 @@ def near_duplicates(
     contested = keyed.join(contested_keys.where((F.col("_n") > 1) & F.col("_any")), "key", "left_semi")
     slim = contested.select("page_id", "key", "is_new", "n_chars")
     members = materialise(
-        slim.join(everything.select("page_id", F.lower("text").alias("text")), "page_id").withColumn(
+        slim.join(everything.select("page_id", similarity.prepare(F.lower("text")).alias("text")), "page_id").withColumn(
             "band", _length_band(F.col("n_chars"), similarity.length_ratio(threshold))
         )
     )
