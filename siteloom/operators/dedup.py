@@ -263,17 +263,20 @@ def near_duplicates(
         .drop("dense", "_new", "_print1", "_print2")
     )
 
-    # 1. Exact copies: (page_id, rep_id).
-    groups = sigs.groupBy("_copy").agg(
+    # 1. Exact copies: (page_id, rep_id, is_new). New pages fold into the first new one, which
+    # still meets all stored pages; texts without units meet nothing else, so they fold
+    # into stored ones as well.
+    sided = sigs.select("page_id", "is_new", "_copy", (F.col("has_units") & F.col("is_new")).alias("_side"))
+    groups = sided.groupBy("_copy", "_side").agg(
         F.min_by("page_id", F.struct("is_new", "page_id")).alias("rep_id"), F.count("*").alias("_n")
     )
-    shared = groups.where(F.col("_n") > 1).select("_copy", "rep_id")
+    shared = groups.where(F.col("_n") > 1).select("_copy", "_side", "rep_id")
     hot = hot_keys(sigs, "_copy", min_rows=hot_rows)
     copies = materialise(
-        salted(sigs.where("is_new").select("page_id", "_copy"), hot, "_copy", [F.col("page_id")])
-        .join(repeated(shared, hot, "_copy"), ["_copy", "_salt"])
+        salted(sided, hot, "_copy", [F.col("page_id")])
+        .join(repeated(shared, hot, "_copy"), ["_copy", "_side", "_salt"])
         .where(F.col("page_id") != F.col("rep_id"))
-        .select("page_id", "rep_id")
+        .select("page_id", "rep_id", "is_new")
     )
 
     # 2. Pages whose signature another page shares, with their texts.
@@ -289,7 +292,7 @@ def near_duplicates(
 
     # 3. Decide.
     decided = _decide(members, similarity, threshold, block, hot_rows)
-    followed = copies.join(decided.withColumnRenamed("page_id", "rep_id"), "rep_id", "left").select(
+    followed = copies.where("is_new").join(decided.withColumnRenamed("page_id", "rep_id"), "rep_id", "left").select(
         "page_id",
         F.coalesce("orig_id", "rep_id").alias("orig_id"),
         F.coalesce("score", F.lit(1.0)).alias("score"),

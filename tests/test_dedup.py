@@ -155,6 +155,16 @@ def test_batch_against_history(world):
     assert decisions(found) == greedy(texts, sigs, blocks, 0.9, stored, known)
 
 
+def test_new_copy_of_a_stored_page_belongs_to_the_first_similar_stored_page(spark, world):
+    _, _, vocab, scheme, _, _ = world
+    text = "the quick brown fox jumps over the lazy dog near the river bank"
+    rows = [(5, text + "!"), (6, text), (7, text), (1, text), (2, text.upper()), (3, text), (8, "###"), (4, "###")]
+    pages = spark.createDataFrame(rows, "page_id long, text string")
+    found = dedup.dedup_batch(pages.where("page_id < 5"), pages.where("page_id >= 5"), vocab, scheme).collect()
+    assert {(row.page_id, row.orig_id) for row in found} == {(1, 5), (3, 5), (4, 8)}
+    assert {row.score for row in found if row.page_id == 4} == {1.0}
+
+
 def test_levenshtein_option(world):
     def distance(a, b):
         row = list(range(len(b) + 1))
