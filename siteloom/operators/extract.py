@@ -25,11 +25,11 @@ def _base_tag(body: Column) -> Column:
     return F.try_element_at(H.tags(body, ("base",)), F.lit(1))
 
 
-def _native_tags(pages: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def _native_tags(pages: DataFrame, names: tuple[str, ...], attributes: tuple[str, ...]) -> DataFrame:
     def parsed(tag: Column) -> Column:
         return F.struct(
             H.tag_name(tag).alias("tag"),
-            *[H.attribute(tag, name).alias(name) for name in ("href", "onclick", "src")],
+            *[H.attribute(tag, name).alias(name) for name in attributes],
         )
 
     body = pages.select("page_id", "url", H.visible(F.col("html")).alias("_body"))
@@ -45,7 +45,7 @@ def _native_tags(pages: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return listed.select("page_id", "url", "base_href", "pos", "_tag.*")
 
 
-def _parser_tags(pages: DataFrame, names: tuple[str, ...]) -> DataFrame:
+def _parser_tags(pages: DataFrame, names: tuple[str, ...], attributes: tuple[str, ...]) -> DataFrame:
     # Nested, so that the function travels to the workers by value.
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from html.parser import HTMLParser
@@ -77,15 +77,21 @@ def _parser_tags(pages: DataFrame, names: tuple[str, ...]) -> DataFrame:
             ).astype({"page_id": "int64", "pos": "int32"})
 
     rows = pages.select("page_id", "url", "html").mapInPandas(parse, TAGS)
-    return rows.withColumns({name: F.nullif(name, F.lit("")) for name in ("href", "onclick", "src")})
+    given = [F.nullif(name, F.lit("")).alias(name) for name in attributes]
+    return rows.select("page_id", "url", "base_href", "pos", "tag", *given)
 
 
-def start_tags(pages: DataFrame, names: tuple[str, ...], engine: str = "native") -> DataFrame:
-    """Start tags of the named kinds, numbered in document order."""
+def start_tags(
+    pages: DataFrame,
+    names: tuple[str, ...],
+    engine: str = "native",
+    attributes: tuple[str, ...] = ("href", "onclick", "src"),
+) -> DataFrame:
+    """Start tags of the named kinds with some of their attributes, numbered in document order."""
     engines = {"native": _native_tags, "parser": _parser_tags}
     if engine not in engines:
         raise ValueError(f"engine must be one of {sorted(engines)}, not {engine!r}")
-    return engines[engine](pages, names)
+    return engines[engine](pages, names, attributes)
 
 
 def base_hrefs(pages: DataFrame) -> DataFrame:
@@ -123,7 +129,7 @@ def links(
         raise ValueError(f"base must be 'document' or 'page', not {base!r}")
     on = "base_href" if base == "document" else "url"
     if scripts:
-        tags = start_tags(pages, ("a", "button"), engine)
+        tags = start_tags(pages, ("a", "button"), engine, ("href", "onclick"))
         # An anchor gives its link first, then its redirects; buttons only redirects.
         href = F.when(F.col("tag") == "a", F.col("href"))
         listed = F.concat(
@@ -135,7 +141,7 @@ def links(
         )
         found = tags.select("page_id", "pos", F.col(on).alias("_on"), F.inline(listed))
     else:
-        tags = start_tags(pages, ("a",), engine)
+        tags = start_tags(pages, ("a",), engine, ("href",))
         found = tags.select(
             "page_id", "pos", F.col(on).alias("_on"), F.lit("anchor").alias("kind"), F.col("href").alias("raw")
         )
@@ -149,7 +155,7 @@ def links(
 
 def images(pages: DataFrame, *, engine: str = "native", resolve: str = "rooted") -> DataFrame:
     """PNG and JPEG images of the pages with file name, type and place in the image store."""
-    tags = start_tags(pages, ("img",), engine)
+    tags = start_tags(pages, ("img",), engine, ("src",))
     # Resolving does not change the extension, except that '?…' alone has that of the base.
     named = F.when(F.col("src").startswith("?"), F.col("base_href")).otherwise(F.col("src"))
     kept = tags.where(

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from siteloom.operators import frontier, robots, skew
+from siteloom.operators import frontier, skew
 from siteloom.operators.ordering import previous_in_group, rank_in_group
 from siteloom.plans import crawl
 

@@ -1,7 +1,6 @@
 import glob
 
 import pytest
-from pyspark.sql import functions as F
 
 from siteloom.operators import graph, integrity, report
 from siteloom.sources import pajek
