@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from siteloom.llm import cws
+from siteloom.llm import common, cws, packing, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -26,7 +27,31 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query()
 def op1_cws_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprints of each text and of its edited text, with their likeness."""
     return cws.edited(table(spark, sf, "documents"))
+
+
+@query()
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 2048 tokens."""
+    cut = packing.pieces(table(spark, sf, "documents"), vocabulary("word_bpe_49k.json"))
+    rows = cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
+    return packing.pack(rows)
+
+
+@query()
+def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's ids, as read back from the files."""
+    docs = table(spark, sf, "documents")
+    folder = common.scratch(docs, "ids")
+    tokenfiles.write(docs, folder, vocabulary("word_bpe_49k.json"))
+    return tokenfiles.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
