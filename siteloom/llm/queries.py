@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import common, cws, packing, tokenfiles
+from siteloom.llm import bytebpe, common, cws, packing, tokenfiles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,6 +48,21 @@ def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(rows)
 
 
+@query()
+def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Digests of each text's ids and of the bytes that they decode to."""
+    import public_tokenizers
+
+    parts = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = bytebpe.encode(table(spark, sf, "documents").select("doc_id", "text"), *parts).drop("text")
+    return bytebpe.decode(ids, *parts).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query()
 def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """Each document's ids, as read back from the files."""
