@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bytebpe, common, cws, packing, tokenfiles
+from siteloom.llm import bytebpe, common, cws, packing, tokenfiles, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -40,6 +40,34 @@ def op1_cws_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return cws.edited(table(spark, sf, "documents"))
 
 
+# SHA-1 as bare base32: five hex digits are four of its 32 characters.
+OP2_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), d AS (
+  SELECT page_id, payload_bytes, h, min(page_id) OVER (PARTITION BY h) AS first,
+    array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform(range(4), lambda j:
+      substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + ((('0x' || substr(h, CAST(5 * i + 1 AS INTEGER), 5))::BIGINT >> CAST(15 - 5 * j AS INTEGER)) & 31)::INTEGER, 1)), '')), '')
+      AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM d
+"""
+
+
+@query(OP2_SQL)
+def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Each page's record, as read back from the archives."""
+    pages = table(spark, sf, "pages")
+    folder = common.scratch(pages, "warc")
+    warc.write(pages, folder)
+    return warc.read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces of all documents, packed into sequences of 2048 tokens."""
