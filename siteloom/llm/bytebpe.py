@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ class Bpe:
         self.merge = plain._encode_single_piece  # merges of a short string of bytes
         self.stable = functools.lru_cache(1 << 18)(self._stable)
         self.match = functools.lru_cache(1 << 16)(self._match)
-        self.memo = common.Memo(self._words, "uint16" if max(self.ranks.values()) < 1 << 16 else "uint32")
+        self.memo = common.Memo(self._words, "uint16" if max(self.ranks.values()) < 1 << 16 else "uint32", 200_000)
 
     def reachable(self) -> bool:
         """True if merging the bytes of each token gives that token (tried without the look-up of whole tokens)."""
@@ -126,41 +127,53 @@ def bpe(path: str, pattern: str) -> Bpe:
     return Bpe(path, pattern)
 
 
-def _added(df: DataFrame, name: str, kind: str) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name != name) + f", {name} {kind}"
+def _mapped(df: DataFrame, source: str, added: list[tuple[str, str]], made) -> DataFrame:
+    """Add columns that ``made`` gives for portions of a column; no shuffle.
 
-
-def _mapped(df: DataFrame, source: str, name: str, kind: str, made) -> DataFrame:
-    """Add a column that ``made`` gives for portions of a column; no shuffle."""
+    Only a portion of a batch is ever unpacked to Python values.
+    """
+    names = {name for name, _ in added}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(batch.schema.names.index(source)).to_pylist()
-            sized = [v if v is not None else "" for v in values]
-            kept = [k for k, column in enumerate(batch.schema.names) if column != name]
-            for a, b in common.portions(sized, 1_000_000):
+            at = batch.schema.names.index(source)
+            kept = [k for k, column in enumerate(batch.schema.names) if column not in names]
+            column = batch.column(at)
+            measure = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+            sizes = pc.fill_null(measure(column), 0).to_numpy(zero_copy_only=False)
+            for a, b in common.portions(list(map(range, sizes.tolist())), 1_000_000):
                 part = batch.slice(a, b - a)
-                columns = [part.column(k) for k in kept] + [made(values[a:b])]
-                yield pa.RecordBatch.from_arrays(columns, [batch.schema.names[k] for k in kept] + [name])
+                columns = [part.column(k) for k in kept] + made(part.column(at))
+                yield pa.RecordBatch.from_arrays(columns, [batch.schema.names[k] for k in kept] + [n for n, _ in added])
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in names]
+    return df.mapInArrow(work, ", ".join(fields + [f"{name} {kind}" for name, kind in added]))
 
-    return df.mapInArrow(work, _added(df, name, kind))
 
+def encode(
+    df: DataFrame, vocabulary: str, pattern: str, text: str = "text", name: str = "ids", decoded: str | None = None
+) -> DataFrame:
+    """Add the ids of a text column (it replaces a column of that name).
 
-def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", name: str = "ids") -> DataFrame:
-    """Add the ids of a text column (it replaces a column of that name)."""
+    ``decoded`` names a further column for the bytes that the ids decode to.
+    """
 
-    def made(texts: list) -> pa.Array:
-        runs = bpe(vocabulary, pattern).encode([t or "" for t in texts])
-        return common.lists([r.astype("int32") for r in runs], pa.int32())
+    def made(texts: pa.Array) -> list[pa.Array]:
+        table = bpe(vocabulary, pattern)
+        runs = table.encode([t or "" for t in texts.to_pylist()])
+        column = common.lists([r.astype("int32") for r in runs], pa.int32())
+        if decoded is None:
+            return [column]
+        return [column, pa.array([table.decode(r.tolist()) for r in runs], "binary")]
 
-    return _mapped(df, text, name, "array<int>", made)
+    return _mapped(df, text, [(name, "array<int>"), *([(decoded, "binary")] if decoded else [])], made)
 
 
 def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Add the bytes of a column of ids (null ids give null)."""
 
-    def made(runs: list) -> pa.Array:
+    def made(runs: pa.Array) -> list[pa.Array]:
         table = bpe(vocabulary, pattern)
-        return pa.array([None if run is None else table.decode(run) for run in runs], "binary")
+        return [pa.array([None if run is None else table.decode(run) for run in runs.to_pylist()], "binary")]
 
-    return _mapped(df, ids, name, "binary", made)
+    return _mapped(df, ids, [(name, "binary")], made)

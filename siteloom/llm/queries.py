@@ -82,8 +82,8 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
     parts = vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bytebpe.encode(table(spark, sf, "documents").select("doc_id", "text"), *parts).drop("text")
-    return bytebpe.decode(ids, *parts).select(
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return bytebpe.encode(docs, *parts, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
