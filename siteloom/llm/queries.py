@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bytebpe, common, cws, packing, tokenfiles, topk, warc
+from siteloom.llm import bytebpe, common, cws, packing, quality, tokenfiles, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,6 +100,16 @@ def op5_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return tokenfiles.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query()
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Each text's quality score, learnt from the labels that are not held out."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.CUT).cast("int").alias("predicted")
+    )
+
+
 OP7_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vector FROM embeddings
