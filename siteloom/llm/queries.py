@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bytebpe, common, cws, packing, quality, tokenfiles, topk, warc
+from siteloom.llm import bytebpe, common, cws, hamming, packing, quality, tokenfiles, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -129,3 +129,33 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op7_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The five best inner products of each query vector."""
     return topk.search(table(spark, sf, "embeddings"))
+
+
+# Links and the least id reachable by them, over all pairs of documents that share a shingle.
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS items
+  FROM w
+), u AS (SELECT doc_id, unnest(items) AS item FROM s),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM u a JOIN u b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN s x ON a = x.doc_id JOIN s y ON b = y.doc_id
+  WHERE 100 * n >= 75 * (len(x.items) + len(y.items) - n)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM s UNION SELECT r.node, e.b FROM reach r JOIN edges e ON r.seen = e.a),
+least AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(len(items) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM s JOIN least ON doc_id = node
+"""
+
+
+@query(OP9_SQL)
+def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's component under links of similarity 0.75."""
+    return hamming.near_duplicates(table(spark, sf, "documents"))
