@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bytebpe, common, cws, hamming, packing, quality, tokenfiles, topk, warc
+from siteloom.llm import bytebpe, common, cws, hamming, packing, prefixfree, quality, tokenfiles, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -159,3 +159,10 @@ FROM s JOIN least ON doc_id = node
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Each document's component under links of similarity 0.75."""
     return hamming.near_duplicates(table(spark, sf, "documents"))
+
+
+@query()
+def op10_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
+    """What is removed of each text, as a smaller document has it in 50 bytes or more."""
+    found = prefixfree.repeated(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
