@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bytebpe, common, cws, hamming, packing, prefixfree, quality, tokenfiles, topk, warc
+from siteloom.llm import bytebpe, common, cws, hamming, ngrams, packing, prefixfree, quality, tokenfiles, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -131,6 +131,15 @@ def op7_topk(spark: SparkSession, sf: str) -> DataFrame:
     return topk.search(table(spark, sf, "embeddings"))
 
 
+@query()
+def op8_ngram_model(spark: SparkSession, sf: str) -> DataFrame:
+    """Each text's log10 probability under the model of the texts that are not held out."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = ngrams.train(docs.where(~ngrams.held_out()))
+    scored = ngrams.score(docs, model).withColumn("held_out", ngrams.held_out())
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 # Links and the least id reachable by them, over all pairs of documents that share a shingle.
 OP9_SQL = r"""
 WITH RECURSIVE w AS (
