@@ -99,7 +99,7 @@ class Memo:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         while first + len(new) + 1 > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.flat[self.used : self.used + n] = np.fromiter((x for run in runs for x in run), self.dtype, n)
+        self.flat[self.used : self.used + n] = np.concatenate([np.asarray(run, self.dtype) for run in runs])
         self.ends[first + 1 : first + 1 + len(new)] = self.used + np.cumsum(sizes)
         self.used += n
         self.codes.update(zip(new, range(first, first + len(new)), strict=True))

@@ -123,7 +123,8 @@ def pack(df: DataFrame, size: int = SIZE, order: tuple[str, ...] = ("doc_id", "s
     the slices before it (one small row for each slice and length) are added.
     """
     ordering = ["length", *order]
-    ranged = df.repartitionByRange(*ordering).sortWithinPartitions(*ordering)
+    # Written once: range borders are sampled from the rows, which else would be made twice.
+    ranged = materialise(df).repartitionByRange(*ordering).sortWithinPartitions(*ordering)
     rows = materialise(ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()))
     counts = rows.groupBy("length", "_slice").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
     earlier = Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
