@@ -38,6 +38,14 @@ def ids(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(LOWEST))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while f"_{name}" in taken:
+        name = f"_{name}"
+    return f"_{name}"
+
+
 def borders(df: DataFrame, key: str, rows: int = SLICE_ROWS) -> list[int]:
     """Split points of ``key`` (a long) for slices of about ``rows`` rows.
 

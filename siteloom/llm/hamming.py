@@ -47,7 +47,7 @@ LONG = 256
 
 
 def sketches(df: DataFrame) -> DataFrame:
-    """``id, n, print, signature`` of ``doc_id, text``; ``print`` is a 128-bit hash of the set."""
+    """``id, n, print, signature, text_hash`` of ``doc_id, text``; ``print`` is a 128-bit hash of the set."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,12 +60,14 @@ def sketches(df: DataFrame) -> DataFrame:
                         pa.array([len(s) for s in sets], "int64"),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "binary"),
                         pa.array([sketch.signature(s).tobytes() if len(s) else None for s in sets], "binary"),
+                        batch.column(2).slice(a, b - a),
                     ],
-                    ["id", "n", "print", "signature"],
+                    ["id", "n", "print", "signature", "text_hash"],
                 )
 
     docs = df.select(common.ids("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    return docs.mapInArrow(work, "id long, n long, print binary, signature binary")
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    return docs.mapInArrow(work, "id long, n long, print binary, signature binary, text_hash long")
 
 
 def _symbols(column: pa.Array, width: int) -> np.ndarray:
@@ -201,7 +203,7 @@ def _across(rows: DataFrame, ratio: float) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of ``doc_id, text``."""
+    """``doc_id, n_shingles, component_id, kept, text_hash`` of ``doc_id, text``."""
     docs = df.select(common.ids("doc_id").alias("id"), "text")
     rows = materialise(sketches(df))
     classes = materialise(
@@ -265,4 +267,14 @@ def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> Da
         F.col("n").alias("n_shingles"),
         F.nullif(F.coalesce("component", "id"), least).alias("component_id"),
         (F.coalesce("component", "id") == F.col("id")).alias("kept"),
+        "text_hash",
     )
+
+
+def kept(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
+    """The rows of ``df`` (all columns) whose document stays; of equal rows one stays."""
+    id_, hash_, stays = (common.fresh(df, name) for name in ("id", "hash", "stays"))
+    found = near_duplicates(df, threshold).groupBy("doc_id", "text_hash").agg(F.max("kept").alias(stays))
+    found = found.select(common.ids("doc_id").alias(id_), F.col("text_hash").alias(hash_), stays)
+    rows = df.withColumns({id_: common.ids("doc_id"), hash_: F.xxhash64(F.coalesce("text", F.lit("")))})
+    return rows.join(found.where(stays), [id_, hash_]).dropDuplicates([id_, hash_]).select(*df.columns)

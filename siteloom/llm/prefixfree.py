@@ -32,6 +32,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ class Parsed:
     """A block of documents: phrases, and which strings of it are still open."""
 
     def __init__(self, ids: list[int], texts: list[str], length: int = LENGTH):
-        order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k]))
+        order = self.order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k]))
         self.ids = np.array([ids[k] for k in order], "int64")
         self.length = length
         blobs = [texts[k].encode() for k in order]
@@ -236,9 +237,39 @@ def repeated(df: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES
 
     ``starts`` and ``ends`` hold the removed runs, ``kept`` the bytes that stay.
     """
+    return _removed(df.select("doc_id", "text"), length, block_bytes).select(
+        F.col("c0").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "starts", "ends", "kept"
+    )
+
+
+def cleaned(df: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``df`` with the repeated strings taken out of ``text``.
+
+    A character that loses a part goes as a whole. ``n_chars``, if there is such a column, is
+    counted anew; a null text stays null.
+    """
+    names = {name: f"c{k}" for k, name in enumerate(df.columns)}
+    rows = _removed(df, length, block_bytes)
+
+    @F.pandas_udf("string")
+    def decoded(kept: pd.Series) -> pd.Series:
+        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+    text = F.when(F.col(names["text"]).isNotNull(), F.col("decoded"))
+    made = {name: F.col(c) for name, c in names.items()} | {"text": text}
+    if "n_chars" in names:
+        made["n_chars"] = F.length("decoded").cast(df.schema["n_chars"].dataType)
+    return rows.withColumn("decoded", decoded("kept")).select(*(made[name].alias(name) for name in df.columns))
+
+
+def _removed(df: DataFrame, length: int, block_bytes: int) -> DataFrame:
+    """The columns of ``df`` under the names c0, c1, … and what is removed."""
     if length <= ANCHOR:
         raise ValueError(f"length must be above {ANCHOR}")
-    docs = df.select(common.ids("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    carried = df.select(*(F.col(f"`{name}`").alias(f"c{k}") for k, name in enumerate(df.columns)))
+    columns = carried.columns
+    doc_id, text = (f"c{df.columns.index(name)}" for name in ("doc_id", "text"))
+    docs = carried.withColumns({"id": common.ids(doc_id), "text": F.coalesce(text, F.lit(""))})
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -293,7 +324,7 @@ def repeated(df: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES
             rows["kept"].append(parsed.data[a:b][~part].tobytes())
         return pa.table(
             [
-                pa.array(parsed.ids, mask=parsed.ids == common.LOWEST),
+                *docs.select(columns).take(pa.array(parsed.order, "int64")).columns,
                 pa.array(parsed.sizes),
                 pa.array(rows["n_removed"], "int64"),
                 pa.array([len(s) for s in rows["starts"]], "int64"),
@@ -301,7 +332,7 @@ def repeated(df: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES
                 common.lists(rows["ends"], pa.int64()),
                 pa.array(rows["kept"], "binary"),
             ],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "starts", "ends", "kept"],
+            names=[*columns, "n_bytes", "n_removed", "n_spans", "starts", "ends", "kept"],
         )
 
     def step(function, replies: DataFrame, schema: str) -> DataFrame:
@@ -310,8 +341,8 @@ def repeated(df: DataFrame, length: int = LENGTH, block_bytes: int = BLOCK_BYTES
     replies = _owned(stored.groupBy("block").applyInArrow(ask_units, REQUEST), "unit", "S16")
     replies = replies.unionByName(_owned(step(ask_anchors, replies, REQUEST), "anchor", "uint64"))
     replies = replies.unionByName(_owned(step(ask_strings, replies, REQUEST), "string", f"S{length}"))
-    out = materialise(
-        step(results, replies, "doc_id long, n_bytes long, n_removed long, n_spans long, starts array<long>, ends array<long>, kept binary")
-    )
+    made = "n_bytes long, n_removed long, n_spans long, starts array<long>, ends array<long>, kept binary"
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried.schema.fields)
+    out = materialise(step(results, replies, f"{kinds}, {made}"))
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     return out

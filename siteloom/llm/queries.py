@@ -167,7 +167,7 @@ FROM s JOIN least ON doc_id = node
 @query(OP9_SQL)
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     """Each document's component under links of similarity 0.75."""
-    return hamming.near_duplicates(table(spark, sf, "documents"))
+    return hamming.near_duplicates(table(spark, sf, "documents")).drop("text_hash")
 
 
 @query()
