@@ -21,8 +21,8 @@ key's main component, to each of which the key's other classes are sent. A pair
 its first common key. So no link between components is lost, and copies of one text never
 meet pair by pair.
 
-Before sets are compared, a second signature of 256 symbols drops pairs that are below the
-threshold by more than five standard deviations.
+Before sets are compared, a second signature of 512 symbols of 8 bits drops pairs that are below
+the threshold by more than five standard deviations, at their key already.
 
 Null and empty texts (and such without words) have no set and are linked with nothing. Rows
 that repeat an id count as one document. A null id is the least; its component is null.
@@ -43,7 +43,7 @@ from siteloom.session import materialise
 
 CHUNK, DISTANCE, SLICE = 4, 39, 1024
 CHUNKS = sketch.SYMBOLS // CHUNK
-LONG = 256
+LONG = 512
 
 
 def sketches(df: DataFrame) -> DataFrame:
@@ -70,8 +70,14 @@ def sketches(df: DataFrame) -> DataFrame:
     return docs.mapInArrow(work, "id long, n long, print binary, signature binary, text_hash long")
 
 
-def _symbols(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "uint16").reshape(-1, width)
+def _symbols(column: pa.Array, width: int, kind: str = "uint16") -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
+
+
+def _slack(over: int, under: int) -> int:
+    """Unequal symbols of two long signatures that a pair at the threshold hardly ever passes."""
+    share = 1 - over / under
+    return int(share * LONG + 5.5 * (share * (1 - share) * LONG) ** 0.5)
 
 
 def _keys(symbols: np.ndarray) -> np.ndarray:
@@ -99,16 +105,18 @@ def index(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(work, "key long, id long")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs ``a, b`` whose sets pass ``threshold`` (a fraction), tested on the whole sets."""
+def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], sifted: bool = False) -> DataFrame:
+    """The pairs ``a, b`` whose sets pass ``threshold`` (a fraction), tested on the whole sets.
+
+    ``sifted`` tells that their long signatures have been compared.
+    """
     over, under = threshold
-    bound = (1 - over / under) * LONG
-    slack = int(bound + 5.5 * (bound * over / under) ** 0.5)
+    slack = _slack(over, under)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                far = (_symbols(batch.column(2), LONG) != _symbols(batch.column(3), LONG)).sum(axis=1)
+                far = (_symbols(batch.column(2), LONG, "uint8") != _symbols(batch.column(3), LONG, "uint8")).sum(axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [c.filter(pa.array(far <= slack)) for c in batch.columns[:2]], ["a", "b"]
                 )
@@ -133,18 +141,20 @@ def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) ->
         right = texts.select(F.col("id").alias("b"), F.col(column).alias("two"))
         return rows.join(left, "a").join(right, "b").select("a", "b", "one", "two")
 
-    close = beside(pairs, "long").mapInArrow(near, "a long, b long")
-    return materialise(beside(materialise(close), "text").mapInArrow(exact, "a long, b long"))
+    close = pairs if sifted else materialise(beside(pairs, "long").mapInArrow(near, "a long, b long"))
+    return materialise(beside(close, "text").mapInArrow(exact, "a long, b long"))
 
 
-def _across(rows: DataFrame, ratio: float) -> DataFrame:
-    """Pairs of different components at a key and slice, within the signature distance.
+def _across(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs of different components at a key and slice, within the signature distances.
 
-    ``rows`` (key, slice, main, id, component, n, signature) are sorted by key and slice.
+    ``rows`` (key, slice, main, id, component, n, signature, long) are sorted by key and slice.
     """
+    ratio, slack = threshold[0] / threshold[1], _slack(*threshold)
 
     def pairs(run: pa.Table) -> tuple[list[int], list[int]]:
-        symbols = _symbols(run.column("signature").combine_chunks(), sketch.SYMBOLS)
+        symbols = _symbols(run.column("signature"), sketch.SYMBOLS)
+        longer = _symbols(run.column("long"), LONG, "uint8")
         names = ("id", "component", "n", "main")
         ids, part, n, main = (run.column(c).to_numpy() for c in names)
         key, number = run.column("key")[0].as_py() >> 48, run.column("slice")[0].as_py()
@@ -156,15 +166,15 @@ def _across(rows: DataFrame, ratio: float) -> DataFrame:
             if number:
                 fit &= main[rest] | main[k]
             at = np.flatnonzero(fit) + k + 1
-            if len(at):
-                same = symbols[at] == symbols[k]
-                for other, row in zip(at[same.sum(axis=1) >= sketch.SYMBOLS - DISTANCE], same[same.sum(axis=1) >= sketch.SYMBOLS - DISTANCE], strict=True):
-                    hits = row.reshape(CHUNKS, CHUNK)
-                    chunk = int(np.argmax(hits.sum(axis=1) >= CHUNK - 1))
-                    left = 0 if hits[chunk].all() else int(np.argmin(hits[chunk]))
-                    if chunk * CHUNK + left == key:
-                        a.append(int(ids[k]))
-                        b.append(int(ids[other]))
+            at = at[(symbols[at] != symbols[k]).sum(axis=1) <= DISTANCE]
+            at = at[(longer[at] != longer[k]).sum(axis=1) <= slack]
+            for other, row in zip(at, symbols[at] == symbols[k], strict=True):
+                hits = row.reshape(CHUNKS, CHUNK)
+                chunk = int(np.argmax(hits.sum(axis=1) >= CHUNK - 1))
+                left = 0 if hits[chunk].all() else int(np.argmin(hits[chunk]))
+                if chunk * CHUNK + left == key:
+                    a.append(int(ids[k]))
+                    b.append(int(ids[other]))
         return a, b
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,14 +233,14 @@ def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> Da
             for a, b in common.portions(texts):
                 part, sets = batch.slice(a, b - a), sketch.shingles(texts[a:b])
                 prints = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "binary")
-                longer = pa.array([sketch.signature(s, LONG).tobytes() if len(s) else None for s in sets], "binary")
+                longer = pa.array([sketch.signature(s, LONG).astype("uint8").tobytes() if len(s) else None for s in sets], "binary")
                 # A repeated id may have several texts: that of the class counts.
                 right = pa.array([x == y for x, y in zip(prints.to_pylist(), part.column(1).to_pylist(), strict=True)])
                 columns = [part.column(0), part.column(2), longer]
                 yield pa.RecordBatch.from_arrays([c.filter(right) for c in columns], ["id", "text", "long"])
 
     found = docs.join(wanted, "id").select("id", "print", "text").mapInArrow(lengthened, "id long, text string, long binary")
-    texts = materialise(found)
+    texts = materialise(found.dropDuplicates(["id"]))
 
     # Stars: the middle of each key's classes with the rest.
     middle = members.join(met, "id").groupBy("key").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("middle"))
@@ -253,11 +263,10 @@ def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> Da
     own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
     dealt = placed.join(mixed, "key").withColumn("main", F.col("component") == F.col("most"))
     dealt = dealt.withColumn("slice", F.explode(F.when(F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("slices") - 1))))
-    dealt = dealt.join(classes.select("id", "n", "signature"), "id").select(
-        "key", "slice", "main", "id", "component", "n", "signature"
-    )
+    marks = materialise(classes.select("id", "n", "signature").join(texts.select("id", "long"), "id"))
+    dealt = dealt.join(marks, "id").select("key", "slice", "main", "id", "component", "n", "signature", "long")
     dealt = dealt.repartition("key", "slice").sortWithinPartitions("key", "slice", "id")
-    more = _confirm(materialise(_across(dealt, threshold[0] / threshold[1])).distinct(), texts, threshold)
+    more = _confirm(materialise(_across(dealt, threshold)).distinct(), texts, threshold, sifted=True)
 
     final = graph.components(links.unionByName(more)).withColumnRenamed("node", "id")
     named = classes.join(final, "id", "left").select("print", F.coalesce("component", "id").alias("component"))

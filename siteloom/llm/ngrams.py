@@ -386,11 +386,10 @@ def load(folder: str) -> Model:
     return Model(folder, **stored)
 
 
-def score_texts(model: Model, texts: list) -> dict[str, np.ndarray]:
-    """``n_tokens, n_known, base_score, score`` of each text."""
-    made = model.batch(texts)
-    number, text = made["number"], made["text"]
-    token = number != START
+def probabilities(model: Model, texts: list, made: dict[str, np.ndarray] | None = None) -> np.ndarray:
+    """The probability of each token of texts (that of a start means nothing)."""
+    made = made or model.batch(texts)
+    number = made["number"]
     base = model.base(made["count"].astype("float64"))
     keys = _bigrams(number)
     at = np.flatnonzero(keys >= 0)
@@ -442,9 +441,17 @@ def score_texts(model: Model, texts: list) -> dict[str, np.ndarray]:
     # An unknown word before gives the base alone.
     p = np.where((number[before] >= 0) & (seen + types > 0), own / grown + types / grown * base, base)
     p[third] = share + rest[parent] * p[third]
+    return p
+
+
+def score_texts(model: Model, texts: list) -> dict[str, np.ndarray]:
+    """``n_tokens, n_known, base_score, score`` of each text."""
+    made = model.batch(texts)
+    text, token = made["text"], made["number"] != START
+    p, base = probabilities(model, texts, made), model.base(made["count"].astype("float64"))
     total = lambda x: np.bincount(text[token], x[token].astype("float64"), minlength=len(texts))
     return {
-        "n_tokens": total(np.ones(len(number))).astype("int64"),
+        "n_tokens": total(np.ones(len(text))).astype("int64"),
         "n_known": total(made["count"] > 0).astype("int64"),
         "base_score": total(np.log10(base)),
         "score": total(np.log10(np.maximum(p, 1e-300))),

@@ -36,7 +36,11 @@ CUT = 0.7
 class Model:
     good: bytes
     bad: bytes
-    weights: list[float]  # of a constant and the four features; of the constant alone without dictionaries
+    weights: list[float]  # of a constant and the four features; of the constant alone if nothing could be fitted
+
+    @property
+    def fitted(self) -> bool:
+        return len(self.weights) > 1
 
 
 def _compressors(model: Model) -> list:
@@ -71,7 +75,7 @@ def features(model: Model, texts: list[str]) -> np.ndarray:
 
 def scores(model: Model, texts: list[str]) -> np.ndarray:
     logit = np.full(len(texts), model.weights[0])
-    if len(model.weights) > 1:
+    if model.fitted:
         logit = logit + features(model, texts) @ np.array(model.weights[1:])
     return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
