@@ -21,6 +21,8 @@ from siteloom.session import materialise
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that the quality classifier accepts; it learns from the labels of its documents."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
+    if not model.fitted:  # no labels to tell good from bad: nothing is rejected
+        return docs
     name = common.fresh(docs, "score")
     return quality.score(docs, model, name=name).where(F.col(name) >= quality.CUT).select(*docs.columns)
 
