@@ -13,15 +13,18 @@ still holds it there, since a removed unit has a copy in a smaller document.
 
 *Dictionary suffixes.* Suffixes of the dictionary are compared by their first 50 bytes, as
 more does not matter. Strings alike have the same anchor (the least hash of the 24-byte
-strings in them); an anchor that one document alone holds needs no comparison. The others'
-suffixes are sorted, as the bytes they are, in the part that owns them: a suffix array of
-each part of the dictionary. Runs of equal prefixes give the least id.
-
-Documents are kept in blocks, a table bucketed by block, and each step groups that table
-without a shuffle. Blocks send sorted keys to parts and get back a flag for each, in the
-same order, so a string that many documents share is one entry for each block and no group
-of equal strings is ever gathered. Each answer depends on the rows alone; lost tasks are run
-again.
+strings in them); an anchor that one document alone holds needs no comparison. Strings that
+start next to each other and share their anchor travel as one run, to the part that owns the
+anchor. The part sorts the suffixes of its runs, as the bytes they are: a suffix array of
+its share of the dictionary, in which equal prefixes stand together and show the least document.
+Runs of an anchor that very many documents hold are sent string by string instead, to parts
+by the string's own hash, so a frequent line's edges spread over all parts.
+
+Documents are cut by id into blocks of about ``block_bytes`` (so the number of a block tells
+which ids are smaller), kept compressed in a table bucketed by block; each step groups
+that table without a shuffle. Blocks send keys to parts and get back a flag for each, in the
+same order, so no group of equal strings is ever gathered. Each answer depends on the rows
+alone; lost tasks are run again.
 
 Null texts count as empty. Rows that repeat an id are documents of equal id: neither is
 smaller. A null id is the least.
@@ -41,8 +44,9 @@ from siteloom.llm import common
 from siteloom.session import bucketed, materialise
 
 LENGTH = 50
-TRIGGER, EVERY, ANCHOR = 16, 64, 24
-BLOCK_BYTES = 4 << 20
+TRIGGER, EVERY, ANCHOR = 16, 128, 24
+BLOCK_BYTES = 2 << 20
+RUN, MANY, MANY_BLOCKS = 256, 64, 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _TABLES = common.mix(np.arange(1, 513, dtype="uint64") * np.uint64(0xD1B54A32D192ED03)).reshape(2, 256)
@@ -112,114 +116,223 @@ class Parsed:
         return np.ascontiguousarray(keys).view("S16").ravel(), self.ids[self.doc]
 
     def settle(self, removed: np.ndarray) -> None:
-        """Take out units; the strings of the others stay open."""
+        """Take out units; the strings of the others stay open, as runs that share an anchor."""
         self.removed = removed
         left = ~removed
         sizes = (self.after - self.starts)[left]
         shift = np.repeat(self.starts[left] - (np.cumsum(sizes) - sizes), sizes)
-        self.open = np.arange(int(sizes.sum())) + shift
-        self.open_doc = np.repeat(self.doc[left], sizes)
-
-    def anchors(self) -> np.ndarray:
-        """The anchor of each open string."""
-        least = _sliding_least(common.mix(self.hashes(ANCHOR)), self.length - ANCHOR + 1)
-        return least[self.open] if len(self.open) else np.zeros(0, "uint64")
-
-    def strings(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Open strings as bytes, and the ids of their documents."""
-        rows = np.lib.stride_tricks.sliding_window_view(self.data, self.length)[self.open[which]] if len(which) else np.zeros((0, self.length), "uint8")
-        return np.ascontiguousarray(rows).view(f"S{self.length}").ravel(), self.ids[self.open_doc[which]]
+        at = np.arange(int(sizes.sum())) + shift
+        if not len(at):
+            self.runs = self.run_sizes = self.run_doc = at
+            self.anchors = at.astype("uint64")
+            return
+        least = _sliding_least(common.mix(self.hashes(ANCHOR)), self.length - ANCHOR + 1)[at]
+        new = np.concatenate([[True], (np.diff(at) != 1) | (least[1:] != least[:-1])])
+        first = np.flatnonzero(new)
+        # A run of more than RUN strings is cut.
+        many = np.diff(np.append(first, len(at)))
+        pieces = -(-many // RUN)
+        first = np.repeat(first, pieces) + (np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * RUN
+        self.runs, self.run_sizes = at[first], np.diff(np.append(first, len(at)))
+        self.anchors = least[first] & np.uint64((1 << 48) - 1)
+        self.run_doc = np.searchsorted(self.ends, self.runs, side="right")
+
+
+def _part(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part that owns each key."""
+    if keys.dtype.kind == "u":
+        place = keys
+    else:  # a hash of the bytes
+        width = keys.dtype.itemsize
+        wide = np.zeros((len(keys), -(-width // 8) * 8), "uint8")
+        wide[:, :width] = keys.view("uint8").reshape(-1, width) if len(keys) else 0
+        place = np.zeros(len(keys), "uint64")
+        for column in wide.view("uint64").T:
+            place = common.mix(place + column)
+    return ((place >> np.uint64(8)) % np.uint64(parts)).astype("int64")
+
+
+def _bits(flags: np.ndarray) -> bytes:
+    return np.packbits(flags).tobytes()
+
+
+def _flags(data: bytes, count: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(data, "uint8"), count=count).astype("bool")
+
+
+def _request(block: int, rows: list[tuple[int, bytes, bytes, bytes]]) -> pa.Table:
+    parts, keys, sizes, notes = zip(*rows, strict=True) if rows else ((), (), (), ())
+    columns = [pa.array([block] * len(rows), "int32"), pa.array(parts, "int32")]
+    columns += [pa.array(c, "binary") for c in (keys, sizes, notes)]
+    return pa.table(columns, names=["block", "part", "keys", "sizes", "notes"])
 
 
 class Keys:
-    """Sorted distinct keys with the least id of each, dealt out over parts."""
+    """Sorted distinct keys of a block, dealt out over parts."""
 
     def __init__(self, keys: np.ndarray, ids: np.ndarray, parts: int):
         order = np.argsort(keys, kind="stable")
         ordered = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else np.zeros(0, "int64")
+        first = _firsts(ordered)
         self.keys = ordered[first]
-        self.least = np.minimum.reduceat(ids[order], first) if len(keys) else np.zeros(0, "int64")
-        most = np.maximum.reduceat(ids[order], first) if len(keys) else self.least
-        self.several = most != self.least
+        self.counts = np.diff(np.append(first, len(keys)))
         self.of = np.zeros(len(keys), "int64")
-        self.of[order] = np.cumsum(np.bincount(first, minlength=len(keys))) - 1 if len(keys) else 0
-        self.later = ids > self.least[self.of]
-        if self.keys.dtype.kind == "u":
-            place = self.keys
-        else:  # a hash of the bytes
-            width = self.keys.dtype.itemsize
-            wide = np.zeros((len(self.keys), -(-width // 8) * 8), "uint8")
-            wide[:, :width] = self.keys.view("uint8").reshape(-1, width) if len(self.keys) else 0
-            place = np.zeros(len(self.keys), "uint64")
-            for column in wide.view("uint64").T:
-                place = common.mix(place + column)
-        self.part = (place >> np.uint64(8)) % np.uint64(parts)
-        self.order = np.argsort(self.part, kind="stable")
-        self.cuts = np.searchsorted(self.part[self.order], np.arange(parts + 1))
-
-    def requests(self, block: int) -> pa.RecordBatch:
-        rows = [(p, self.order[a:b]) for p, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)) if b > a]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([block] * len(rows), "int32"),
-                pa.array([p for p, _ in rows], "int32"),
-                pa.array([self.keys[at].tobytes() for _, at in rows], "binary"),
-                pa.array([self.least[at].tobytes() for _, at in rows], "binary"),
-                pa.array([np.packbits(self.several[at]).tobytes() for _, at in rows], "binary"),
-            ],
-            ["block", "part", "keys", "least", "several"],
-        )
+        self.of[order] = np.repeat(np.arange(len(first)), self.counts)
+        least = np.minimum.reduceat(ids[order], first) if len(keys) else ids
+        self.later = ids > least[self.of]
+        self.several = np.zeros(len(first), "bool")
+        self.several[self.of[self.later]] = True
+        part = _part(self.keys, parts)
+        self.order = np.argsort(part, kind="stable")
+        self.cuts = np.searchsorted(part[self.order], np.arange(parts + 1))
+
+    def _shares(self) -> Iterator[tuple[int, np.ndarray]]:
+        for p, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
+            if b > a:
+                yield p, self.order[a:b]
+
+    def requests(self, block: int) -> pa.Table:
+        """Keys of integers travel as 6 bytes."""
+        rows = []
+        for p, at in self._shares():
+            keys = self.keys[at]
+            data = keys.tobytes() if keys.dtype.kind != "u" else keys.view("uint8").reshape(-1, 8)[:, :6].tobytes()
+            rows.append((p, data, b"", _bits(self.several[at]) + _bits(self.counts[at] >= MANY)))
+        return _request(block, rows)
+
+    def flags(self, replies: dict[int, bytes], kinds: int = 1) -> list[np.ndarray]:
+        """The flags of each entry."""
+        flags = np.zeros((kinds, len(self.keys)), "bool")
+        for p, at in self._shares():
+            flags[:, at] = _flags(replies[p], kinds * len(at)).reshape(kinds, -1)
+        return [f[self.of] for f in flags]
 
     def repeats(self, replies: dict[int, bytes]) -> np.ndarray:
         """Whether a smaller document, of this block or another, has the key of each entry."""
-        return self.flags(replies) | self.later
-
-    def flags(self, replies: dict[int, bytes]) -> np.ndarray:
-        """The flag of each key that was put in, in that order."""
-        flag = np.zeros(len(self.keys), "bool")
+        return self.flags(replies)[0] | self.later
+
+
+class Strings:
+    """The runs of a block whose strings have to be compared, dealt out over parts."""
+
+    def __init__(self, parsed: Parsed, shared: np.ndarray, hot: np.ndarray, parts: int):
+        runs, sizes, part = [], [], []
+        calm = shared & ~hot
+        runs.append(parsed.runs[calm])
+        sizes.append(parsed.run_sizes[calm])
+        part.append(_part(parsed.anchors[calm], parts))
+        hot = shared & hot
+        if hot.any():  # each string alone
+            single = parsed.run_sizes[hot]
+            at = np.repeat(parsed.runs[hot] - (np.cumsum(single) - single), single) + np.arange(int(single.sum()))
+            rows = np.lib.stride_tricks.sliding_window_view(parsed.data, parsed.length)[at]
+            runs.append(at)
+            sizes.append(np.ones(len(at), "int64"))
+            part.append(_part(np.ascontiguousarray(rows).view(f"S{parsed.length}").ravel(), parts))
+        self.parsed, part = parsed, np.concatenate(part)
+        order = np.argsort(part, kind="stable")
+        self.runs, self.sizes = np.concatenate(runs)[order], np.concatenate(sizes)[order]
+        self.cuts = np.searchsorted(part[order], np.arange(parts + 1))
+        _, rank = np.unique(parsed.ids, return_inverse=True)  # rows of one id are equal in order
+        self.rank = rank[np.searchsorted(parsed.ends, self.runs, side="right")] if len(self.runs) else self.runs
+
+    def requests(self, block: int) -> pa.Table:
+        rows = []
         for p, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
             if b > a:
-                flag[self.order[a:b]] = np.unpackbits(np.frombuffer(replies[p], "uint8"), count=b - a).astype("bool")
-        return flag[self.of]
+                wide = self.sizes[a:b] + self.parsed.length - 1
+                at = np.repeat(self.runs[a:b] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
+                sizes = self.sizes[a:b].astype("<u2").tobytes()
+                rows.append((p, self.parsed.data[at].tobytes(), sizes, self.rank[a:b].astype("<u4").tobytes()))
+        return _request(block, rows)
+
+    def removed(self, replies: dict[int, bytes]) -> np.ndarray:
+        """The places of the strings that a smaller document has."""
+        out = [np.zeros(0, "int64")]
+        for p, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
+            if b > a:
+                sizes = self.sizes[a:b]
+                at = np.repeat(self.runs[a:b] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+                out.append(at[_flags(replies[p], len(at))])
+        return np.concatenate(out)
+
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, "int64")
 
-REQUEST = "block int, part int, keys binary, least binary, several binary"
+
+REQUEST = "block int, part int, keys binary, sizes binary, notes binary"
 REPLY = "block int, part int, kind string, flags binary"
 
 
-def _owned(requests: DataFrame, kind: str, dtype: str) -> DataFrame:
-    """Flags by request: for ``anchor`` if several documents hold the key, else if a smaller one does."""
+def _judged(kind: str, length: int, blocks: np.ndarray, keys: list[bytes], sizes: list[bytes], notes: list[bytes]) -> list[bytes]:
+    """Flags for each request of a part."""
+    if kind == "string":
+        counts = [np.frombuffer(x, "<u2").astype("int64") for x in sizes]
+        data, runs = np.frombuffer(b"".join(keys), "uint8"), np.concatenate(counts)
+        begins = np.cumsum(runs + length - 1) - (runs + length - 1)
+        at = np.repeat(begins - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum()))
+        found = np.lib.stride_tricks.sliding_window_view(data, length)[at].view(f"S{length}").ravel()
+        rank = np.concatenate([np.frombuffer(x, "<u4") for x in notes]).astype("int64")
+        place = np.repeat(np.repeat(blocks.astype("int64") << 32, [len(c) for c in counts]) | rank, runs)
+        ends = np.cumsum([int(c.sum()) for c in counts])
+    else:
+        width = 16 if kind == "unit" else 6
+        lengths = np.array([len(k) // width for k in keys])
+        found = np.frombuffer(b"".join(keys), f"S{width}")
+        place, ends = np.repeat(blocks.astype("int64"), lengths), np.cumsum(lengths)
+    order = np.argsort(found, kind="stable")  # for strings, the part's suffix array
+    first = _firsts(found[order])
+    sizes_ = np.diff(np.append(first, len(found)))
+    flags = np.zeros((2, len(found)), "bool")
+    if kind == "anchor":
+        several, many = np.zeros(len(found), "bool"), np.zeros(len(found), "bool")
+        for end, n, note in zip(ends, lengths, notes, strict=True):
+            half = -(-n // 8)
+            several[end - n : end], many[end - n : end] = _flags(note[:half], n), _flags(note[half:], n)
+        flags[0, order] = np.repeat((sizes_ > 1) | np.logical_or.reduceat(several[order], first), sizes_)
+        flags[1, order] = np.repeat((sizes_ > MANY_BLOCKS) | np.logical_or.reduceat(many[order], first), sizes_)
+        return [_bits(flags[:, a:b].ravel()) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    flags[0, order] = place[order] > np.repeat(np.minimum.reduceat(place[order], first), sizes_)
+    return [_bits(flags[0, a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
+def _owned(requests: DataFrame, kind: str, length: int) -> DataFrame:
+    """Answer requests: for anchors whether several documents hold the key and whether very many do, else whether a smaller one does."""
 
     def judge(table: pa.Table) -> pa.Table:
-        blobs = table.column("keys").to_pylist()
-        sizes = np.array([len(b) for b in blobs]) // np.dtype(dtype).itemsize
-        keys = np.frombuffer(b"".join(blobs), dtype)
-        least = np.frombuffer(b"".join(table.column("least").to_pylist()), "int64")
-        order = np.argsort(keys, kind="stable")  # the part's suffix array, for strings
-        ordered = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        runs = np.diff(np.append(first, len(keys)))
-        flag = np.zeros(len(keys), "bool")
-        if kind == "anchor":
-            several = np.concatenate(
-                [np.unpackbits(np.frombuffer(b, "uint8"), count=n) for b, n in zip(table.column("several").to_pylist(), sizes, strict=True)]
-            )
-            flag[order] = np.repeat((runs > 1) | (np.maximum.reduceat(several[order], first) > 0), runs)
-        else:
-            flag[order] = least[order] > np.repeat(np.minimum.reduceat(least[order], first), runs)
-        cuts = np.concatenate([[0], np.cumsum(sizes)])
-        packed = [np.packbits(flag[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        blocks = table.column("block").to_numpy()
+        made = _judged(kind, length, blocks, *(table.column(c).to_pylist() for c in ("keys", "sizes", "notes")))
         return pa.table(
-            [table.column("block"), table.column("part"), pa.array([kind] * len(packed)), pa.array(packed, "binary")],
+            [table.column("block"), table.column("part"), pa.array([kind] * len(made)), pa.array(made, "binary")],
             names=["block", "part", "kind", "flags"],
         )
 
     return materialise(requests.groupBy("part").applyInArrow(judge, REPLY))
 
 
-def _parsed(table: pa.Table, length: int) -> Parsed:
-    return Parsed(table.column("id").to_pylist(), table.column("text").to_pylist(), length)
+def _unpacked(table: pa.Table) -> pa.Table:
+    """The rows of a block."""
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in table.column("rows").to_pylist()]).combine_chunks()
+
+
+def _blocks(docs: DataFrame, splits: list[int]) -> tuple[DataFrame, str]:
+    """A table bucketed by ``block``: ``rows`` holds compressed rows of one block."""
+    edges = np.array(splits, "int64")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            block = np.searchsorted(edges, batch.column(batch.schema.names.index("id")).to_numpy(), side="right")
+            for number in np.unique(block):
+                part = batch.take(pa.array(np.flatnonzero(block == number)))
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
+                    writer.write_batch(part)
+                blob = pa.array([sink.getvalue().to_pybytes()], "binary")
+                yield pa.RecordBatch.from_arrays([pa.array([number], "int32"), blob], ["block", "rows"])
+
+    return bucketed(docs.mapInArrow(work, "block int, rows binary"), ["block"])
 
 
 class _Replies:
@@ -270,47 +383,44 @@ def _removed(df: DataFrame, length: int, block_bytes: int) -> DataFrame:
     columns = carried.columns
     doc_id, text = (f"c{df.columns.index(name)}" for name in ("doc_id", "text"))
     docs = carried.withColumns({"id": common.ids(doc_id), "text": F.coalesce(text, F.lit(""))})
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
+    total, count = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
+    splits = common.borders(docs.select("id"), "id", max(1, count * block_bytes // max(total, 1)))
     parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = docs.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    stored, name = bucketed(spread, ["block"])
+    stored, name = _blocks(docs, splits)
 
-    def units(table: pa.Table) -> tuple[Parsed, Keys]:
-        parsed = _parsed(table, length)
+    def units(rows: pa.Table) -> tuple[Parsed, Keys]:
+        parsed = Parsed(rows.column("id").to_pylist(), rows.column("text").to_pylist(), length)
         return parsed, Keys(*parsed.units(), parts)
 
-    def anchored(docs: pa.Table, replies: _Replies) -> tuple[Parsed, Keys]:
-        parsed, keys = units(docs)
+    def anchored(rows: pa.Table, replies: _Replies) -> tuple[Parsed, Keys]:
+        parsed, keys = units(rows)
         parsed.settle(keys.repeats(replies.of("unit")))
-        return parsed, Keys(parsed.anchors(), parsed.ids[parsed.open_doc], parts)
+        return parsed, Keys(parsed.anchors, parsed.ids[parsed.run_doc], parts)
 
-    def strings(docs: pa.Table, replies: _Replies) -> tuple[Parsed, Keys, np.ndarray]:
-        parsed, keys = anchored(docs, replies)
-        which = np.flatnonzero(keys.flags(replies.of("anchor")))
-        return parsed, Keys(*parsed.strings(which), parts), which
+    def strings(rows: pa.Table, replies: _Replies) -> tuple[Parsed, Strings]:
+        parsed, keys = anchored(rows, replies)
+        return parsed, Strings(parsed, *keys.flags(replies.of("anchor"), 2), parts)
 
     def block_of(table: pa.Table) -> int:
         return table.column("block")[0].as_py()
 
     def ask_units(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([units(table)[1].requests(block_of(table))])
+        return units(_unpacked(table))[1].requests(block_of(table))
 
-    def ask_anchors(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([anchored(docs, _Replies(replies))[1].requests(block_of(docs))])
+    def ask_anchors(table: pa.Table, replies: pa.Table) -> pa.Table:
+        return anchored(_unpacked(table), _Replies(replies))[1].requests(block_of(table))
 
-    def ask_strings(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([strings(docs, _Replies(replies))[1].requests(block_of(docs))])
+    def ask_strings(table: pa.Table, replies: pa.Table) -> pa.Table:
+        return strings(_unpacked(table), _Replies(replies))[1].requests(block_of(table))
 
-    def results(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        found = _Replies(replies)
-        parsed, keys, which = strings(docs, found)
-        hit = keys.repeats(found.of("string"))
+    def results(table: pa.Table, replies: pa.Table) -> pa.Table:
+        docs, found = _unpacked(table), _Replies(replies)
+        parsed, compared = strings(docs, found)
         n = len(parsed.data)
         change = np.zeros(n + 1, "int32")
         np.add.at(change, parsed.starts[parsed.removed], 1)
         np.add.at(change, parsed.stops[parsed.removed], -1)
-        at = parsed.open[which[hit]]
+        at = compared.removed(found.of("string"))
         np.add.at(change, at, 1)
         np.add.at(change, at + length, -1)
         gone = np.cumsum(change[:n]) > 0
@@ -338,9 +448,9 @@ def _removed(df: DataFrame, length: int, block_bytes: int) -> DataFrame:
     def step(function, replies: DataFrame, schema: str) -> DataFrame:
         return stored.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(function, schema)
 
-    replies = _owned(stored.groupBy("block").applyInArrow(ask_units, REQUEST), "unit", "S16")
-    replies = replies.unionByName(_owned(step(ask_anchors, replies, REQUEST), "anchor", "uint64"))
-    replies = replies.unionByName(_owned(step(ask_strings, replies, REQUEST), "string", f"S{length}"))
+    replies = _owned(stored.groupBy("block").applyInArrow(ask_units, REQUEST), "unit", length)
+    replies = replies.unionByName(_owned(step(ask_anchors, replies, REQUEST), "anchor", length))
+    replies = replies.unionByName(_owned(step(ask_strings, replies, REQUEST), "string", length))
     made = "n_bytes long, n_removed long, n_spans long, starts array<long>, ends array<long>, kept binary"
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried.schema.fields)
     out = materialise(step(results, replies, f"{kinds}, {made}"))
