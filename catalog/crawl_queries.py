@@ -125,6 +125,14 @@ def bfs_levels(spark, sf):
     return _visited(spark, sf)
 
 
+@query(f"""WITH RECURSIVE {D.EDGES}, reach(id) AS (
+  SELECT page_id FROM pages WHERE page_id IN (0, 1) UNION SELECT e.dst FROM reach r JOIN edges e ON e.src = r.id)
+  SELECT url FROM reach JOIN pages ON page_id = id""")
+def bfs_fixpoint(spark, sf):
+    """All URLs that can be reached, until no level is new."""
+    return frontier.bfs(_seeds(spark, sf), D.url_edges(spark, sf)).select("url")
+
+
 @query(f"{LEVELS} SELECT url, level FROM visited WHERE level = 0 UNION ALL SELECT DISTINCT url, 1 FROM visited WHERE level = 1")
 def bfs_one_level(spark, sf):
     seeds = _seeds(spark, sf).withColumn("level", F.lit(0))

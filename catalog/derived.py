@@ -130,7 +130,7 @@ SHARD = 25
 
 
 def sitemaps(spark: SparkSession, sf: str) -> DataFrame:
-    """Per host an index of nested sitemaps of at most ``SHARD`` pages each; indexes nest as well."""
+    """Per host a root that names all indexes of the host; an index names at most ``SHARD`` nested sitemaps of at most ``SHARD`` pages."""
     seen = pages(spark, sf).select(
         "page_id", "url", urls.authority("url").alias("host"), urls.scheme("url").alias("scheme"),
         F.floor(F.col("page_id") / SHARD).alias("shard"),
@@ -148,12 +148,13 @@ def sitemaps(spark: SparkSession, sf: str) -> DataFrame:
     mid_url = F.concat(F.lit("http://"), F.col("host"), F.lit("/sitemap-index"), top.cast("string"), F.lit(".xml"))
     wrapped = F.concat(F.lit("<sitemap><loc>"), F.col("sm"), F.lit("</loc></sitemap>"))
     mids = text(leaves.select("host", mid_url.alias("mid"), wrapped.alias("loc")).groupBy("host", "mid"))
-    roots = host_facts(spark, sf).select(
+    named = F.concat(F.lit("<sitemap><loc>"), F.col("mid"), F.lit("</loc></sitemap>"))
+    indexes = mids.groupBy("host").agg(F.array_join(F.array_sort(F.collect_list(named)), "").alias("indexes"))
+    roots = host_facts(spark, sf).join(indexes, "host").select(
         "host",
         F.concat("scheme", F.lit("://"), "host", F.when(F.col("n") % 2 == 0, "/robots-sitemap.xml").otherwise("/sitemap.xml")).alias("url"),
         F.concat(
-            F.lit("<urlset><sitemap><loc>http://"), F.col("host"), F.lit("/sitemap-index0.xml</loc></sitemap><loc>http://"),
-            F.col("host"), F.lit("/extra</loc><loc>"), F.col("scheme"), F.lit("://"), F.col("host"), F.lit("/sitemap.xml</loc>"),
+            F.lit("<urlset>"), F.col("indexes"), F.lit("<loc>http://"), F.col("host"), F.lit("/extra</loc><loc>"), F.col("scheme"), F.lit("://"), F.col("host"), F.lit("/sitemap.xml</loc>"),
         ).alias("content"),
     )
     return (
@@ -168,13 +169,14 @@ SITEMAPS = f"""seen AS (
   SELECT host, shard, 'http://' || host || '/nested/sitemap' || shard || '.xml' AS sm,
          '<urlset>' || string_agg(l, '' ORDER BY l) || '</urlset>' AS content
   FROM (SELECT *, '<url><loc> ' || replace(url, '&', '&amp;') || ' </loc></url>' AS l FROM seen) GROUP BY host, shard), mids AS (
-  SELECT 'http://' || host || '/sitemap-index' || (floor(shard / {SHARD})::BIGINT) || '.xml' AS sm,
+  SELECT host, 'http://' || host || '/sitemap-index' || (floor(shard / {SHARD})::BIGINT) || '.xml' AS sm,
          '<urlset>' || string_agg('<sitemap><loc>' || sm || '</loc></sitemap>', '' ORDER BY sm) || '</urlset>' AS content
-  FROM leaves GROUP BY 1), roots AS (
+  FROM leaves GROUP BY 1, 2), indexes AS (
+  SELECT host, string_agg('<sitemap><loc>' || sm || '</loc></sitemap>', '' ORDER BY sm) AS indexes FROM mids GROUP BY 1), roots AS (
   SELECT host, scheme || '://' || host || CASE WHEN n % 2 = 0 THEN '/robots-sitemap.xml' ELSE '/sitemap.xml' END AS url,
-         '<urlset><sitemap><loc>http://' || host || '/sitemap-index0.xml</loc></sitemap><loc>http://' || host || '/extra</loc><loc>'
-         || scheme || '://' || host || '/sitemap.xml</loc>' AS content FROM host_facts), sitemaps AS (
-  SELECT sm AS url, content FROM leaves UNION ALL SELECT * FROM mids UNION ALL SELECT url, content FROM roots)"""
+         '<urlset>' || indexes || '<loc>http://' || host || '/extra</loc><loc>'
+         || scheme || '://' || host || '/sitemap.xml</loc>' AS content FROM host_facts JOIN indexes USING (host)), sitemaps AS (
+  SELECT sm AS url, content FROM leaves UNION ALL SELECT sm, content FROM mids UNION ALL SELECT url, content FROM roots)"""
 
 
 # --- link graph ----------------------------------------------------------------------------------
@@ -238,11 +240,15 @@ RESPONSES = f"""responses AS (
 
 def store(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Store tables with some rows that break each rule."""
-    src = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", F.length("html").alias("size"))
+    src = spark.read.parquet(f"{sf}/pages.parquet").select(
+        "page_id", "url", F.length("html").alias("size"), urls.authority("url").alias("host")
+    )
+    hosts = src.groupBy("host").agg(F.min("page_id").alias("site"))  # one site for each host
+    src = src.join(hosts, "host")
     n = F.col("page_id")
     page = src.select(
         n.alias("id"),
-        F.when(n % 11 != 0, n % 40).alias("site_id"),
+        F.when(n % 11 != 0, F.col("site")).alias("site_id"),
         F.when(n % 17 == 0, "OTHER").when(n % 5 == 0, "DUPLICATE").otherwise("HTML").alias("page_type_code"),
         F.repeat(F.lit("7"), F.when(n % 31 == 0, 201).otherwise(20)).alias("lsh_hash"),
         "url",
@@ -250,8 +256,8 @@ def store(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.lit(200).alias("http_status_code"),
         F.lit(None).cast("timestamp_ntz").alias("accessed_time"),
     )
-    site = src.where((n % 40 == n) & (n != 13)).select(
-        n.alias("id"), urls.authority("url").alias("domain"), F.lit(None).cast("string").alias("robots_content"),
+    site = hosts.where(F.col("site") % 13 != 0).select(
+        F.col("site").alias("id"), F.col("host").alias("domain"), F.lit(None).cast("string").alias("robots_content"),
         F.lit(None).cast("string").alias("sitemap_content"),
     )
     link = src.select(n.alias("from_page"), F.when(n % 19 == 0, -n - 1).otherwise(n + 1 - n % 2).alias("to_page"))
@@ -269,10 +275,10 @@ def store(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 STORE = f"""page AS (
-  SELECT page_id AS id, CASE WHEN page_id % 11 <> 0 THEN page_id % 40 END AS site_id,
+  SELECT page_id AS id, CASE WHEN page_id % 11 <> 0 THEN min(page_id) OVER (PARTITION BY {part('url', 2)}) END AS site_id,
          CASE WHEN page_id % 17 = 0 THEN 'OTHER' WHEN page_id % 5 = 0 THEN 'DUPLICATE' ELSE 'HTML' END AS page_type_code,
          repeat('7', CASE WHEN page_id % 31 = 0 THEN 201 ELSE 20 END) AS lsh_hash, url FROM pages), site AS (
-  SELECT page_id AS id, {part('url', 2)} AS domain FROM pages WHERE page_id < 40 AND page_id <> 13), link AS (
+  SELECT min(page_id) AS id, {part('url', 2)} AS domain FROM pages GROUP BY 2 HAVING min(page_id) % 13 <> 0), link AS (
   SELECT page_id AS from_page, CASE WHEN page_id % 19 = 0 THEN -page_id - 1 ELSE page_id + 1 - page_id % 2 END AS to_page FROM pages), image AS (
   SELECT page_id * 2 AS id, CASE WHEN page_id % 23 = 0 THEN -page_id - 1 ELSE page_id END AS page_id,
          'i' || page_id || '.png' AS filename, 'png' AS content_type FROM pages), page_data AS (

@@ -127,7 +127,7 @@ FOUND = _verified(JACCARD, "true")
 @query()
 def near_duplicates(spark, sf):
     """By matching blocks, which SQL does not have; tests compare it with brute force."""
-    return _duplicates(spark, sf)
+    return _duplicates(spark, sf, similarity=dedup.matching_blocks(autojunk=True))
 
 
 @query(f"{FOUND} SELECT page_id, orig_id, round(score, 6) AS score FROM duplicates")

@@ -54,6 +54,26 @@ def fk_audit(spark, sf):
     return integrity.foreign_key_violations({**D.store(spark, sf), **codes})
 
 
+KEYS = [("page", ["id"]), ("page", ["url"]), ("site", ["domain"]), ("link", ["from_page", "to_page"]), ("image", ["page_id", "filename"])]
+
+
+def _repeated(table: str, columns: list[str]) -> str:
+    value = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    held = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    return f"""SELECT '{table}({', '.join(columns)})' AS "constraint", {value} AS value, count(*) AS n_rows
+      FROM {table} WHERE {held} GROUP BY {', '.join(columns)} HAVING count(*) > 1"""
+
+
+# Every seventh row twice, so that there is something to find.
+@query(f"""WITH {D.STORE.replace(' page AS (', ' page0 AS (', 1).replace('page AS (', 'page0 AS (', 1)},
+  page AS (SELECT id, url FROM page0 UNION ALL SELECT id, url FROM page0 WHERE id % 7 = 0)
+  {' UNION ALL '.join(_repeated(*key) for key in KEYS)}""")
+def key_audit(spark, sf):
+    stored = D.store(spark, sf)
+    page = stored["page"]
+    return integrity.key_violations({**stored, "page": page.unionByName(page.where(F.col("id") % 7 == 0))}, KEYS)
+
+
 @query(f"WITH {D.STORE} SELECT page_type_code AS value, count(*) AS n_rows FROM page WHERE page_type_code NOT IN ('HTML', 'BINARY', 'DUPLICATE', 'FRONTIER') GROUP BY 1")
 def code_audit(spark, sf):
     return integrity.code_violations(D.store(spark, sf)["page"], "page_type_code", "page_type")

@@ -25,9 +25,11 @@ DOCUMENT_TYPES = {
 IMAGE_EXTENSIONS = ("png", "jpeg", "jpg")
 GOOD_STATUS = (200, 203, 302)
 
-HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
+# What has no end runs to the end of the text; so no pattern looks at a text's rest more than once.
+HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 QUOTED = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-ATTRIBUTE = r"""\s+[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?"""
+OPEN_QUOTE = r"""(?:[^>"']++|"[^"]*+(?:"|\z)|'[^']*+(?:'|\z))*+\z"""
+ATTRIBUTE = r"""\s++[^\s=>"'/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"']++))?+"""
 
 
 def visible(html: Column) -> Column:
@@ -36,8 +38,14 @@ def visible(html: Column) -> Column:
 
 
 def tags(html: Column, names: tuple[str, ...]) -> Column:
-    """The start tags with one of the names, in document order."""
-    return F.regexp_extract_all(html, F.lit(rf"(?i)<(?:{'|'.join(names)})(?:[\s/]{QUOTED})?>"), F.lit(0))
+    """The start tags with one of the names, in document order.
+
+    A tag with an open quote takes the rest of the text, and is none.
+    """
+    start = rf"<(?:{'|'.join(names)})"
+    pattern = rf"(?i)({start}(?:[\s/]{QUOTED})?>)|{start}[\s/]{OPEN_QUOTE}"
+    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    return F.filter(found, lambda tag: tag != "")
 
 
 def tag_name(tag: Column) -> Column:
@@ -46,8 +54,12 @@ def tag_name(tag: Column) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute of a start tag: quoted or bare, entities decoded; NULL if absent or empty."""
-    pattern = rf"""(?i)^<[a-z]+(?:{ATTRIBUTE})*?\s+{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    value = F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
+    named = F.filter(
+        F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda a: a.rlike(rf"(?i)^\s+{name}\s*=")
+    )
+    pattern = rf"""(?i)^\s+{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    first = F.try_element_at(named, F.lit(1))
+    value = F.coalesce(F.concat(*[F.regexp_extract(first, pattern, k) for k in (1, 2, 3)]), F.lit(""))
     return F.nullif(decode_entities(value), F.lit(""))
 
 

@@ -54,8 +54,12 @@ class Similarity:
     prepare: Callable[[Column], Column] = lambda text: text
 
 
-def matching_blocks(autojunk: bool = True) -> Similarity:
-    """Ratcliff-Obershelp ratio; ``autojunk`` as in the standard library's matcher."""
+def matching_blocks(autojunk: bool) -> Similarity:
+    """Ratcliff-Obershelp ratio; ``autojunk`` as in the standard library's matcher.
+
+    With it, letters that make up more than a hundredth of a text of 200 characters or more are no anchors, so one
+    changed letter may give 0.0 there. Without it long texts are slow. The Jaccard form has no such switch.
+    """
 
     # Nested, so that the function travels to the workers by value.
     def score(later: Column, earlier: Column, threshold: float = 0.0) -> Column:
@@ -221,7 +225,7 @@ def near_duplicates(
     scheme: Scheme,
     *,
     history: DataFrame | None = None,
-    similarity: Similarity | None = None,
+    similarity: Similarity,
     threshold: float = THRESHOLD,
     block: int = BLOCK,
     hot_rows: int = MIN_ROWS,
@@ -233,13 +237,12 @@ def near_duplicates(
     With ``history`` (stored pages that were kept, same columns) the pages are a
     new batch: they are compared with the stored ones and with each other. Texts
     without any vocabulary unit share one signature, so only their exact copies
-    count.
+    count. ``similarity`` has no default: :func:`shingle_jaccard` is the one to start with.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be in (0, 1]")
     if block < 1:
         raise ValueError("block must be at least 1")
-    similarity = similarity or matching_blocks()
 
     def columns(df: DataFrame, is_new: bool) -> DataFrame:
         return df.select(F.col(page_id).alias("page_id"), F.col(text).alias("text"), F.lit(int(is_new)).alias("_new"))

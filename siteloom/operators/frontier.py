@@ -13,10 +13,6 @@ from siteloom.operators.ordering import previous_in_group, rank_in_group
 from siteloom.operators.skew import MIN_ROWS, hot_keys, repeated, salted
 from siteloom.session import bucketed, materialise
 
-MAX_PAGES = 100_000
-MAX_LEVEL = 2
-
-
 def next_level(frontier: DataFrame, links: DataFrame, visited: DataFrame) -> DataFrame:
     """URLs that the frontier links to and that were not visited: ``(url)``.
 
@@ -30,14 +26,15 @@ def bfs(
     seeds: DataFrame,
     links: DataFrame,
     *,
-    max_level: int | None = MAX_LEVEL,
-    max_pages: int | None = MAX_PAGES,
+    max_level: int | None = None,
+    max_pages: int | None = None,
     host_links: DataFrame | None = None,
     hot_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """``(url, level)`` of all URLs visited from the seeds, level by level.
 
-    ``max_level`` is the number of levels to visit (None: until no URL is new).
+    ``max_level`` is the number of levels to visit (None: until no URL is new); None is no
+    page limit for ``max_pages`` as well.
     A level that would take the total above ``max_pages`` keeps its first URLs
     in text order and the rest is not visited; the levels go on from there.
 
@@ -59,8 +56,8 @@ def bfs(
     while max_level is None or level < max_level:
         size = frontier.count()
         if max_pages is not None and total + size > max_pages:
-            # At most max_pages rows pass here.
-            frontier = materialise(frontier.orderBy("url").limit(max_pages - total))
+            first = rank_in_group(frontier, [], ["url"]).where(F.col("rank") <= max_pages - total)
+            frontier = materialise(first.select("url"))
             size = max_pages - total
         if size == 0:
             break

@@ -60,13 +60,27 @@ def keep_first(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
     Only key and order are aggregated; of a key with many rows each task keeps
     one before the shuffle. ``order`` must tell the rows of a key apart: rows
-    that are equal in it are reduced to one of them.
+    that are equal in it are reduced to one of them. Rows without a key are all
+    kept, as a UNIQUE column may hold any number of NULLs.
     """
+    unkeyed, rows = rows.where(F.col(key).isNull()), rows.where(F.col(key).isNotNull())
     first = rows.groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
     kept = first.select(F.col(key).alias("_key"), *[F.col(f"_first.{name}").alias(f"_{name}") for name in order])
     same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in order]
     matched = rows.join(kept, reduce(lambda a, b: a & b, same, F.col(key).eqNullSafe(F.col("_key"))), "left_semi")
-    return matched.dropDuplicates([key, *order])
+    return matched.dropDuplicates([key, *order]).unionByName(unkeyed)
+
+
+def key_violations(tables: dict[str, DataFrame], keys: list[tuple[str, list[str]]]) -> DataFrame:
+    """``(constraint, value, n_rows)`` for values of PRIMARY KEY or UNIQUE columns that several rows hold; NULL passes."""
+
+    def repeated(table: str, columns: list[str]) -> DataFrame:
+        held = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+        many = tables[table].where(held).groupBy(*columns).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+        value = F.concat_ws(",", *[F.col(c).cast("string") for c in columns])
+        return many.select(F.lit(f"{table}({', '.join(columns)})").alias("constraint"), value.alias("value"), "n_rows")
+
+    return reduce(DataFrame.unionByName, [repeated(*key) for key in keys if key[0] in tables])
 
 
 def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:

@@ -108,7 +108,7 @@ def encode(
 ) -> DataFrame:
     """``(doc_id, idx)``: the set of vocabulary indices of each text; unknown units are dropped."""
     grams = docs.select(doc_id, F.explode(F.array_distinct(shingle(F.col(text)))).alias("gram"))
-    return grams.join(_sized(vocab.select("gram", "idx")), "gram").select(doc_id, "idx").distinct()
+    return grams.join(_sized(vocab.select("gram", "idx")), "gram").select(doc_id, "idx")
 
 
 def encoded_sets(encoded: DataFrame, *, doc_id: str = "doc_id") -> DataFrame:

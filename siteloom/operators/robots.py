@@ -117,8 +117,9 @@ def policies(robots: DataFrame) -> DataFrame:
     rate = r"^\s*(\d+)\s*/\s*(\d+)\s*$"
 
     def last_number(key: str, pattern: str, part: int) -> Column:
-        valid = (F.col("key") == key) & F.col("value").rlike(pattern)
-        number = F.regexp_extract("value", pattern, part).cast("int")
+        # A number that no int holds is passed over, as any other odd value.
+        number = F.regexp_extract("value", pattern, part).try_cast("int")
+        valid = (F.col("key") == key) & F.col("value").rlike(pattern) & number.isNotNull()
         return F.max_by(F.when(valid, number), F.when(valid, F.col("line_no")))
 
     is_path = F.col("key").isin("allow", "disallow")

@@ -12,25 +12,22 @@ from pyspark.sql import functions as F
 
 from siteloom.session import materialise
 
-HOT_SHARE = 0.001
 MIN_ROWS = 200_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = MIN_ROWS) -> DataFrame | None:
-    """Keys that hold more than ``share`` of the rows, with the number of salts each needs.
+def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_ROWS) -> DataFrame | None:
+    """Keys with more than ``min_rows`` rows, with the number of salts each needs.
 
-    At most ``1 / share`` keys can qualify, so the result is safe to broadcast
-    at any data size. None if the table is too small for a hot key.
+    The bound is a number of rows a task can take and does not grow with the table. None if the
+    table is too small for a hot key.
     """
-    rows = df.count()
-    if rows <= min_rows:
+    if df.count() <= min_rows:
         return None
-    limit = max(int(rows * share), min_rows)
     return materialise(
         df.groupBy(F.col(key).alias("_hot"))
         .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") > limit)
-        .select("_hot", F.ceil(F.col("_rows") / limit).cast("int").alias("_salts"))
+        .where(F.col("_rows") > min_rows)
+        .select("_hot", F.ceil(F.col("_rows") / min_rows).cast("int").alias("_salts"))
     )
 
 
@@ -51,4 +48,5 @@ def repeated(df: DataFrame, hot: DataFrame | None, key: str) -> DataFrame:
 
 
 def _with_salts(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
-    return df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    # The table is written out, so Spark knows its size and broadcasts it if it is small.
+    return df.join(hot, F.col(key) == F.col("_hot"), "left")

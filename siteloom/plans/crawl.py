@@ -56,8 +56,8 @@ def stored_crawl(
     *,
     robots: DataFrame | None = None,
     sitemaps: DataFrame | None = None,
-    max_level: int | None = frontier.MAX_LEVEL,
-    max_pages: int | None = frontier.MAX_PAGES,
+    max_level: int | None = None,
+    max_pages: int | None = None,
     **edges,
 ) -> DataFrame:
     """``(url, level)`` of a crawl from the seeds; ``edges`` goes to :func:`link_edges`."""

@@ -46,16 +46,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df``; keeps its partitioning, so later joins may reuse it."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and read it back.
 
-    Unlike :func:`cut_lineage` the result has file statistics (so Spark can
+    Unlike a checkpoint the result has file statistics (so Spark can
     size its joins) and columns that a later step does not use are not read.
     """
     spark = df.sparkSession

@@ -2,46 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siteloom.operators.ordering import rank_in_group
+from siteloom.session import materialise
 
 VERTEX = r'^\s*(\d+)\s+(?:"([^"]*)"|(\S+))'
 ARC = r"^\s*(\d+)\s+(\d+)(?:\s+(\S+))?"
 
 
-def read_pajek(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """``vertices(v_no, label)`` and ``edges(src, dst, weight)`` by vertex number.
+def _sectioned(spark: SparkSession, path: str) -> DataFrame:
+    """``line, section``: each line with the last section line above it.
 
-    A weight that is not given is 1. The few section lines are collected; every
-    other line belongs to the last section line above it.
+    Lines are numbered within a split of the file; the last section of each split, one
+    small row, is carried on to the next ones.
     """
-    lines = spark.sparkContext.textFile(path).zipWithIndex().toDF("line string, no long")
-    heads = [
-        (row["no"], row["line"].split()[0].lower())
-        for row in lines.where(F.startswith("line", F.lit("*"))).orderBy("no").limit(1000).collect()
-    ]
+    read = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("no"),
+    )
+    lines = materialise(read.where(F.trim("line") != ""))
+    head = F.when(F.startswith("line", F.lit("*")), F.lower(F.regexp_extract("line", r"^(\S+)", 1)))
+    split = Window.partitionBy("file", "at")
+    own = F.last(head, ignorenulls=True).over(split.orderBy("no"))
+    ends = lines.groupBy("file", "at").agg(F.max_by(head, F.when(head.isNotNull(), F.col("no"))).alias("end"))
+    earlier = Window.orderBy("file", "at").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select("file", "at", F.last("end", ignorenulls=True).over(earlier).alias("carried"))
+    placed = lines.select("line", "file", "at", head.isNotNull().alias("is_head"), own.alias("own")).join(carried, ["file", "at"])
+    return placed.where(~F.col("is_head")).select("line", F.coalesce("own", "carried").alias("section"))
 
-    def section(names: tuple[str, ...]) -> DataFrame:
-        inside = F.lit(False)
-        for place, (start, name) in enumerate(heads):
-            if name in names:
-                end = heads[place + 1][0] if place + 1 < len(heads) else 2**62
-                inside = inside | F.col("no").between(start + 1, end - 1)
-        return lines.where(inside & (F.trim("line") != ""))
 
-    vertices = section(("*vertices",)).select(
-        F.regexp_extract("line", VERTEX, 1).cast("long").alias("v_no"),
+def read_pajek(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``vertices(v_no, label)`` and ``edges(src, dst, weight)`` by vertex number.
+
+    A weight that is not given is 1. Lines whose numbers are missing or too long are left out.
+    """
+    lines = _sectioned(spark, path)
+    number = lambda pattern, part: F.regexp_extract("line", pattern, part).try_cast("long")
+    vertices = lines.where(F.col("section") == "*vertices").select(
+        number(VERTEX, 1).alias("v_no"),
         F.concat(F.regexp_extract("line", VERTEX, 2), F.regexp_extract("line", VERTEX, 3)).alias("label"),
     )
-    weight = F.nullif(F.regexp_extract("line", ARC, 3), F.lit("")).cast("double")
-    edges = section(("*arcs", "*edges")).select(
-        F.regexp_extract("line", ARC, 1).cast("long").alias("src"),
-        F.regexp_extract("line", ARC, 2).cast("long").alias("dst"),
-        F.coalesce(weight, F.lit(1.0)).alias("weight"),
+    weight = F.regexp_extract("line", ARC, 3).try_cast("double")
+    edges = lines.where(F.col("section").isin("*arcs", "*edges")).select(
+        number(ARC, 1).alias("src"), number(ARC, 2).alias("dst"), F.coalesce(weight, F.lit(1.0)).alias("weight")
     )
-    return vertices, edges
+    return vertices.dropna(subset=["v_no"]), edges.dropna(subset=["src", "dst"])
 
 
 def write_pajek(edges: DataFrame, path: str) -> None:

@@ -113,8 +113,9 @@ def _now() -> Column:
 
 
 def stamped_pages(pages: DataFrame) -> DataFrame:
-    """``page`` rows with ids from their URLs and the time of now."""
-    filled = pages.withColumns({"id": row_id("url"), "accessed_time": _now()})
+    """``page`` rows with ids from their URLs; a time that is not given is now."""
+    given = F.col("accessed_time") if "accessed_time" in pages.columns else F.lit(None)
+    filled = pages.withColumns({"id": row_id("url"), "accessed_time": F.coalesce(given.cast("timestamp_ntz"), _now())})
     return filled.select(*schema("page").names)
 
 
@@ -138,7 +139,8 @@ def resolved_images(images: DataFrame, page: DataFrame) -> DataFrame:
     """
     given = images.select("page_url", "filename", "content_type", "path")
     found = given.join(_page_ids(page, "page_url", "page_id"), "page_url")
-    identified = found.withColumns({"id": F.xxhash64("page_id", "path"), "accessed_time": _now()})
+    # A page's image at a path is one row, however often it comes.
+    identified = found.withColumns({"id": F.xxhash64("page_id", "path"), "accessed_time": _now()}).dropDuplicates(["page_id", "path"])
     return identified.select(*schema("image").names)
 
 
@@ -149,6 +151,7 @@ def resolved_files(files: DataFrame, page: DataFrame) -> tuple[DataFrame, DataFr
     """
     given = files.select("url", "data_type_code", "path")
     found = given.join(_page_ids(page, "url", "page_id"), "url").withColumn("id", F.xxhash64("page_id", "path"))
+    found = found.dropDuplicates(["page_id", "path"])
     rejected = given.join(page.select("url"), "url", "left_anti")
     return found.select(*schema("page_data").names), rejected
 
@@ -201,19 +204,20 @@ class CorpusStore:
         """Append pages whose URL is not stored, the first of each URL."""
         from siteloom.operators.integrity import keep_first
 
-        rows = keep_first(stamped_pages(pages), "url", ["accessed_time", "id", "lsh_hash"])
+        rows = keep_first(stamped_pages(pages), "url", ["accessed_time", *sorted(set(schema("page").names) - {"url", "accessed_time"})])
         self._append("page", rows.join(self.read("page").select("url"), "url", "left_anti"))
 
     def add_sites(self, sites: DataFrame) -> None:
         self._append("site", new_sites(sites, self.read("site")))
 
     def add_images(self, images: DataFrame) -> None:
-        self._append("image", resolved_images(images, self.read("page")))
+        rows = resolved_images(images, self.read("page"))
+        self._append("image", rows.join(self.read("image").select("page_id", "path"), ["page_id", "path"], "left_anti"))
 
     def add_files(self, files: DataFrame) -> DataFrame:
         """Append files of stored pages; gives the files that have none."""
         rows, rejected = resolved_files(files, self.read("page"))
-        self._append("page_data", rows)
+        self._append("page_data", rows.join(self.read("page_data").select("id"), "id", "left_anti"))
         return rejected
 
     def add_links(self, pairs: DataFrame) -> None:

@@ -19,3 +19,10 @@ def test_query_equals_sql(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 10
+
+
+def test_all_pages_are_in_the_sitemap_tree(spark):
+    sf = "/root/testdata/sf0.1"
+    reached = entry.queries()["sitemap_nested"](spark, sf).select("url").distinct()
+    pages = spark.read.parquet(f"{sf}/pages.parquet").select("url").distinct()
+    assert pages.join(reached, "url", "left_anti").count() == 0

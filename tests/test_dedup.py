@@ -68,7 +68,7 @@ def test_vocabulary(spark):
 def test_matching_blocks_ratio(spark):
     pairs = [("abcd", "bcde"), ("", ""), ("tide", "diet"), ("diet", "tide"), ("x" + "ab" * 200, "ab" * 200)]
     df = spark.createDataFrame(pairs, "a string, b string")
-    scores = [row[0] for row in df.select(dedup.matching_blocks().score(F.col("a"), F.col("b"))).collect()]
+    scores = [row[0] for row in df.select(dedup.matching_blocks(autojunk=True).score(F.col("a"), F.col("b"))).collect()]
     assert scores == [0.75, 1.0, 0.25, 0.5, 0.0]
     again = df.select(dedup.matching_blocks(autojunk=False).score(F.col("a"), F.col("b"))).collect()
     assert again[-1][0] > 0.99
@@ -135,14 +135,14 @@ def test_duplicates_equal_brute_force(world, block, hot_rows):
     texts, pages, vocab, scheme, sigs, known = world
     want = greedy(texts, sigs, blocks, 0.9, known=known)
     assert len(want) > 20
-    found = dedup.near_duplicates(pages, vocab, scheme, block=block, hot_rows=hot_rows)
+    found = dedup.near_duplicates(pages, vocab, scheme, similarity=dedup.matching_blocks(autojunk=True), block=block, hot_rows=hot_rows)
     assert decisions(found) == want
 
 
 def test_duplicates_do_not_depend_on_partitions(spark, world):
     texts, pages, vocab, scheme, sigs, known = world
     spark.conf.set("spark.sql.shuffle.partitions", "1")
-    one = decisions(dedup.near_duplicates(pages.repartition(7), vocab, scheme, block=2))
+    one = decisions(dedup.near_duplicates(pages.repartition(7), vocab, scheme, similarity=dedup.matching_blocks(autojunk=True), block=2))
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert one == greedy(texts, sigs, blocks, 0.9, known=known)
 
@@ -151,7 +151,7 @@ def test_batch_against_history(world):
     texts, pages, vocab, scheme, sigs, known = world
     stored = {page for page in texts if page % 4 == 3}
     is_stored = F.col("page_id") % 4 == 3
-    found = dedup.dedup_batch(pages.where(~is_stored), pages.where(is_stored), vocab, scheme, block=3)
+    found = dedup.dedup_batch(pages.where(~is_stored), pages.where(is_stored), vocab, scheme, similarity=dedup.matching_blocks(autojunk=True), block=3)
     assert decisions(found) == greedy(texts, sigs, blocks, 0.9, stored, known)
 
 
@@ -160,7 +160,7 @@ def test_new_copy_of_a_stored_page_belongs_to_the_first_similar_stored_page(spar
     text = "the quick brown fox jumps over the lazy dog near the river bank"
     rows = [(5, text + "!"), (6, text), (7, text), (1, text), (2, text.upper()), (3, text), (8, "###"), (4, "###")]
     pages = spark.createDataFrame(rows, "page_id long, text string")
-    found = dedup.dedup_batch(pages.where("page_id < 5"), pages.where("page_id >= 5"), vocab, scheme).collect()
+    found = dedup.dedup_batch(pages.where("page_id < 5"), pages.where("page_id >= 5"), vocab, scheme, similarity=dedup.matching_blocks(autojunk=True)).collect()
     assert {(row.page_id, row.orig_id) for row in found} == {(1, 5), (3, 5), (4, 8)}
     assert {row.score for row in found if row.page_id == 4} == {1.0}
 

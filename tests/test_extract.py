@@ -86,3 +86,23 @@ def test_native_links_use_no_python_and_read_three_columns(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     plan = extract.links(pages)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InPandas" not in plan and "Exchange" not in plan
+
+
+def test_open_comments_quotes_and_many_attributes_are_linear(spark):
+    import time
+
+    from siteloom.functions import html
+
+    texts = [
+        "<!-- " * 200_000,
+        "<script>" * 120_000,
+        "<a href=\"x " * 100_000,
+        "<a " + " ".join(f"k{n}='v'" for n in range(100_000)) + " href='/end'>",
+        "<a href='/one'><!-- <a href='/two'>",
+    ]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "n long, text string")
+    found = df.select("n", F.explode(html.tags(html.visible("text"), ("a",))).alias("tag"))
+    started = time.time()
+    rows = {r.n: r.href for r in found.select("n", html.attribute(F.col("tag"), "href").alias("href")).collect()}
+    assert time.time() - started < 30
+    assert rows == {3: "/end", 4: "/one"}

@@ -101,3 +101,11 @@ def test_site_rows(spark, robots):
     assert set(rows) == {"b.si", "f.si", "n.si"}
     assert rows["b.si"].sitemap_content == "B" and rows["f.si"].sitemap_content == "F"
     assert rows["n.si"].robots_content is None and rows["n.si"].sitemap_content is None
+
+
+def test_numbers_that_fit_no_int_are_passed_over(spark):
+    from siteloom.operators import robots
+
+    rows = [("a", "User-agent: *\nCrawl-delay: 7\nCrawl-delay: 99999999999999\nRequest-rate: 1/" + "9" * 40)]
+    found = robots.policies(spark.createDataFrame(rows, "host string, content string")).first()
+    assert (found.crawl_delay, found.req_num, found.req_secs) == (7, None, None) or (found.crawl_delay, found.req_secs) == (7, None)

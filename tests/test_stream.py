@@ -1,4 +1,4 @@
-from siteloom.operators import minhash
+from siteloom.operators import dedup, minhash
 from siteloom.streaming import arrivals
 
 
@@ -13,7 +13,7 @@ def test_arrivals(spark, tmp_path):
     scheme = minhash.Scheme(num_bands=1, num_hash=1)
     for rows in batches:
         spark.createDataFrame(rows, arrivals.ARRIVALS).coalesce(1).write.mode("append").parquet(source)
-        arrivals.start(spark, source, store, progress, vocab, scheme).awaitTermination()
+        arrivals.start(spark, source, store, progress, vocab, scheme, similarity=dedup.matching_blocks(autojunk=True)).awaitTermination()
     pages = {row.page_id: row for row in arrivals.stored_pages(spark, store).collect()}
     assert {page: row.page_type_code for page, row in pages.items()} == {1: "HTML", 2: "HTML", 3: "HTML", 4: "DUPLICATE", 5: "HTML"}
     assert pages[4].html is None and pages[1].batch_id != pages[4].batch_id

@@ -119,3 +119,22 @@ def test_report(spark):
 
 def test_seeds(spark):
     assert T.seeds(spark, ["http://a.si", "http://a.si", "http://b.si"]).count() == 2
+
+
+def test_pajek_with_many_sections(spark, tmp_path):
+    from siteloom.sources.pajek import read_pajek
+
+    text = "".join(f"*partition p{k}\n{k}\n" for k in range(1200)) + "*vertices 2\n1 \"a b\"\n2 c\nodd line\n*arcs\n1 2\n2 1 0.5\n99999999999999999999 1\n"
+    (tmp_path / "net").write_text(text)
+    vertices, edges = read_pajek(spark, str(tmp_path / "net"))
+    assert sorted(map(tuple, vertices.collect())) == [(1, "a b"), (2, "c")]
+    assert sorted(map(tuple, edges.collect())) == [(1, 2, 1.0), (2, 1, 0.5)]
+
+
+def test_keys(spark):
+    from siteloom.operators import integrity
+
+    rows = spark.createDataFrame([(1, "u"), (1, "v"), (2, "v"), (3, None), (4, None)], "id long, url string")
+    found = integrity.key_violations({"page": rows}, [("page", ["id"]), ("page", ["url"]), ("page", ["id", "url"])])
+    assert sorted(map(tuple, found.collect())) == [("page(id)", "1", 2), ("page(url)", "v", 2)]
+    assert integrity.keep_first(rows, "url", ["id"]).count() == 4
