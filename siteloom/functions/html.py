@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,12 +66,37 @@ def attribute(tag: Column, name: str) -> Column:
     return F.nullif(decode_entities(value), F.lit(""))
 
 
+def _letter(number: Column) -> Column:
+    """The character of a code point; U+FFFD for numbers that are none."""
+    valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+    code = F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")
+    return F.decode(F.unhex(code), "UTF-32")
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode the entities that occur in URLs; ``&amp;`` last, so nothing is decoded twice."""
-    plain = text
-    for entity, letter in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
-        plain = F.replace(plain, F.lit(entity), F.lit(letter))
-    return F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
+    """Decode numeric entities and the named ones of HTML 5 that end in a semicolon, each once.
+
+    The text is cut at ``&``; a part that starts with an entity gets its letters in place of it.
+    """
+    names = {name[:-1]: letters for name, letters in html5.items() if name.endswith(";")}
+    table = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        entity = F.regexp_extract(part, r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);", 1)
+        decimal = F.coalesce(F.regexp_extract(entity, r"^#([0-9]+)$", 1).try_cast("long"), F.lit(0))
+        digits = F.regexp_extract(entity, r"^#[xX]0*([0-9A-Fa-f]{1,8})$", 1)
+        hexadecimal = F.coalesce(F.conv(F.nullif(digits, F.lit("")), 16, 10).try_cast("long"), F.lit(0))
+        letters = (
+            F.when(entity.rlike("^#[0-9]"), _letter(decimal))
+            .when(entity.rlike("^#"), _letter(hexadecimal))
+            .otherwise(F.try_element_at(table, entity))
+        )
+        rest = F.substr(part, F.length(entity) + 2)
+        return F.when((entity == "") | letters.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(letters, rest))
+
+    parts = F.split(text, "&")
+    found = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decoded), ""))
+    return F.when(F.contains(text, F.lit("&")), found).otherwise(text)
 
 
 def redirects(onclick: Column) -> Column:

@@ -106,3 +106,17 @@ def test_open_comments_quotes_and_many_attributes_are_linear(spark):
     rows = {r.n: r.href for r in found.select("n", html.attribute(F.col("tag"), "href").alias("href")).collect()}
     assert time.time() - started < 30
     assert rows == {3: "/end", 4: "/one"}
+
+
+def test_entities(spark):
+    import html as library
+
+    from siteloom.functions import html
+
+    texts = ["/caf&eacute;&#38;z", "a&amp;lt;b", "x&#x41;&#0038;&#x1F600;", "&&;&nosuch;&#;&#x;q&lt", "no", "", "?a=1&b=2&copy;", "&#55296;&#99999999999999999999;"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(html.decode_entities(F.col("t"))).collect()]
+    want = [library.unescape(t) for t in texts]
+    want[3] = want[3].replace("<", "&lt")  # without a semicolon it stays
+    want[7] = "\ufffd\ufffd"
+    assert got == want
