@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import derived as D
@@ -10,6 +12,8 @@ from catalog.registry import query
 from catalog.url_queries import PAGE_CLASS, PAGE_LINKS
 from siteloom.functions import urls
 from siteloom.operators import extract, graph, integrity, report
+from siteloom.session import checkpoint_dir, materialise
+from siteloom.sources import pajek
 from siteloom.sources import tables as T
 
 DIRECTORY = f"{part('url', 2)} || regexp_replace({part('url', 3)}, '[0-9]+.*$', '')"
@@ -265,3 +269,89 @@ def crawl_speed(spark, sf):
     accesses = spark.read.parquet(f"{sf}/events.parquet").select(F.col("ts").cast("timestamp_ntz").alias("accessed_time"))
     speed = report.crawl_speed(accesses)
     return speed.select("n_pages", F.round("seconds", 3).alias("seconds"), F.round("pages_per_second", 6).alias("pages_per_second"))
+
+
+# --- files and store: written to the shared folder and read back ------------------------------------
+
+
+def _folder(spark) -> str:
+    return f"{checkpoint_dir(spark)}/siteloom/{uuid.uuid4().hex}"
+
+
+@query(f"WITH {D.EDGES} SELECT src AS from_page, dst AS to_page FROM edges")
+def link_csv(spark, sf):
+    path = _folder(spark)
+    D.page_edges(spark, sf).write.csv(path, sep=";")
+    return T.read_links(spark, path)
+
+
+@query(f"""WITH {D.STORE} SELECT id AS site_id, domain AS site_name,
+  'User-agent: *' || chr(10) || 'Disallow: /x' || id AS robots, 'a;"' || id || '"' AS sitemap FROM site""")
+def site_csv(spark, sf):
+    path = _folder(spark)
+    site = D.store(spark, sf)["site"]
+    robots = F.concat(F.lit("User-agent: *\nDisallow: /x"), F.col("id").cast("string"))
+    sitemap = F.concat(F.lit('a;"'), F.col("id").cast("string"), F.lit('"'))
+    rows = site.select(F.col("id").alias("site_id"), F.col("domain").alias("site_name"), robots.alias("robots"), sitemap.alias("sitemap"))
+    rows.write.csv(path, sep=";", header=True)
+    return T.read_sites(spark, path)
+
+
+@query(f"WITH {D.STORE} SELECT id, site_id, page_type_code AS type, lsh_hash, url, 200 AS status_code FROM page")
+def page_csv(spark, sf):
+    path = _folder(spark)
+    page = D.store(spark, sf)["page"]
+    rows = page.select(
+        "id", "site_id", F.col("page_type_code").alias("type"), "lsh_hash", "url", F.col("http_status_code").alias("status_code"),
+        F.col("accessed_time").cast("string").alias("time_retreived"),
+    )
+    rows.write.csv(path, sep=";", header=True)
+    return T.read_page_list(spark, path).drop("time_retreived")
+
+
+@query(f"""WITH {D.EDGES} SELECT s.url AS src, t.url AS dst, 1.0::DOUBLE AS weight
+  FROM edges JOIN pages s ON s.page_id = src JOIN pages t ON t.page_id = dst""")
+def pajek_round_trip(spark, sf):
+    path = _folder(spark)
+    pajek.write_pajek(D.url_edges(spark, sf), path)
+    vertices, edges = pajek.read_pajek(spark, path)
+    sources, targets = vertices.toDF("src", "src_url"), vertices.toDF("dst", "dst_url")
+    named = edges.join(sources, "src").join(targets, "dst")
+    return named.select(F.col("src_url").alias("src"), F.col("dst_url").alias("dst"), "weight")
+
+
+@query("SELECT url AS gram, row_number() OVER (ORDER BY url) - 1 AS idx FROM (SELECT DISTINCT url FROM pages)")
+def vocabulary_file(spark, sf):
+    path = _folder(spark)
+    _plain(spark, sf).select("url").distinct().orderBy("url").write.text(path)
+    return T.read_vocabulary(spark, path)
+
+
+@query("SELECT DISTINCT url FROM pages")
+def seed_table(spark, sf):
+    urls_ = _plain(spark, sf).select("url")
+    return T.seeds(spark, urls_.unionByName(urls_))
+
+
+@query("""SELECT unnest(['first', 'truncated', 'second']) AS state,
+  unnest([count(DISTINCT url), 0, count(DISTINCT url) FILTER (WHERE page_id % 2 = 0)]) AS n_pages FROM pages""")
+def store_refresh(spark, sf):
+    """Append, empty and append again; a URL that comes twice is stored once."""
+    stored = T.CorpusStore(spark, _folder(spark))
+    stored.create()
+    rows = D.store(spark, sf)["page"].drop("id", "accessed_time")
+    counts = []
+
+    def note(state: str) -> None:
+        # Written out, as the files are replaced by the next step.
+        counts.append(materialise(stored.read("page").agg(F.lit(state).alias("state"), F.count("*").alias("n_pages"))))
+
+    stored.add_pages(rows)
+    stored.add_pages(rows)
+    note("first")
+    stored.truncate()
+    note("truncated")
+    even = _plain(spark, sf).where(F.col("page_id") % 2 == 0).select("url")
+    stored.add_pages(rows.join(even.distinct(), "url", "left_semi"))
+    note("second")
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])

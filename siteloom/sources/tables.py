@@ -91,8 +91,10 @@ def read_vocabulary(spark: SparkSession, path: str, strip: bool = False) -> Data
     return lines.groupBy(F.regexp_replace("line", cut, "").alias("gram")).agg(F.max("idx").alias("idx"))
 
 
-def seeds(spark: SparkSession, pages: list[str]) -> DataFrame:
-    """The frontier of level 0, each seed once."""
+def seeds(spark: SparkSession, pages: list[str] | DataFrame) -> DataFrame:
+    """The frontier of level 0, each seed once: a list of URLs or a table with ``url``."""
+    if isinstance(pages, DataFrame):
+        return pages.select("url").where(F.col("url").isNotNull()).distinct()
     return spark.createDataFrame([(url,) for url in pages], "url string").distinct()
 
 
