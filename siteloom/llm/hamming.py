@@ -105,13 +105,15 @@ def index(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(work, "key long, id long")
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], sifted: bool = False) -> DataFrame:
-    """The pairs ``a, b`` whose sets pass ``threshold`` (a fraction), tested on the whole sets.
-
-    ``sifted`` tells that their long signatures have been compared.
-    """
+def _linked(one: np.ndarray, two: np.ndarray, threshold: tuple[int, int]) -> bool:
     over, under = threshold
-    slack = _slack(over, under)
+    shared = len(np.intersect1d(one, two, assume_unique=True))
+    return under * shared >= over * (len(one) + len(two) - shared)
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs ``a, b`` whose sets pass ``threshold`` (a fraction), tested on the whole sets."""
+    slack = _slack(*threshold)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,9 +133,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], sif
                     sets.update(zip(new, sketch.shingles(list(new.values())), strict=True))
                 linked = []
                 for a, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    one, two = sets[a], sets[b]
-                    common_ = len(np.intersect1d(one, two, assume_unique=True))
-                    linked.append(under * common_ >= over * (len(one) + len(two) - common_))
+                    linked.append(_linked(sets[a], sets[b], threshold))
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(linked)) for c in part.columns[:2]], ["a", "b"])
 
     def beside(rows: DataFrame, column: str) -> DataFrame:
@@ -141,75 +141,99 @@ def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int], sif
         right = texts.select(F.col("id").alias("b"), F.col(column).alias("two"))
         return rows.join(left, "a").join(right, "b").select("a", "b", "one", "two")
 
-    close = pairs if sifted else materialise(beside(pairs, "long").mapInArrow(near, "a long, b long"))
+    close = materialise(beside(pairs, "long").mapInArrow(near, "a long, b long"))
     return materialise(beside(close, "text").mapInArrow(exact, "a long, b long"))
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each key and slice (the first two columns, by which rows are sorted)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, slices = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        if held and (held[0].column(0)[0].as_py(), held[0].column(1)[0].as_py()) != (keys[0], slices[0]):
+            yield pa.Table.from_batches(held)
+            held = []
+        edges = np.flatnonzero((np.diff(keys) != 0) | (np.diff(slices) != 0)) + 1
+        cuts = [0, *edges.tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            held.append(batch.slice(start, end - start))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _by_key(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "slice").sortWithinPartitions("key", "slice", "id")
+
+
 def _across(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs of different components at a key and slice, within the signature distances.
+    """Classes of different components at a key and slice that are within the signature distances.
 
-    ``rows`` (key, slice, main, id, component, n, signature, long) are sorted by key and slice.
+    Takes rows (key, slice, main, id, component, n, signature, long) and gives a row (key, slice, id, others) for
+    each class that has a partner; a pair is in the list of one of the two.
     """
     ratio, slack = threshold[0] / threshold[1], _slack(*threshold)
 
-    def pairs(run: pa.Table) -> tuple[list[int], list[int]]:
-        symbols = _symbols(run.column("signature"), sketch.SYMBOLS)
-        longer = _symbols(run.column("long"), LONG, "uint8")
-        names = ("id", "component", "n", "main")
-        ids, part, n, main = (run.column(c).to_numpy() for c in names)
-        key, number = run.column("key")[0].as_py() >> 48, run.column("slice")[0].as_py()
-        a, b = [], []
-        for k in range(len(ids) - 1):
-            rest = slice(k + 1, None)
-            fit = part[rest] != part[k]
-            fit &= np.minimum(n[rest], n[k]) >= ratio * np.maximum(n[rest], n[k])
-            if number:
-                fit &= main[rest] | main[k]
-            at = np.flatnonzero(fit) + k + 1
-            at = at[(symbols[at] != symbols[k]).sum(axis=1) <= DISTANCE]
-            at = at[(longer[at] != longer[k]).sum(axis=1) <= slack]
-            for other, row in zip(at, symbols[at] == symbols[k], strict=True):
-                hits = row.reshape(CHUNKS, CHUNK)
-                chunk = int(np.argmax(hits.sum(axis=1) >= CHUNK - 1))
-                left = 0 if hits[chunk].all() else int(np.argmin(hits[chunk]))
-                if chunk * CHUNK + left == key:
-                    a.append(int(ids[k]))
-                    b.append(int(ids[other]))
-        return a, b
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def runs(batches) -> Iterator[pa.Table]:
-            nonlocal held
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                keys, slices = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-                edges = np.flatnonzero((np.diff(keys) != 0) | (np.diff(slices) != 0)) + 1
-                if held and (held[0].column(0)[0].as_py(), held[0].column(1)[0].as_py()) != (keys[0], slices[0]):
-                    yield pa.Table.from_batches(held)
-                    held = []
-                cuts = [0, *edges.tolist(), batch.num_rows]
-                for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-                    held.append(batch.slice(start, end - start))
-                    if end < batch.num_rows:
-                        yield pa.Table.from_batches(held)
-                        held = []
-            if held:
-                yield pa.Table.from_batches(held)
+        for run in _runs(batches):
+            symbols = _symbols(run.column("signature"), sketch.SYMBOLS)
+            longer = _symbols(run.column("long"), LONG, "uint8")
+            ids, part, n, main = (run.column(c).to_numpy() for c in ("id", "component", "n", "main"))
+            key, number = run.column("key")[0].as_py(), run.column("slice")[0].as_py()
+            partners: dict[int, list[int]] = {}
+            for k in range(len(ids) - 1):
+                rest = slice(k + 1, None)
+                fit = part[rest] != part[k]
+                fit &= np.minimum(n[rest], n[k]) >= ratio * np.maximum(n[rest], n[k])
+                if number:  # pairs of the other classes are met in the first slice
+                    fit &= main[rest] | main[k]
+                at = np.flatnonzero(fit) + k + 1
+                at = at[(symbols[at] != symbols[k]).sum(axis=1) <= DISTANCE]
+                at = at[(longer[at] != longer[k]).sum(axis=1) <= slack]
+                for other, row in zip(at.tolist(), symbols[at] == symbols[k], strict=True):
+                    hits = row.reshape(CHUNKS, CHUNK)
+                    chunk = int(np.argmax(hits.sum(axis=1) >= CHUNK - 1))
+                    left = 0 if hits[chunk].all() else int(np.argmin(hits[chunk]))
+                    if chunk * CHUNK + left == key >> 48:
+                        partners.setdefault(k, []).append(int(ids[other]))
+                        partners.setdefault(other, [])
+            if partners:
+                count = len(partners)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([key] * count, "int64"),
+                        pa.array([number] * count, "int32"),
+                        pa.array(ids[list(partners)]),
+                        pa.array(list(partners.values()), pa.list_(pa.int64())),
+                    ],
+                    ["key", "slice", "id", "others"],
+                )
+
+    return _by_key(rows).mapInArrow(work, "key long, slice int, id long, others array<long>")
 
-        a, b = [], []
-        for run in runs(batches):
-            more = pairs(run)
-            a += more[0]
-            b += more[1]
-            if len(a) >= 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, "int64"), pa.array(b, "int64")], ["a", "b"])
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, "int64"), pa.array(b, "int64")], ["a", "b"])
 
-    return rows.mapInArrow(work, "a long, b long")
+def _confirm_at_key(rows: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs of ``_across`` whose sets pass: a set is made once at its key, not once a pair."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in _runs(batches):
+            ids = run.column("id").to_pylist()
+            sets = dict(zip(ids, sketch.shingles(run.column("text").to_pylist()), strict=True))
+            found = [
+                (a, b)
+                for a, others in zip(ids, run.column("others").to_pylist(), strict=True)
+                for b in others
+                if _linked(sets[a], sets[b], threshold)
+            ]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(side, "int64") for side in zip(*found, strict=True)], ["a", "b"])
+
+    beside = rows.join(texts.select("id", "text"), "id").select("key", "slice", "id", "others", "text")
+    return materialise(_by_key(beside).mapInArrow(work, "a long, b long"))
 
 
 def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -265,8 +289,7 @@ def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> Da
     dealt = dealt.withColumn("slice", F.explode(F.when(F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("slices") - 1))))
     marks = materialise(classes.select("id", "n", "signature").join(texts.select("id", "long"), "id"))
     dealt = dealt.join(marks, "id").select("key", "slice", "main", "id", "component", "n", "signature", "long")
-    dealt = dealt.repartition("key", "slice").sortWithinPartitions("key", "slice", "id")
-    more = _confirm(materialise(_across(dealt, threshold)).distinct(), texts, threshold, sifted=True)
+    more = _confirm_at_key(materialise(_across(dealt, threshold)), texts, threshold)
 
     final = graph.components(links.unionByName(more)).withColumnRenamed("node", "id")
     named = classes.join(final, "id", "left").select("print", F.coalesce("component", "id").alias("component"))
