@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ from siteloom.session import bucketed, materialise
 
 LENGTH = 50
 TRIGGER, EVERY, ANCHOR = 16, 128, 24
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES, CHUNK_BYTES = 1 << 20, 1 << 16
 RUN, MANY, MANY_BLOCKS = 256, 64, 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -317,15 +318,23 @@ def _unpacked(table: pa.Table) -> pa.Table:
 
 
 def _blocks(docs: DataFrame, splits: list[int]) -> tuple[DataFrame, str]:
-    """A table bucketed by ``block``: ``rows`` holds compressed rows of one block."""
+    """A table bucketed by ``block``: ``rows`` holds some compressed rows of one block.
+
+    They are kept small (about CHUNK_BYTES of text), as readers take rows by thousands.
+    """
     edges = np.array(splits, "int64")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
             block = np.searchsorted(edges, batch.column(batch.schema.names.index("id")).to_numpy(), side="right")
-            for number in np.unique(block):
-                part = batch.take(pa.array(np.flatnonzero(block == number)))
+            size = np.cumsum(pc.binary_length(batch.column(batch.schema.names.index("text"))).to_numpy(zero_copy_only=False))
+            order = np.lexsort((size // CHUNK_BYTES, block))
+            new = (np.diff(block[order]) != 0) | (np.diff(size[order] // CHUNK_BYTES) != 0)
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(order)] if len(order) else []
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                number = block[order[start]]
+                part = batch.take(pa.array(order[start:end]))
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, part.schema, options=options) as writer:
                     writer.write_batch(part)
