@@ -23,7 +23,8 @@ by the string's own hash, so a frequent line's edges spread over all parts.
 Documents are cut by id into blocks of about ``block_bytes`` (so the number of a block tells
 which ids are smaller), kept compressed in a table bucketed by block; each step groups
 that table without a shuffle. Blocks send keys to parts and get back a flag for each, in the
-same order, so no group of equal strings is ever gathered. Each answer depends on the rows
+same order, so no group of equal strings is ever gathered. A block sends a row to each
+part, so ``block_bytes`` should grow with the memory of the executors (a task takes about 100 bytes a byte). Each answer depends on the rows
 alone; lost tasks are run again.
 
 Null texts count as empty. Rows that repeat an id are documents of equal id: neither is
@@ -457,11 +458,12 @@ def _removed(df: DataFrame, length: int, block_bytes: int) -> DataFrame:
     def step(function, replies: DataFrame, schema: str) -> DataFrame:
         return stored.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(function, schema)
 
-    replies = _owned(stored.groupBy("block").applyInArrow(ask_units, REQUEST), "unit", length)
-    replies = replies.unionByName(_owned(step(ask_anchors, replies, REQUEST), "anchor", length))
-    replies = replies.unionByName(_owned(step(ask_strings, replies, REQUEST), "string", length))
     made = "n_bytes long, n_removed long, n_spans long, starts array<long>, ends array<long>, kept binary"
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in carried.schema.fields)
-    out = materialise(step(results, replies, f"{kinds}, {made}"))
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
-    return out
+    try:
+        replies = _owned(stored.groupBy("block").applyInArrow(ask_units, REQUEST), "unit", length)
+        replies = replies.unionByName(_owned(step(ask_anchors, replies, REQUEST), "anchor", length))
+        replies = replies.unionByName(_owned(step(ask_strings, replies, REQUEST), "string", length))
+        return materialise(step(results, replies, f"{kinds}, {made}"))
+    finally:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
