@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
@@ -145,6 +146,16 @@ def portions(texts: list, size: int = 2_000_000) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+def text_portions(texts: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+    """A string column in parts of about ``size`` bytes: the first row and the texts of each.
+
+    Only one part is held as Python strings at a time.
+    """
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for start, end in portions(list(map(range, sizes.tolist())), size):
+        yield start, texts.slice(start, end - start).to_pylist()
+
+
 def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """An Arrow list column from numpy arrays."""
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype("int32")

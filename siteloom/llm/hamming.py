@@ -51,9 +51,8 @@ def sketches(df: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in common.portions(texts):
-                sets = sketch.shingles(texts[a:b])
+            for a, texts in common.text_portions(batch.column(1)):
+                sets, b = sketch.shingles(texts), a + len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, b - a),
@@ -253,9 +252,8 @@ def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> Da
 
     def lengthened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in common.portions(texts):
-                part, sets = batch.slice(a, b - a), sketch.shingles(texts[a:b])
+            for a, texts in common.text_portions(batch.column(2)):
+                part, sets = batch.slice(a, len(texts)), sketch.shingles(texts)
                 prints = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "binary")
                 longer = pa.array([sketch.signature(s, LONG).astype("uint8").tobytes() if len(s) else None for s in sets], "binary")
                 # A repeated id may have several texts: that of the class counts.
