@@ -6,8 +6,7 @@ segments of equal size; a segment's quantised impacts are its highest and lowest
 query takes segments in descending order of query weight x impact over all dimensions, in
 rounds, and adds what they give to the scores of their rows. After a round the best rows so
 far are scored exactly: the k-th of them is a bound that members must reach. A row can still
-get, from each dimension in which it was not read, at most what the next segment's impact
-gives. The rounds stop when this upper bound is under the bound for all but a few rows, or
+get, from each dimension in which it was not read, at most what the next segment gives. The rounds stop when this upper bound is under the bound for all but a few rows, or
 all is read; those possible members are then scored exactly. No row is left out without
 that proof.
 
@@ -85,7 +84,7 @@ class Index:
             gains = np.where(up[:, None], (weights[:, None] * self.high[dims])[:, ::-1], weights[:, None] * self.low[dims])
             order = np.argsort(-gains.ravel(), kind="stable")
             score, read, bound = np.zeros(n), np.zeros(len(dims), "int64"), -np.inf
-            rows_read, sizes_read = [], []
+            unread = np.full(n, len(dims))
             for start, end in zip(ROUNDS[:-1], ROUNDS[1:], strict=True):
                 taken = order[int(start * len(order)) : int(end * len(order))]
                 now = read + np.bincount(taken // segments, minlength=len(dims))
@@ -97,13 +96,12 @@ class Index:
                 sizes = last - first
                 score += np.bincount(rows, got * np.repeat(weights, sizes), minlength=n)
                 read = now
-                rows_read.append(rows)
-                sizes_read.append(sizes)
+                unread -= np.bincount(rows, minlength=n)
                 tried = possible[np.argpartition(-score[possible], k - 1)[: 2 * k]]
                 bound = max(bound, np.partition(self.rows[tried] @ query, -k)[-k])
-                rest = np.where(read < segments, gains[np.arange(len(dims)), np.minimum(read, segments - 1)], 0.0)
-                known = np.concatenate([np.repeat(rest, x) for x in sizes_read])
-                upper = score + rest.sum() - np.bincount(np.concatenate(rows_read), known, minlength=n)
+                # No segment that is left gives more than the next one.
+                following = gains.ravel()[order[int(end * len(order))]] if end < 1 else 0.0
+                upper = score + following * unread
                 left = np.flatnonzero(others & (upper >= bound))
                 if len(left) <= max(4 * k, n // 10):
                     possible = left
