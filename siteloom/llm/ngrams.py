@@ -6,8 +6,8 @@ lowest level is the additive estimate p0 = (c + 0.1) / (N + 0.1 (V + 1)). Above
     p(d | b)    = c(b d) / (c(b) + k T(b)) + k T(b) / (c(b) + k T(b)) p0(d)
     p(d | a b)  = share(a b d) + rest(a b) p(d | b)
 
-with T the number of different followers and share = c(a b d) / (c(a b) + T(a b)). Trigrams seen once
-are not stored, and their mass goes to ``rest``. Numbers are rounded down, so what a
+with T the number of different followers, share = c(a b d) / (c(a b) + T(a b)) and rest = T(a b) / (c(a b) + T(a b)).
+Every trigram is stored, also those seen once. Numbers are rounded down, so what a
 context gives to all words together is 1 at most.
 
 The model is a set of files in the shared folder, each of bounded size and mapped to memory
@@ -17,8 +17,8 @@ where the folder allows it:
   words collide), exact counts, numbers of followers; a word's rank is its number there.
 * the trie, by bigram: contexts; pointers to their followers; the followers, relative to
   their context; pointers of each bigram to its followers in turn; and those. All are
-  monotone and kept in Elias-Fano form, beside 16-bit counts and 8-bit log10 shares. A bigram's
-  followers are found by its place in the trie.
+  monotone and kept in Elias-Fano form, beside 16-bit counts and log10 shares of 8 bits (16 in
+  shards that hold one too small for 8). A bigram's followers are found by its place in the trie.
 
 Trie shards are split by counts of the first word, frequent words by second word as well. A
 batch of texts looks up its words and n-grams in order, shard by shard; no table is held whole or
@@ -46,7 +46,7 @@ from siteloom.llm import common, eliasfano
 from siteloom.session import materialise
 
 START, END, FIRST = 0, 1, 2
-BACKOFF, LEAST = 3, 2
+BACKOFF = 3
 SHARD_WORDS, SHARD_TOKENS, PORTION = 1 << 19, 2_000_000, 12_000_000
 STEP = 40  # codes a decade
 
@@ -86,7 +86,7 @@ def _load(folder: str, name: str) -> memoryview:
 
 
 def _code(x: np.ndarray) -> np.ndarray:
-    """log10 of numbers in (0, 1], rounded down to a fortieth: 0 to 255, over that too small."""
+    """log10 of numbers in (0, 1], rounded down to a fortieth."""
     return np.ceil(-np.log10(np.maximum(x, 1e-30)) * STEP - 1e-9).astype("int64")
 
 
@@ -308,21 +308,21 @@ def _store_trie(model: Model, grams: DataFrame) -> DataFrame:
         triples, many = _summed(np.searchsorted(pairs, parents) << 32 | children, many)
         parents, children = triples >> 32, triples & 0xFFFFFFFF
         n = len(pairs)
-        total = np.bincount(parents, many, minlength=n) + np.bincount(parents, minlength=n)
-        share = many / total[parents]
-        code = _code(share)
-        kept = (many >= LEAST) & (code <= 255)
-        rest = 1 - np.bincount(parents[kept], share[kept], minlength=n)
+        types = np.bincount(parents, minlength=n)
+        total = np.bincount(parents, many, minlength=n) + types
+        code = _code(many / total[parents])
+        rest = _code(np.where(types > 0, types / np.maximum(total, 1), 1))
+        wide = "u1" if max(code.max(initial=0), rest.max(initial=0)) <= 255 else "<u2"
         contexts, starts = np.unique(pairs >> 32, return_index=True)
         context = np.searchsorted(contexts, pairs >> 32)
         levels = [
             contexts,
             np.append(starts, n),
             context * width + (pairs & 0xFFFFFFFF),
-            np.searchsorted(parents[kept], np.arange(n + 1)),
-            parents[kept] * width + children[kept],
+            np.searchsorted(parents, np.arange(n + 1)),
+            parents * width + children,
         ]
-        numbers = [_count_code(counts), np.minimum(_code(np.where(total > 0, rest, 1)), 255).astype("uint8"), code[kept].astype("uint8")]
+        numbers = [_count_code(counts), rest.astype(wide), code.astype(wide)]
         _save(folder, f"trie-{shard}", [eliasfano.encode(v) for v in levels] + [v.tobytes() for v in numbers])
         sizes = np.diff(np.append(starts, n))
         return pa.table(
@@ -415,13 +415,15 @@ def probabilities(model: Model, texts: list, made: dict[str, np.ndarray] | None
             levels.append(values)
         contexts, _, second, pointers, children = levels
         n, m = len(second), len(children)
+        size = (len(data) - stop - 2 * n) // (n + m)  # bytes a share
+        wide = f"<u{size}"
         asked = pairs[lo:hi]
         context = np.minimum(np.searchsorted(contexts, asked >> 32), len(contexts) - 1)
         value = context * width + (asked & 0xFFFFFFFF)
         found = np.minimum(np.searchsorted(second, value), n - 1)
         hit = (second[found] == value) & (contexts[context] == asked >> 32)
         count[lo:hi] = np.where(hit, _count(np.frombuffer(data, "<u2", n, stop)[found]), 0)
-        rest[lo:hi] = np.where(hit, _number(np.frombuffer(data, "uint8", n, stop + 2 * n)[found]), 1)
+        rest[lo:hi] = np.where(hit, _number(np.frombuffer(data, wide, n, stop + 2 * n)[found]), 1)
         # Of a bigram in the trie, its place; then the followers that its pointers span.
         x, y = np.searchsorted(parent, [lo, hi])
         mine = parent[x:y] - lo
@@ -431,7 +433,7 @@ def probabilities(model: Model, texts: list, made: dict[str, np.ndarray] | None
             value = bigram * width + word
             child = np.minimum(np.searchsorted(children, value), m - 1)
             same = (word >= END) & (children[child] == value) & (pointers[bigram] <= child) & (child < pointers[bigram + 1])
-            codes = np.frombuffer(data, "uint8", m, stop + 3 * n)
+            codes = np.frombuffer(data, wide, m, stop + (2 + size) * n)
             share[x + np.flatnonzero(ok)[same]] = _number(codes[child[same]])
     before = np.maximum(np.arange(len(number)) - 1, 0)
     seen, types = made["count"][before].astype("float64"), BACKOFF * made["types"][before].astype("float64")

@@ -250,6 +250,64 @@ def test_language_model(spark, monkeypatch):
     assert [r.n_known for r in ngrams.score(docs.limit(3), empty).collect()] == [0, 0, 0]
 
 
+def brute_scores(train, texts):
+    """log10 scores under the formulas of ngrams.py with every n-gram counted, none dropped."""
+
+    def tokens(text):
+        return [0, *(text or "").encode().translate(common.LOWER).split(), 1]
+
+    one, two, three = Counter(), Counter(), Counter()
+    for row in map(tokens, train):
+        one.update(row)
+        two.update(zip(row, row[1:]))
+        three.update(zip(row, row[1:], row[2:]))
+    after, after_two = Counter(a for a, _ in two), Counter((a, b) for a, b, _ in three)
+    n, v = sum(one.values()) - len(train), len(one) - 1
+    scores = []
+    for row in map(tokens, texts):
+        total = 0.0
+        for k, d in enumerate(row[1:], 1):
+            b = row[k - 1]
+            p = (one[d] + 0.1) / (n + 0.1 * (v + 1))
+            if one[b]:
+                grown = one[b] + 3 * after[b]
+                p = two[b, d] / grown + 3 * after[b] / grown * p
+            if k > 1 and two[row[k - 2], b]:
+                held, types = two[row[k - 2], b], after_two[row[k - 2], b]
+                p = three[row[k - 2], b, d] / (held + types) + types / (held + types) * p
+            total += math.log10(p)
+        scores.append(total)
+    return scores
+
+
+def test_language_model_keeps_every_trigram(spark):
+    rng = random.Random(17)
+    train = [" ".join(f"v{int(rng.paretovariate(0.7))}" for _ in range(rng.randint(0, 60))) for _ in range(150)]
+    train += ["one rare passage that a single text holds", None]
+    asked = train + ["a rare passage that a single text holds once more", "v1 v2 v1 v1 new V2", ""]
+    model = ngrams.train(spark.createDataFrame(list(enumerate(train)), "doc_id long, text string"))
+    got = ngrams.score_texts(model, asked)
+    # Shares are rounded down to a fortieth of a decade.
+    for text, score, n, want in zip(asked, got["score"], got["n_tokens"], brute_scores(train, asked), strict=True):
+        assert want - n / ngrams.STEP - 1e-6 <= score <= want + 1e-6, text
+
+
+def test_language_model_keeps_small_shares(spark):
+    pairs, triples = np.array([2 << 32 | 3, 3 << 32 | 1]), np.arange(100, dtype="int64") + 4
+    many = np.where(np.arange(100) == 0, 5_000_000, 1)
+    grams = ngrams.eliasfano.squeeze([np.diff(pairs, prepend=0), np.array([many.sum(), 1]), np.zeros(100, "int64"), triples, many])
+    df = spark.createDataFrame([(0, bytearray(grams))], "shard int, grams binary")
+    model = ngrams.Model(common.scratch(df, "ngrams"), words=200, tokens=int(many.sum()), vocabulary={0: (200, 0)})
+    common.filesystem(model.folder)[0].create_dir(common.filesystem(model.folder)[1], recursive=True)
+    ngrams._store_trie(model, df).collect()
+    model.shards = [0]
+    number = np.array([0, 2, 3, 50])
+    count = np.array([1, 100, many.sum(), 0])
+    made = {"number": number, "count": count, "types": np.array([1, 1, 100, 0]), "text": np.zeros(4, "int64")}
+    p, none = ngrams.probabilities(model, [], made)[3], ngrams.probabilities(model, [], made | {"number": np.array([0, 2, 3, -1])})[3]
+    assert p - none == pytest.approx(1 / (many.sum() + 100), rel=0.07)
+
+
 def test_pipeline_on_small_tables(spark, tmp_path):
     import corpus_pipeline
 
