@@ -16,10 +16,12 @@ meets at one of the 80 keys, for certain.
 *Stars first.* The pairs at a key are not listed. Of each key's classes the one that shares
 most keys with others (the middle of its group) is compared with the rest; confirmed links
 give components. Only keys that still hold several components are worked on further: there
-pairs of different components are compared, in slices of at most ``SLICE`` classes of the
-key's main component, to each of which the key's other classes are sent. A pair counts at
-its first common key. So no link between components is lost, and copies of one text never
-meet pair by pair.
+pairs of different components are compared. The classes of the key's main component and all
+others are dealt by hash into blocks of about ``SLICE`` classes; each main block meets each other
+block, and the other blocks meet in pairs, so a run has two blocks however large the key is. (The pairs of a
+key are as many as before: a key of N classes without links has N * N / 2 of them, over as many runs
+as it has pairs of blocks.) A pair counts at its first common key. So no link between components
+is lost, and copies of one text never meet pair by pair.
 
 Before sets are compared, a second signature of 512 symbols of 8 bits drops pairs that are below
 the threshold by more than five standard deviations, at their key already.
@@ -42,6 +44,7 @@ from siteloom.llm import common, graph, sketch
 from siteloom.session import materialise
 
 CHUNK, DISTANCE, SLICE = 4, 39, 1024
+MOST_PARTITIONS = 20_000
 CHUNKS = sketch.SYMBOLS // CHUNK
 LONG = 512
 
@@ -165,14 +168,64 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _by_key(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key", "slice").sortWithinPartitions("key", "slice", "id")
+def _by_key(rows: DataFrame, partitions: int) -> DataFrame:
+    """Sorted by key and slice; dealt over ``partitions`` where the session has fewer."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartition(partitions, "key", "slice") if partitions > least else rows.repartition("key", "slice")
+    return dealt.sortWithinPartitions("key", "slice", "id")
 
 
-def _across(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _mixed(placed: DataFrame) -> DataFrame:
+    """``key, most, mains, blocks, pairs`` of the keys with several components, of ``key, id, component``.
+
+    ``most`` is the main component, ``mains`` and ``blocks`` are the numbers of its blocks and of the others'.
+    """
+    parts = placed.groupBy("key", "component").agg(F.count("*").alias("held"))
+    mixed = parts.groupBy("key").agg(
+        F.count("*").alias("parts"),
+        F.sum("held").alias("size"),
+        F.max("held").alias("main"),
+        F.max_by("component", F.struct("held", "component")).alias("most"),
+    )
+    rest = F.col("size") - F.col("main")
+    blocks = [F.ceil(size / SLICE).cast("long").alias(name) for name, size in (("mains", F.col("main")), ("blocks", rest))]
+    pairs = (F.col("main") * rest + rest * rest / 2).cast("double").alias("pairs")
+    return mixed.where("parts > 1").select("key", "most", *blocks, pairs)
+
+
+def _dealt(placed: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``key, slice, side, inner, id, component``: the classes of each pair of blocks.
+
+    Classes of different sides are compared, where ``inner`` holds those of a side as well: the slices of the first
+    main block are where the other classes of one block meet each other.
+    """
+    first = lambda k: k == 0
+    rows = placed.join(mixed, "key").withColumn("main", F.col("component") == F.col("most"))
+    mains, blocks = F.col("mains"), F.col("blocks")
+    own = F.pmod(F.xxhash64("id"), F.when(F.col("main"), mains).otherwise(blocks))
+    rows = rows.withColumn("own", own)
+    own = F.col("own")
+
+    def place(slice_, side: int, inner):
+        return F.struct(slice_.cast("long").alias("slice"), F.lit(side).alias("side"), inner.alias("inner"))
+
+    def with_other(j):
+        low, high = F.least(own, j), F.greatest(own, j)
+        number = mains * blocks + low * blocks + high
+        return F.when(own < j, place(number, 0, F.lit(False))).otherwise(place(number, 1, F.lit(False)))
+
+    every = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    of_main = F.transform(every, lambda j: place(own * blocks + j, 0, first(own)))
+    with_main = F.transform(F.sequence(F.lit(0).cast("long"), mains - 1), lambda k: place(k * blocks + own, 1, first(k)))
+    with_others = F.transform(F.filter(every, lambda j: j != own), with_other)
+    rows = rows.withColumn("at", F.explode(F.when(F.col("main"), of_main).otherwise(F.concat(with_main, with_others))))
+    return rows.select("key", "at.slice", "at.side", "at.inner", "id", "component")
+
+
+def _across(rows: DataFrame, threshold: tuple[int, int], partitions: int) -> DataFrame:
     """Classes of different components at a key and slice that are within the signature distances.
 
-    Takes rows (key, slice, main, id, component, n, signature, long) and gives a row (key, slice, id, others) for
+    Takes rows (key, slice, side, inner, id, component, n, signature, long) and gives a row (key, slice, id, others) for
     each class that has a partner; a pair is in the list of one of the two.
     """
     ratio, slack = threshold[0] / threshold[1], _slack(*threshold)
@@ -181,15 +234,15 @@ def _across(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
         for run in _runs(batches):
             symbols = _symbols(run.column("signature"), sketch.SYMBOLS)
             longer = _symbols(run.column("long"), LONG, "uint8")
-            ids, part, n, main = (run.column(c).to_numpy() for c in ("id", "component", "n", "main"))
-            key, number = run.column("key")[0].as_py(), run.column("slice")[0].as_py()
+            ids, part, n, side = (run.column(c).to_numpy() for c in ("id", "component", "n", "side"))
+            key, number, inner = (run.column(c)[0].as_py() for c in ("key", "slice", "inner"))
             partners: dict[int, list[int]] = {}
             for k in range(len(ids) - 1):
                 rest = slice(k + 1, None)
                 fit = part[rest] != part[k]
                 fit &= np.minimum(n[rest], n[k]) >= ratio * np.maximum(n[rest], n[k])
-                if number:  # pairs of the other classes are met in the first slice
-                    fit &= main[rest] | main[k]
+                if not inner:
+                    fit &= side[rest] != side[k]
                 at = np.flatnonzero(fit) + k + 1
                 at = at[(symbols[at] != symbols[k]).sum(axis=1) <= DISTANCE]
                 at = at[(longer[at] != longer[k]).sum(axis=1) <= slack]
@@ -205,17 +258,17 @@ def _across(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([key] * count, "int64"),
-                        pa.array([number] * count, "int32"),
+                        pa.array([number] * count, "int64"),
                         pa.array(ids[list(partners)]),
                         pa.array(list(partners.values()), pa.list_(pa.int64())),
                     ],
                     ["key", "slice", "id", "others"],
                 )
 
-    return _by_key(rows).mapInArrow(work, "key long, slice int, id long, others array<long>")
+    return _by_key(rows, partitions).mapInArrow(work, "key long, slice long, id long, others array<long>")
 
 
-def _confirm_at_key(rows: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _confirm_at_key(rows: DataFrame, texts: DataFrame, threshold: tuple[int, int], partitions: int) -> DataFrame:
     """The pairs of ``_across`` whose sets pass: a set is made once at its key, not once a pair."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +285,7 @@ def _confirm_at_key(rows: DataFrame, texts: DataFrame, threshold: tuple[int, int
                 yield pa.RecordBatch.from_arrays([pa.array(side, "int64") for side in zip(*found, strict=True)], ["a", "b"])
 
     beside = rows.join(texts.select("id", "text"), "id").select("key", "slice", "id", "others", "text")
-    return materialise(_by_key(beside).mapInArrow(work, "a long, b long"))
+    return materialise(_by_key(beside, partitions).mapInArrow(work, "a long, b long"))
 
 
 def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> DataFrame:
@@ -275,19 +328,13 @@ def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> Da
     placed = members.join(first.withColumnRenamed("node", "id"), "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("component")
     )
-    parts = placed.groupBy("key", "component").agg(F.count("*").alias("held"))
-    mixed = (
-        parts.groupBy("key")
-        .agg(F.count("*").alias("parts"), F.sum("held").alias("size"), F.max_by("component", F.struct("held", "component")).alias("most"))
-        .where("parts > 1")
-        .select("key", "most", F.ceil(F.col("size") / SLICE).cast("int").alias("slices"))
-    )
-    own = F.pmod(F.xxhash64("id"), F.col("slices")).cast("int")
-    dealt = placed.join(mixed, "key").withColumn("main", F.col("component") == F.col("most"))
-    dealt = dealt.withColumn("slice", F.explode(F.when(F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("slices") - 1))))
+    mixed = materialise(_mixed(placed))
+    pairs = mixed.agg(F.coalesce(F.sum("pairs"), F.lit(0.0))).first()[0]
+    partitions = min(MOST_PARTITIONS, int(pairs) // (2 * SLICE * SLICE) + 1)
+    dealt = _dealt(placed, mixed)
     marks = materialise(classes.select("id", "n", "signature").join(texts.select("id", "long"), "id"))
-    dealt = dealt.join(marks, "id").select("key", "slice", "main", "id", "component", "n", "signature", "long")
-    more = _confirm_at_key(materialise(_across(dealt, threshold)), texts, threshold)
+    dealt = dealt.join(marks, "id").select("key", "slice", "side", "inner", "id", "component", "n", "signature", "long")
+    more = _confirm_at_key(materialise(_across(dealt, threshold, partitions)), texts, threshold, partitions)
 
     final = graph.components(links.unionByName(more)).withColumnRenamed("node", "id")
     named = classes.join(final, "id", "left").select("print", F.coalesce("component", "id").alias("component"))

@@ -133,6 +133,45 @@ def test_near_duplicates(spark, monkeypatch):
     assert hamming.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_at_keys_without_links(spark, monkeypatch):
+    """Half of each text is a passage of all: many classes at a key, hardly any linked; no run holds them all."""
+    rng = random.Random(19)
+    shared = [f"s{k}" for k in range(64)]
+    rows = [" ".join(shared + [f"o{rng.random()}" for _ in range(60)]) for _ in range(400)]
+    rows += [r.rsplit(" ", 3)[0] for r in rows[::20]]
+    rng.shuffle(rows)
+    rows = list(enumerate(rows))
+    runs, across = [], hamming._across
+
+    def watched(dealt, *rest):
+        runs.append({(r.key, r.slice): r["count"] for r in dealt.groupBy("key", "slice").count().collect()})
+        return across(dealt, *rest)
+
+    monkeypatch.setattr(hamming, "SLICE", 8)
+    monkeypatch.setattr(hamming, "_across", watched)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in hamming.near_duplicates(df).collect()} == brute_near(rows)
+    keys = Counter(key for key, _ in runs[0])
+    assert max(keys.values()) > 8 and max(runs[0].values()) <= 36
+
+
+def test_dealt_blocks_hold_each_pair_once(spark, monkeypatch):
+    monkeypatch.setattr(hamming, "SLICE", 5)
+    rows = [(1, i, i) for i in range(40)] + [(2, i, 0 if i < 30 else i // 2) for i in range(50)] + [(3, 1, 1), (3, 2, 2), (4, 1, 1), (4, 2, 1)]
+    placed = spark.createDataFrame(rows, "key long, id long, component long")
+    slices = {}
+    for r in hamming._dealt(placed, hamming._mixed(placed)).collect():
+        slices.setdefault((r.key, r.slice), []).append(r)
+    met = Counter()
+    for (key, _), held in slices.items():
+        assert len({r.inner for r in held}) == 1
+        for x in held:
+            for y in held:
+                if x.id < y.id and x.component != y.component and (x.inner or x.side != y.side):
+                    met[key, x.id, y.id] += 1
+    assert met == {(k, a, b): 1 for k, a, p in rows for m, b, q in rows if k == m and a < b and p != q}
+
+
 def test_near_duplicates_with_null_and_repeated_ids(spark):
     text = "a b c d e f g h i j"
     rows = [(None, text), (5, text), (5, text), (6, "other words stand in this one here"), (6, None)]
