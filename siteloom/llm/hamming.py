@@ -8,7 +8,7 @@ is joined. A class has a signature of 80 symbols of 16 bits; symbols of two sets
 with the probability of their similarity.
 
 *Index.* The signature distance (number of unequal symbols) of a linked pair is 20 on
-average and above 39 with a probability under 10**-6. The signature is split into 20 chunks of four
+average and above 39 with a probability of 1.3e-6 (1.4e-6 with the cut below). The signature is split into 20 chunks of four
 symbols. By pigeonhole a pair at distance 39 or less has a chunk with at most one error, so
 each chunk is entered four times, once without each symbol: every pair within the distance
 meets at one of the 80 keys, for certain.
