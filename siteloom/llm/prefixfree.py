@@ -47,7 +47,7 @@ from siteloom.session import bucketed, materialise
 
 LENGTH = 50
 TRIGGER, EVERY, ANCHOR = 16, 128, 24
-BLOCK_BYTES, CHUNK_BYTES = 1 << 20, 1 << 16
+BLOCK_BYTES, CHUNK_BYTES, PART_BYTES = 1 << 20, 1 << 16, 1 << 24
 RUN, MANY, MANY_BLOCKS = 256, 64, 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -395,7 +395,8 @@ def _removed(df: DataFrame, length: int, block_bytes: int) -> DataFrame:
     docs = carried.withColumns({"id": common.ids(doc_id), "text": F.coalesce(text, F.lit(""))})
     total, count = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     splits = common.borders(docs.select("id"), "id", max(1, count * block_bytes // max(total, 1)))
-    parts = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A part is one group in a task, so their number grows with the text.
+    parts = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     stored, name = _blocks(docs, splits)
 
     def units(rows: pa.Table) -> tuple[Parsed, Keys]:

@@ -241,6 +241,22 @@ def test_repeated_strings(spark, block):
     assert prefixfree.repeated(df.limit(0)).count() == 0
 
 
+def test_repeated_strings_parts_grow_with_the_text(spark, monkeypatch):
+    rows = [(i, t) for i, t in repeat_rows() if i is not None and i != 4]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    parts, owned = {}, prefixfree._owned
+
+    def watched(requests, kind, length):
+        parts[kind] = requests.select("part").distinct().count()
+        return owned(requests, kind, length)
+
+    monkeypatch.setattr(prefixfree, "PART_BYTES", 500, raising=False)
+    monkeypatch.setattr(prefixfree, "_owned", watched)
+    got = prefixfree.repeated(df, 50).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_repeats(rows, 50)
+    assert parts["unit"] > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def score_of(model, text):
     return float(ngrams.score_texts(model, [text])["score"][0])
 
