@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bytebpe, common, cws, hamming, ngrams, packing, prefixfree, quality, tokenfiles, topk, warc
+from siteloom.llm import bestfit, bytebpe, common, cws, hamming, ngrams, packing, prefixfree, quality, tokenfiles, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -175,3 +175,10 @@ def op10_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
     """What is removed of each text, as a smaller document has it in 50 bytes or more."""
     found = prefixfree.repeated(table(spark, sf, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op12_best_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """Pieces of all documents, whole ones wherever they fit, in as few sequences as best fit needs."""
+    cut = bestfit.pieces(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
+    return bestfit.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
