@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteloom.llm import bestfit, bytebpe, common, cws, hamming, ngrams, packing, prefixfree, quality, tokenfiles, topk, warc
+from siteloom.llm import (
+    bestfit,
+    bytebpe,
+    common,
+    cws,
+    hamming,
+    ngrams,
+    packing,
+    prefixfree,
+    prefixtrie,
+    quality,
+    tokenfiles,
+    topk,
+    warc,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -177,8 +192,58 @@ def op10_repeated_strings(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query()
+def op11_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    """Each vector's whitened components, with the figures of the fit."""
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 @query()
 def op12_best_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Pieces of all documents, whole ones wherever they fit, in as few sequences as best fit needs."""
     cut = bestfit.pieces(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
     return bestfit.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+# CRC-32 of the decimal id bit by bit; each conversation and depth with its node, named by (least member, depth).
+OP13_SQL = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    substr(sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32)) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+  SELECT conv_id, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+    lambda x: list_transform(range(8), lambda i: (ascii(x) >> i::INTEGER) & 1)))),
+    lambda s, b: xor(s >> 1, (xor(s, b) & 1) * 3988292384)), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), b AS (
+  SELECT c.conv_id, 0 AS part, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND k <= h
+  UNION ALL SELECT c.conv_id, 1, k, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND k > h
+), p AS (
+  SELECT c.conv_id, coalesce(list({'r': role, 't': text} ORDER BY part, k) FILTER (role IS NOT NULL), []) AS turns
+  FROM c LEFT JOIN b USING (conv_id) GROUP BY c.conv_id
+), m AS (
+  SELECT conv_id, d, len(turns) AS size, turns[d].t AS last, min(conv_id) OVER w AS node, count(*) OVER w AS n
+  FROM p, unnest(range(0, len(turns) + 1)) AS u(d) WINDOW w AS (PARTITION BY d, turns[1:d])
+), v AS (
+  SELECT node, d, any_value(n) AS n, CASE WHEN d = 0 THEN 0 ELSE any_value(length(last)) END AS chars,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = d), '') AS ends
+  FROM m GROUP BY node, d
+), e AS (
+  SELECT v.*, m.node AS parent FROM v LEFT JOIN m ON m.conv_id = v.node AND m.d = v.d - 1
+), k AS (SELECT parent, d - 1 AS d, count(*) AS children FROM e WHERE d > 0 GROUP BY ALL),
+f AS (SELECT e.*, coalesce(children, 0) AS children FROM e LEFT JOIN k ON k.parent = e.node AND k.d = e.d),
+s AS (
+  SELECT m.node, m.d, sum(CASE WHEN children = 0 THEN 1 ELSE 0 END) AS leaves, sum((f.n - 1) * chars) AS saved
+  FROM f JOIN m ON m.conv_id = f.node AND m.d <= f.d GROUP BY m.node, m.d
+)
+SELECT f.node AS conv_id, f.d AS depth, parent AS parent_conv_id, n AS n_convs, children AS n_children,
+  CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM f JOIN s ON s.node = f.node AND s.d = f.d
+"""
+
+
+@query(OP13_SQL)
+def op13_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """The nodes of the trie of all rebuilt conversations."""
+    return prefixtrie.trie(table(spark, sf, "conversations"))
