@@ -16,9 +16,8 @@ before that, so a lost task or another order of reading cannot tell two steps di
 
 Null texts count as empty and hold the end id alone. Rows that repeat an id, and rows without one, are
 documents of their own. Equal rows go to places of their own. A very long text is cut into
-many rows, which leave its batch as they are made; its ids are held once. An empty table gives no rows.
-``pack`` keeps all other columns, and raises ValueError if one is called as a result (``sequence_id``,
-``offset``, upper or lower case) or if a length is not between 1 and ``size``.
+many rows; its ids are held once. An empty table gives no rows. ``pack`` keeps all columns, but
+replaces those called ``sequence_id`` or ``offset``; a length that is not between 1 and ``size`` is an error.
 """
 
 from __future__ import annotations
@@ -150,9 +149,7 @@ def _merged(open_: DataFrame, groups: int, round_: int, size: int, bins: int) ->
 
 def pack(df: DataFrame, size: int = SIZE, bins: int = BINS, group: int = GROUP) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with a ``length`` from 1 to ``size``."""
-    clash = {"sequence_id", "offset"} & {c.lower() for c in df.columns}
-    if clash:
-        raise ValueError(f"columns of the result: {sorted(clash)}")
+    df = df.select(*(f"`{c}`" for c in df.columns if c.lower() not in ("sequence_id", "offset")))
     task, bin_, at = (common.fresh(df, name) for name in ("task", "bin", "at"))
     at_length = next(k for k, c in enumerate(df.columns) if c.lower() == "length")
 
