@@ -122,7 +122,8 @@ def write(df: DataFrame, folder: str, vocabulary: str, end: int = END, rows: int
     shards = common.sliced(docs, "key", splits, ["key", "text"]).mapInPandas(
         work, "slice int, name string, docs long, tokens long, bytes long"
     )
-    done = [r.asDict() for r in shards.orderBy("slice").collect()]  # a small row for each shard
+    # A small row for each shard. They are sorted here: a sort in Spark would sample its input, and so write it twice.
+    done = sorted((r.asDict() for r in shards.collect()), key=lambda r: r["slice"])
     manifest = {"dictionary": digest.hex(), "end": end, "shards": done}
     with files.open_output_stream(f"{root}/.tmp-manifest") as out:
         out.write(json.dumps(manifest).encode())
