@@ -154,6 +154,8 @@ def text_portions(texts: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int,
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     for start, end in portions(list(map(range, sizes.tolist())), size):
         yield start, texts.slice(start, end - start).to_pylist()
+    # Workers serve one stage after another and would keep what Arrow held for the largest batch.
+    pa.default_memory_pool().release_unused()
 
 
 def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from siteloom.llm import common, graph, sketch
 from siteloom.session import materialise
 
-CHUNK, DISTANCE, SLICE = 4, 39, 1024
+CHUNK, DISTANCE, SLICE, STAR = 4, 39, 1024, 256
 MOST_PARTITIONS = 20_000
 CHUNKS = sketch.SYMBOLS // CHUNK
 LONG = 512
@@ -113,38 +113,51 @@ def _linked(one: np.ndarray, two: np.ndarray, threshold: tuple[int, int]) -> boo
     return under * shared >= over * (len(one) + len(two) - shared)
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The pairs ``a, b`` whose sets pass ``threshold`` (a fraction), tested on the whole sets."""
+def _star(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs ``middle, id`` whose sets pass ``threshold`` (a fraction): first by long signatures, then on whole sets.
+
+    A middle's classes are dealt by hash into blocks of about ``STAR``; its signature and its text travel once a block.
+    """
     slack = _slack(*threshold)
+    sizes = pairs.groupBy("middle").agg(F.ceil(F.count("*") / STAR).cast("long").alias("blocks"))
+    dealt = pairs.join(sizes, "middle").select("middle", "id", F.pmod(F.xxhash64("id"), "blocks").alias("slice"))
+
+    def blocks(rows: DataFrame, column: str) -> DataFrame:
+        """``key, slice, first, id, <column>``: a block's middle, then its classes."""
+        middles = rows.select("middle", "slice").distinct().select("middle", "slice", F.col("middle").alias("id"))
+        both = middles.withColumn("later", F.lit(0)).unionByName(rows.select("middle", "slice", "id").withColumn("later", F.lit(1)))
+        beside = both.join(texts.select("id", column), "id").select(F.col("middle").alias("key"), "slice", "later", "id", column)
+        return beside.repartition("key", "slice").sortWithinPartitions("key", "slice", "later", "id")
+
+    def with_middle(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+        """Parts of rows of one block, with the middle's row before them."""
+        held = None
+        for batch in batches:
+            later = batch.column(2).to_numpy()
+            cuts = np.flatnonzero(later == 0)
+            for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+                if start < end and not later[start]:
+                    held, start = batch.slice(start, 1), start + 1
+                if start < end:
+                    yield held, batch.slice(start, end - start)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                far = (_symbols(batch.column(2), LONG, "uint8") != _symbols(batch.column(3), LONG, "uint8")).sum(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [c.filter(pa.array(far <= slack)) for c in batch.columns[:2]], ["a", "b"]
-                )
+        for middle, part in with_middle(batches):
+            far = _symbols(part.column(4), LONG, "uint8") != _symbols(middle.column(4), LONG, "uint8")
+            close = pa.array(far.sum(axis=1) <= slack)
+            yield pa.RecordBatch.from_arrays([part.column(k).filter(close) for k in (0, 1, 3)], ["middle", "slice", "id"])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                sets: dict[int, np.ndarray] = {}
-                for ids, bodies in ((part.column(0), part.column(2)), (part.column(1), part.column(3))):
-                    new = {i: t for i, t in zip(ids.to_pylist(), bodies.to_pylist(), strict=True) if i not in sets}
-                    sets.update(zip(new, sketch.shingles(list(new.values())), strict=True))
-                linked = []
-                for a, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    linked.append(_linked(sets[a], sets[b], threshold))
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(linked)) for c in part.columns[:2]], ["a", "b"])
-
-    def beside(rows: DataFrame, column: str) -> DataFrame:
-        left = texts.select(F.col("id").alias("a"), F.col(column).alias("one"))
-        right = texts.select(F.col("id").alias("b"), F.col(column).alias("two"))
-        return rows.join(left, "a").join(right, "b").select("a", "b", "one", "two")
-
-    close = materialise(beside(pairs, "long").mapInArrow(near, "a long, b long"))
-    return materialise(beside(close, "text").mapInArrow(exact, "a long, b long"))
+        known, own = None, None
+        for middle, part in with_middle(batches):
+            if known != middle.column(0)[0].as_py():
+                known, own = middle.column(0)[0].as_py(), sketch.shingles(middle.column(4).to_pylist())[0]
+            for start, some in common.text_portions(part.column(4)):
+                linked = pa.array([_linked(own, s, threshold) for s in sketch.shingles(some)])
+                yield pa.RecordBatch.from_arrays([part.column(k).slice(start, len(some)).filter(linked) for k in (0, 3)], ["a", "b"])
+
+    close = materialise(blocks(dealt, "long").mapInArrow(near, "middle long, slice long, id long"))
+    return materialise(blocks(close, "text").mapInArrow(exact, "a long, b long"))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -305,23 +318,21 @@ def near_duplicates(df: DataFrame, threshold: tuple[int, int] = (75, 100)) -> Da
 
     def lengthened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, texts in common.text_portions(batch.column(2)):
-                part, sets = batch.slice(a, len(texts)), sketch.shingles(texts)
-                prints = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "binary")
-                longer = pa.array([sketch.signature(s, LONG).astype("uint8").tobytes() if len(s) else None for s in sets], "binary")
-                # A repeated id may have several texts: that of the class counts.
-                right = pa.array([x == y for x, y in zip(prints.to_pylist(), part.column(1).to_pylist(), strict=True)])
-                columns = [part.column(0), part.column(2), longer]
-                yield pa.RecordBatch.from_arrays([c.filter(right) for c in columns], ["id", "text", "long"])
-
-    found = docs.join(wanted, "id").select("id", "print", "text").mapInArrow(lengthened, "id long, text string, long binary")
-    texts = materialise(found.dropDuplicates(["id"]))
+            for a, texts in common.text_portions(batch.column(1)):
+                part = batch.slice(a, len(texts))
+                longer = [sketch.signature(s, LONG).astype("uint8").tobytes() for s in sketch.shingles(texts)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(longer, "binary")], ["id", "text", "long"])
+
+    # One text of each class, told by its hash before whole texts are joined: they are shuffled once.
+    hashes = rows.join(wanted, ["id", "print"]).groupBy("id").agg(F.min("text_hash").alias("text_hash"))
+    hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = hashed.join(hashes, ["id", "text_hash"]).dropDuplicates(["id", "text_hash"])
+    texts = materialise(found.select("id", "text").mapInArrow(lengthened, "id long, text string, long binary"))
 
     # Stars: the middle of each key's classes with the rest.
     middle = members.join(met, "id").groupBy("key").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("middle"))
-    star = members.join(middle, "key").where("id != middle")
-    star = star.select(F.least("id", "middle").alias("a"), F.greatest("id", "middle").alias("b")).distinct()
-    links = _confirm(star, texts, threshold)
+    star = members.join(middle, "key").where("id != middle").select("middle", "id").distinct()
+    links = _star(materialise(star), texts, threshold)
 
     # Then what is left between components.
     first = graph.components(links)

@@ -12,8 +12,10 @@ for the dictionaries and ``calibration`` of any class for the model; the two do
 overlap. Labels that are null or that contradict each other are left out. Without usable
 labels of both classes every text scores the share of label 1 (0.5 without any label).
 
-Null texts count as empty; an empty text has a score as any other. Labels, language, source
-and id are no inputs of a score.
+Null texts count as empty; an empty text has a score as any other, and so has a very long one: it is
+scored whole, window by window. Equal texts have equal scores, rows that repeat an id are scored one by one. An
+empty table gives no rows. Labels, language, source and id are no inputs of a score; a column of the name that
+the score takes is replaced.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siteloom.llm import common
+
 DOCUMENTS, CALIBRATION = 1500, 4000
 WINDOWS, WINDOW_CHARS, WINDOW = 1500, 2048, 512
 DICTIONARY_BYTES, LEVEL = 110 * 1024, 3
@@ -43,7 +47,8 @@ class Model:
         return len(self.weights) > 1
 
 
-def _compressors(model: Model) -> list:
+def compressors(model: Model) -> list:
+    """One for each dictionary; a task makes them once."""
     import zstandard
 
     made = []
@@ -58,9 +63,9 @@ def _compressors(model: Model) -> list:
     return made
 
 
-def features(model: Model, texts: list[str]) -> np.ndarray:
-    """A row of four features a text."""
-    good, bad = (c.compress for c in _compressors(model))
+def features(made: list, texts: list[str]) -> np.ndarray:
+    """A row of four features a text, by the two ``compressors``."""
+    good, bad = (c.compress for c in made)
     rows = np.zeros((len(texts), 3))
     for k, text in enumerate(texts):
         data = text.encode()
@@ -73,10 +78,10 @@ def features(model: Model, texts: list[str]) -> np.ndarray:
     return np.stack([difference, share, difference * known, np.minimum(share + 1.6, 0) * known], axis=1)
 
 
-def scores(model: Model, texts: list[str]) -> np.ndarray:
+def scores(model: Model, texts: list[str], made: list | None = None) -> np.ndarray:
     logit = np.full(len(texts), model.weights[0])
     if model.fitted:
-        logit = logit + features(model, texts) @ np.array(model.weights[1:])
+        logit = logit + features(made or compressors(model), texts) @ np.array(model.weights[1:])
     return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
 
 
@@ -132,18 +137,20 @@ def train(docs: DataFrame, labels: DataFrame, documents: int = DOCUMENTS, calibr
     tests = texts.join(F.broadcast(least(told.where(~fit), calibration)), "_id").select("text", "quality", "_hash")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = compressors(model)
         for batch in batches:
-            rows = features(model, batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows.tolist(), pa.list_(pa.float64())), batch.column(1).cast("int32"), batch.column(2)], ["x", "y", "h"]
-            )
-
-    made = tests.mapInArrow(measured, "x array<double>, y int, h long").orderBy("h").limit(calibration).collect()
-    y = np.array([r["y"] for r in made], "float64")
+            for start, texts in common.text_portions(batch.column(0)):
+                rows, part = features(made, texts), batch.slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows.tolist(), pa.list_(pa.float64())), part.column(1).cast("int32"), part.column(2)], ["x", "y", "h"]
+                )
+
+    found = tests.mapInArrow(measured, "x array<double>, y int, h long").orderBy("h").limit(calibration).collect()
+    y = np.array([r["y"] for r in found], "float64")
     if not len(y) or y.min() == y.max() or not all(dictionaries):
         share = (y.sum() + 0.5) / (len(y) + 1)
         return Model(*dictionaries, [float(np.log(share / (1 - share)))])
-    return Model(*dictionaries, _logistic(np.array([r["x"] for r in made]), y))
+    return Model(*dictionaries, _logistic(np.array([r["x"] for r in found]), y))
 
 
 def score(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
@@ -151,13 +158,14 @@ def score(df: DataFrame, model: Model, text: str = "text", name: str = "score")
     fields = [f for f in df.schema.fields if f.name != name]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = compressors(model)
         for batch in batches:
             at = batch.schema.names.index(text)
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
-                made = scores(model, [t or "" for t in part.column(at).to_pylist()])
+            for start, texts in common.text_portions(batch.column(at)):
+                part = batch.slice(start, len(texts))
+                found = scores(model, [t or "" for t in texts], made)
                 columns = [part.column(part.schema.names.index(f.name)) for f in fields]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(made)], [f.name for f in fields] + [name])
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(found)], [f.name for f in fields] + [name])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     return df.mapInArrow(work, f"{kept}, {name} double")
