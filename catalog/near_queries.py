@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import derived as D
 from catalog.registry import query
 from siteloom.functions.text import characters
 from siteloom.operators import dedup, minhash
-from siteloom.session import materialise
+from siteloom.session import checkpoint_dir, materialise
+from siteloom.sources.signed import SignatureIndex
 
 VOCAB = 2000
 SCHEME = minhash.Scheme(num_bands=8, num_hash=32)
@@ -162,3 +165,42 @@ def dedup_batch(spark, sf):
         pages.where(~stored), pages.where(stored), _vocab(spark, sf), SCHEME, similarity=dedup.shingle_jaccard()
     )
     return found.withColumn("score", F.round("score", 6))
+
+
+@query(f"""{_verified(JACCARD, f'doc_id % {HISTORY} <> 0')} SELECT page_id, orig_id, round(score, 6) AS score FROM duplicates""")
+def dedup_batch_signed(spark, sf):
+    """The stored documents come in two batches to an index of signatures; the new ones meet the index alone."""
+    pages = _pages(spark, sf)
+    stored = pages.where(F.col("page_id") % HISTORY == 0)
+    index = SignatureIndex(spark, f"{checkpoint_dir(spark)}/siteloom/{uuid.uuid4().hex}", _vocab(spark, sf), SCHEME, parts=32)
+    index.append(stored.where(F.col("page_id") % 2 == 0), 0)
+    index.append(stored.where(F.col("page_id") % 2 == 1), 1)
+    found = dedup.dedup_signed(pages.where(F.col("page_id") % HISTORY != 0), index, similarity=dedup.shingle_jaccard())
+    return found.withColumn("score", F.round("score", 6))
+
+
+def _verified_any(score: str) -> str:
+    """All verified pairs that share a band (or, without units, a text) by brute force, then the greedy pass over all pages."""
+    return f"""WITH RECURSIVE {SIGNED}, base AS MATERIALIZED (
+  SELECT d.doc_id AS id, lower(d.text) AS t, s.bands, s.has_units, list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g,
+    row_number() OVER (ORDER BY doc_id) AS pos FROM documents d JOIN sigs s USING (doc_id)), banded AS (
+  SELECT id, unnest(bands) AS band, generate_subscripts(bands, 1) AS no FROM base WHERE has_units), cand AS MATERIALIZED (
+  SELECT DISTINCT x.id AS a, y.id AS b FROM banded x JOIN banded y ON x.no = y.no AND x.band = y.band AND x.id < y.id
+  UNION SELECT x.id, y.id FROM base x JOIN base y ON x.t = y.t AND x.id < y.id), scored AS MATERIALIZED (
+  SELECT b.id AS later, a.pos, a.id, {score} AS score FROM cand c JOIN base a ON a.id = c.a JOIN base b ON b.id = c.b), pairs AS MATERIALIZED (
+  SELECT later, list({{'pos': pos, 'id': id, 'score': score}} ORDER BY pos) AS partners FROM scored WHERE score >= 0.9 GROUP BY later), linked AS MATERIALIZED (
+  SELECT p.id, coalesce(q.partners, []) AS partners, row_number() OVER (ORDER BY p.id) AS step FROM base p LEFT JOIN pairs q ON q.later = p.id
+  WHERE q.later IS NOT NULL OR p.id IN (SELECT id FROM scored WHERE score >= 0.9)), walk AS (
+  SELECT 0::BIGINT AS step, []::BIGINT[] AS kept, NULL::BIGINT AS id, NULL::BIGINT AS orig, NULL::DOUBLE AS score
+  UNION ALL
+  SELECT step, CASE WHEN hit IS NULL THEN list_append(kept, id) ELSE kept END, id, hit.id, hit.score FROM (
+    SELECT p.step, w.kept, p.id, list_filter(p.partners, lambda x: list_contains(w.kept, x.id))[1] AS hit
+    FROM walk w JOIN linked p ON p.step = w.step + 1)), duplicates AS (
+  SELECT id AS page_id, orig AS orig_id, score FROM walk WHERE orig IS NOT NULL)"""
+
+
+@query(f"{_verified_any(JACCARD)} SELECT page_id, orig_id, round(score, 6) AS score FROM duplicates")
+def near_duplicates_any_band(spark, sf):
+    """Candidates share a band; a page lies in up to eight keys, so decisions are made over the graph of pairs."""
+    found = _duplicates(spark, sf, similarity=dedup.shingle_jaccard(), match="any_band")
+    return found.withColumn("score", F.round("score", 6))

@@ -258,6 +258,19 @@ def bytes_by_type(spark, sf):
     return report.bytes_by_type(D.store(spark, sf)["page_data"], "data_type_code", "size")
 
 
+@query(f"""WITH {FILES} SELECT f.data_type_code AS type, count(*) AS n,
+  coalesce(sum(strlen(html)) FILTER (WHERE c.page_id % 3 <> 0), 0)::BIGINT AS bytes, count(*) FILTER (WHERE c.page_id % 3 = 0) AS n_missing
+  FROM files f JOIN classed c USING (page_id) GROUP BY 1""")
+def bytes_of_files(spark, sf):
+    """Two thirds of the files lie in a folder; their sizes come from there."""
+    typed = extract.classify(D.responses(spark, sf)).where(F.col("page_type_code") == "BINARY")
+    place = F.concat(urls.document_path("data_type_code", urls.authority("url"), "url"), F.lit("."), F.col("page_id").cast("string"))
+    rows = typed.select("page_id", "data_type_code", place.alias("path"), F.col("html").alias("content"))
+    folder = _folder(spark)
+    T.write_files(rows.where(F.col("page_id") % 3 != 0), folder)
+    return report.bytes_of_files(rows.drop("content"), T.file_sizes(spark, folder))
+
+
 @query(f"WITH {PAGE_LINKS} SELECT {sql_host('canonical_url')} AS host, count(*) AS n_pages FROM links GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
 def top_linked_hosts(spark, sf):
     return report.pages_per_site(extract.links(D.pages(spark, sf)), "canonical_url").limit(10)

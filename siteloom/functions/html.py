@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -24,7 +25,8 @@ DOCUMENT_TYPES = {
     "application/vnd.openxmlformats-officedocument.wordprocessingml.document": "DOCX",
 }
 
-# Image extensions and good response codes.
+# Frequent entities, image extensions and good response codes.
+COMMON = ("amp", "lt", "gt", "quot", "apos", "nbsp")
 IMAGE_EXTENSIONS = ("png", "jpeg", "jpg")
 GOOD_STATUS = (200, 203, 302)
 
@@ -61,9 +63,17 @@ def attribute(tag: Column, name: str) -> Column:
         F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0)), lambda a: a.rlike(rf"(?i)^\s+{name}\s*=")
     )
     pattern = rf"""(?i)^\s+{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    first = F.try_element_at(named, F.lit(1))
-    value = F.coalesce(F.concat(*[F.regexp_extract(first, pattern, k) for k in (1, 2, 3)]), F.lit(""))
-    return F.nullif(decode_entities(value), F.lit(""))
+
+    def value(first: Column) -> Column:
+        return F.coalesce(F.concat(*[F.regexp_extract(first, pattern, k) for k in (1, 2, 3)]), F.lit(""))
+
+    decoded = _once(_once(F.try_element_at(named, F.lit(1)), value), decode_entities)
+    return _once(decoded, lambda text: F.when(text != "", text))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, where the value is worked out once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def _letter(number: Column) -> Column:
@@ -81,22 +91,28 @@ def decode_entities(text: Column) -> Column:
     names = {name[:-1]: letters for name, letters in html5.items() if name.endswith(";")}
     table = F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
-    def decoded(part: Column) -> Column:
-        entity = F.regexp_extract(part, r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);", 1)
+    def letters(entity: Column) -> Column:
         decimal = F.coalesce(F.regexp_extract(entity, r"^#([0-9]+)$", 1).try_cast("long"), F.lit(0))
         digits = F.regexp_extract(entity, r"^#[xX]0*([0-9A-Fa-f]{1,8})$", 1)
         hexadecimal = F.coalesce(F.conv(F.nullif(digits, F.lit("")), 16, 10).try_cast("long"), F.lit(0))
-        letters = (
-            F.when(entity.rlike("^#[0-9]"), _letter(decimal))
-            .when(entity.rlike("^#"), _letter(hexadecimal))
-            .otherwise(F.try_element_at(table, entity))
-        )
-        rest = F.substr(part, F.length(entity) + 2)
-        return F.when((entity == "") | letters.isNull(), F.concat(F.lit("&"), part)).otherwise(F.concat(letters, rest))
-
-    parts = F.split(text, "&")
-    found = F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decoded), ""))
-    return F.when(F.contains(text, F.lit("&")), found).otherwise(text)
+        found = F.when(entity.rlike("^#[0-9]"), _letter(decimal)).when(entity.rlike("^#"), _letter(hexadecimal))
+        for name in COMMON:  # the table is searched entry by entry
+            found = found.when(entity == name, F.lit(names[name]))
+        return found.otherwise(F.try_element_at(table, entity))
+
+    def decoded(part: Column) -> Column:
+        def replaced(entity: Column) -> Column:
+            rest = F.substr(part, F.length(entity) + 2)
+            # NULL joins no texts, so an unknown name leaves the part as it was.
+            return F.when(entity != "", F.concat(letters(entity), rest))
+
+        entity = F.regexp_extract(part, r"^(#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);", 1)
+        return F.coalesce(_once(entity, replaced), F.concat(F.lit("&"), part))
+
+    def joined(parts: Column) -> Column:
+        return F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), decoded), ""))
+
+    return F.when(F.contains(text, F.lit("&")), _once(F.split(text, "&"), joined)).otherwise(text)
 
 
 def redirects(onclick: Column) -> Column:

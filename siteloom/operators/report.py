@@ -40,6 +40,14 @@ def bytes_by_type(items: DataFrame, by: str, size: str) -> DataFrame:
     return items.groupBy(F.col(by).alias("type")).agg(F.count("*").alias("n"), F.sum(size).alias("bytes"))
 
 
+def bytes_of_files(page_data: DataFrame, files: DataFrame, by: str = "data_type_code") -> DataFrame:
+    """``(type, n, bytes, n_missing)``: stored file rows with the sizes of their files, ``files(path, size)``, found by path."""
+    sized = page_data.select(F.col(by).alias("type"), "path").join(files.select("path", "size"), "path", "left")
+    return sized.groupBy("type").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count_if(F.col("size").isNull()).alias("n_missing")
+    )
+
+
 def pages_per_site(pages: DataFrame, url: str = "url") -> DataFrame:
     """``(host, n_pages)``, largest first."""
     counts = pages.groupBy(urls.host_key(url).alias("host")).agg(F.count("*").alias("n_pages"))

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siteloom.functions import urls
+from siteloom.session import materialise
 
 DEFAULT_DELAY = 3
+FEW_RULES = 100
 
 # Line ends, and the keys that change the parser's state.
 LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C\x1D\x1E\x85\u2028\u2029]"
@@ -149,20 +151,50 @@ def sitemap_locations(robots: DataFrame) -> DataFrame:
     return named.groupBy("host").agg(F.max_by("value", "line_no").alias("sitemap_url"))
 
 
-def with_permission(pages: DataFrame, robots: DataFrame, *, url: str = "url") -> DataFrame:
+def with_permission(pages: DataFrame, robots: DataFrame, *, url: str = "url", few: int = FEW_RULES) -> DataFrame:
     """Add ``host`` and ``allow``: may the agent ``*`` fetch this URL?
 
     The first rule in file order whose path is a prefix of the URL's path
-    decides; without one the page is allowed. The rules of a host travel as one
-    array, so a page meets them in one row and no second shuffle by URL is needed.
+    decides; without one the page is allowed. A host's rules travel as one array of at most ``few``, so a page
+    meets them in one row and no second shuffle by URL is needed. The paths of hosts with more rules are cut at the
+    lengths that their host's rules have, and the cuts are joined to the rules by (host, prefix): a path
+    costs one row for each length, whatever the number of rules.
     """
     host = pages.withColumn("host", urls.authority(url))
     keyed = host.withColumn("_path", unquote(urls.bare_path(url)))
     whole_path = F.when(F.col("_path") == "", "/").otherwise(F.col("_path"))
-    joined = keyed.withColumn("_path", whole_path).join(policies(robots).select("host", "rules"), "host", "left")
-    matching = F.filter("rules", lambda rule: F.startswith(F.col("_path"), rule["path"]))
-    first = F.try_element_at(matching, F.lit(1))["allow"]
-    return joined.withColumn("allow", F.coalesce(first, F.lit(True))).drop("rules", "_path")
+    keyed = keyed.withColumn("_path", whole_path)
+    rules_ = materialise(policies(robots).select("host", "rules"))  # a row for each host
+    long = rules_.where(F.size("rules") > few)
+    short = rules_.where(F.size("rules") <= few)
+
+    def tested(rows: DataFrame) -> DataFrame:
+        matching = F.filter("rules", lambda rule: F.startswith(F.col("_path"), rule["path"]))
+        first = F.try_element_at(matching, F.lit(1))["allow"]
+        joined = rows.join(short, "host", "left")
+        return joined.withColumn("allow", F.coalesce(first, F.lit(True))).drop("rules", "_path")
+
+    if long.isEmpty():
+        return tested(keyed)
+    keyed = materialise(keyed)
+    verdicts = _by_prefix(keyed.select("host", "_path").distinct(), long)
+    many = long.select("host")
+    decided = keyed.join(many, "host", "left_semi").join(verdicts, ["host", "_path"], "left")
+    decided = decided.withColumn("allow", F.coalesce("allow", F.lit(True))).drop("_path")
+    others = tested(keyed.join(many, "host", "left_anti"))
+    return others.unionByName(decided)
+
+
+def _by_prefix(paths: DataFrame, rules_: DataFrame) -> DataFrame:
+    """``(host, _path, allow)`` of the paths that some rule of ``(host, rules)`` is a prefix of."""
+    each = rules_.select("host", F.inline("rules"))
+    first = materialise(each.groupBy("host", F.col("path").alias("prefix")).agg(F.min(F.struct("rule_no", "allow")).alias("rule")))
+    lengths = rules_.select("host", F.array_distinct(F.transform("rules", lambda rule: F.length(rule["path"]))).alias("lengths"))
+    fitting = F.filter("lengths", lambda n: n <= F.length("_path"))
+    cut = paths.join(lengths, "host").select("host", "_path", F.explode(fitting).alias("n"))
+    cuts = cut.select("host", "_path", F.substr(F.col("_path"), F.lit(1), F.col("n")).alias("prefix"))
+    met = cuts.join(first, ["host", "prefix"]).groupBy("host", "_path").agg(F.min("rule").alias("rule"))
+    return met.select("host", "_path", "rule.allow")
 
 
 def permitted(pages: DataFrame, robots: DataFrame, *, url: str = "url") -> DataFrame:

@@ -30,37 +30,47 @@ def is_nested(url: Column | str) -> Column:
     return path.endswith(".xml") & F.contains(path, F.lit("sitemap"))
 
 
+def closures(locs: DataFrame, entries: DataFrame, max_depth: int | None = None) -> DataFrame:
+    """``(entry, sitemap_url)``: the sitemaps that each entry leads to, itself included.
+
+    ``locs`` holds ``(sitemap_url, url, nested)``, ``entries`` ``(entry)``. Followed level by level until none is
+    new, so cycles end; ``max_depth`` bounds the number of levels.
+    """
+    inner = materialise(locs.where("nested").select("sitemap_url", "url"))
+    last = materialise(entries.select("entry", F.col("entry").alias("sitemap_url")).distinct())
+    reached, depth = last, 1
+    while max_depth is None or depth < max_depth:
+        following = last.join(inner, "sitemap_url").select("entry", F.col("url").alias("sitemap_url")).distinct()
+        last = materialise(following.join(reached, ["entry", "sitemap_url"], "left_anti"))
+        if last.isEmpty():
+            break
+        reached, depth = reached.unionByName(last), depth + 1
+    return reached
+
+
 def expand(sitemaps: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``(root_url, url)``: the distinct page URLs that each root sitemap leads to.
 
-    Nested sitemaps are followed level by level until none is new, so cycles
-    end. ``max_depth`` bounds the number of levels. A nested sitemap whose text
-    is not stored gives no URLs. ``roots`` needs ``url``.
+    ``max_depth`` bounds the number of levels. A nested sitemap whose text is not stored gives no URLs.
+    ``roots`` needs ``url``. The nested sitemaps that roots name (the entries) are followed once each, however many
+    roots name them, and their pages are then joined to the roots.
     """
     locs = materialise(
         locations(sitemaps).select("sitemap_url", F.col("loc").alias("url")).distinct()
         .withColumn("nested", is_nested("url"))
     )
-    open_sitemaps = materialise(roots.select(F.col("url").alias("root_url"), "url").distinct())
-    done, pages, depth = open_sitemaps, None, 0
-    while max_depth is None or depth < max_depth:
-        reached = materialise(
-            open_sitemaps.withColumnRenamed("url", "sitemap_url")
-            .join(locs, "sitemap_url")
-            .select("root_url", "url", "nested")
-            .distinct()
-        )
-        leaves = reached.where(~F.col("nested")).select("root_url", "url")
-        pages = leaves if pages is None else pages.unionByName(leaves)
-        inner = reached.where("nested").select("root_url", "url")
-        open_sitemaps = materialise(inner.join(done, ["root_url", "url"], "left_anti"))
-        if open_sitemaps.isEmpty():
-            break
-        done = done.unionByName(open_sitemaps)
-        depth += 1
-    if pages is None:
-        return open_sitemaps.limit(0)
-    return pages.distinct()
+    asked = roots.select(F.col("url").alias("root_url")).distinct()
+    if max_depth is not None and max_depth < 1:
+        return asked.limit(0).select("root_url", F.col("root_url").alias("url"))
+    first = materialise(asked.join(locs.withColumnRenamed("sitemap_url", "root_url"), "root_url"))
+    own = first.where(~F.col("nested")).select("root_url", "url")
+    named = first.where("nested").select("root_url", F.col("url").alias("entry"))
+    if max_depth == 1 or named.isEmpty():
+        return own.distinct()
+    reached = closures(locs, named.select("entry"), None if max_depth is None else max_depth - 1)
+    leaves = locs.where(~F.col("nested")).select("sitemap_url", "url")
+    pages = materialise(reached.join(leaves, "sitemap_url").select("entry", "url").distinct())
+    return named.join(pages, "entry").select("root_url", "url").unionByName(own).distinct()
 
 
 def frontier_urls(links: DataFrame, sitemap_urls: DataFrame, **canonical) -> DataFrame:

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siteloom.session import materialise
+from siteloom.sources.records import read_records
+
 # The tables of the data model with their keys, codes and length limits.
 SCHEMAS = {
     "site": "id long not null, domain string, robots_content string, sitemap_content string",
@@ -59,10 +67,8 @@ def page_contents(spark: SparkSession, path: str) -> DataFrame:
     return scan(spark, path, "page_id").select("page_id", "url", "html")
 
 
-def _csv(spark: SparkSession, path: str, ddl: str, header: bool, multi_line: bool = False) -> DataFrame:
-    return spark.read.csv(
-        path, schema=ddl, sep=";", header=header, multiLine=multi_line, ignoreTrailingWhiteSpace=True
-    )
+def _csv(spark: SparkSession, path: str, ddl: str, header: bool) -> DataFrame:
+    return spark.read.csv(path, schema=ddl, sep=";", header=header, ignoreTrailingWhiteSpace=True)
 
 
 def read_links(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
@@ -70,9 +76,15 @@ def read_links(spark: SparkSession, path: str, header: bool = False) -> DataFram
     return _csv(spark, path, LINK_CSV, header)
 
 
-def read_sites(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """Sites; robots and sitemap texts may hold line ends, so a file is read as a whole."""
-    return _csv(spark, path, SITE_CSV, header, multi_line=True)
+def read_sites(spark: SparkSession, path: str, header: bool = True, escape: str = "\\") -> DataFrame:
+    """Sites; robots and sitemap texts may hold line ends.
+
+    Files are read in splits all the same (:mod:`siteloom.sources.records`). ``escape`` stands before a quote that is part of a
+    text: a backslash, as Spark writes it, or the quote itself.
+    """
+    records = read_records(spark, path, sep=";", escape=escape, header=header)
+    options = {"sep": ";", "escape": escape}  # the records' fields have no blanks at their ends
+    return records.select(F.from_csv("record", SITE_CSV, options).alias("r")).select("r.*")
 
 
 def read_page_list(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -86,11 +98,61 @@ def read_vocabulary(spark: SparkSession, path: str, strip: bool = False) -> Data
     Only line ends are removed, as blanks may belong to an entry; ``strip``
     removes them too. Of equal entries the last line number counts.
     """
-    lines = spark.sparkContext.textFile(path).zipWithIndex().toDF("line string, idx long")
+    read = spark.read.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("no"),
+    )
+    placed = materialise(read)
+    # Lines are numbered within their split of the file; a small row a split carries the count on.
+    splits = placed.groupBy("file", "at").agg(F.count("*").alias("n"), F.min("no").alias("first"))
+    earlier = Window.orderBy("file", "at").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "at", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    lines = placed.join(splits, ["file", "at"]).select("line", (F.col("before") + F.col("no") - F.col("first")).alias("idx"))
     cut = r"^\s+|\s+$" if strip else r"[\r\n]+$"
     return lines.groupBy(F.regexp_replace("line", cut, "").alias("gram")).agg(F.max("idx").alias("idx"))
 
 
+def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """``(path, size)`` of all files below a folder, paths relative to it; no file is opened.
+
+    The source does not list files without content.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    root = re.sub(r"^[a-z0-9]+:/*", "", folder).strip("/") + "/"
+    below = F.substr(F.col("path"), F.locate(root, "path") + len(root))
+    return files.select(below.alias("path"), F.col("length").alias("size"))
+
+
+def write_files(files: DataFrame, folder: str) -> DataFrame:
+    """Write ``(path, content)`` as files below a shared folder; gives ``(path, size)`` of what was written.
+
+    A file appears under its name when it is whole, and a task that is run again writes the same file. ``path`` is
+    relative and has no ``..``; of rows with one path the greatest content stays.
+    """
+    one = files.groupBy("path").agg(F.max(F.col("content").cast("binary")).alias("content"))
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        target = folder if "://" in folder else folder.replace("file:", "")
+        system, root = fs.FileSystem.from_uri(target) if "://" in target else (fs.LocalFileSystem(), target)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                if ".." in path.split("/"):
+                    raise ValueError(f"{path!r} leads out of the folder")
+                place, _, name = f"{root}/{path}".rpartition("/")
+                system.create_dir(place, recursive=True)
+                hidden = f"{place}/.{name}-{uuid.uuid4().hex}"
+                with system.open_output_stream(hidden) as out:
+                    out.write(content)
+                system.move(hidden, f"{place}/{name}")
+            yield pd.DataFrame({"path": batch["path"], "size": [len(c) for c in batch["content"]]})
+
+    return materialise(one.mapInPandas(work, "path string, size long"))
+
+
 def seeds(spark: SparkSession, pages: list[str] | DataFrame) -> DataFrame:
     """The frontier of level 0, each seed once: a list of URLs or a table with ``url``."""
     if isinstance(pages, DataFrame):

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siteloom.operators.dedup import dedup_batch, duplicate_links, mark
+from siteloom.operators.dedup import dedup_signed, duplicate_links, mark
 from siteloom.operators.minhash import Scheme
 from siteloom.session import materialise
+from siteloom.sources.keyed import KeyTable
+from siteloom.sources.signed import SignatureIndex
 
 ARRIVALS = "page_id long, url string, html string"
 STORED = f"{ARRIVALS}, page_type_code string, batch_id long"
@@ -48,20 +50,31 @@ def start(
     """Process all files of ``source`` that were not processed yet, in batches, then stop.
 
     A batch writes its own folder (``batch_id=…``) in overwrite mode and reads
-    only folders of earlier batches as history, so a batch that is run again
-    after a failure gives the same rows once.
+    only those of earlier batches, so a batch that is run again
+    after a failure gives the same rows once. Kept pages go to an index of signatures, with which
+    later batches are compared: stored pages are not signed again, and texts are read of contested signatures only.
+    A URL that is stored already, and all but the first page of a URL in the batch, are left out.
     """
+    index = SignatureIndex(spark, f"{store}/index", vocab, scheme)
+    known = KeyTable(spark, f"{store}/known", "id long, check long", "id")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        new = materialise(batch)
-        session = batch.sparkSession
-        history = stored_pages(session, store).where(
-            (F.col("batch_id") < batch_id) & (F.col("page_type_code") == "HTML")
-        )
-        duplicates = materialise(dedup_batch(new, history, vocab, scheme, text="html", **options))
+        hashed = batch.withColumns({"id": F.xxhash64("url"), "check": F.xxhash64(F.lit(1), "url")})
+        named, bare = hashed.where(F.col("url").isNotNull()), hashed.where(F.col("url").isNull())
+        first = named.groupBy("url").agg(F.min_by(F.struct("page_id", "html", "id", "check"), "page_id").alias("p")).select("url", "p.*")
+        unseen = first.join(known.read(batch_id).select("id", "check"), ["id", "check"], "left_anti")
+        new = materialise(unseen.unionByName(bare))
+        pages = new.select("page_id", "url", "html")
+        bodies = pages.select("page_id", F.coalesce("html", F.lit("")).alias("text"))
+        described = materialise(index.describe(bodies))
+        duplicates = materialise(dedup_signed(bodies, index, before=batch_id, signed=described, **options))
+        kept = described.join(duplicates.select("page_id"), "page_id", "left_anti")
         folder = f"batch_id={batch_id}"
-        mark(new, duplicates).write.mode("overwrite").parquet(f"{store}/page/{folder}")
+        mark(pages, duplicates).write.mode("overwrite").parquet(f"{store}/page/{folder}")
         duplicate_links(duplicates).write.mode("overwrite").parquet(f"{store}/link/{folder}")
+        index.add_texts(kept, bodies, batch_id)
+        index.add(kept, batch_id)
+        known.write(new.where(F.col("url").isNotNull()), batch_id)
 
     stream = spark.readStream.schema(ARRIVALS).option("maxFilesPerTrigger", max_files).parquet(source)
     return (
