@@ -5,8 +5,8 @@ with a smaller id is removed. Matches do not cross documents and are judged on t
 
 *Parse.* A rolling hash over 16 bytes triggers the start of a phrase, so equal text is cut
 alike wherever it stands. A phrase with the 49 bytes after it is a unit: it holds whole every
-string that starts in the phrase. Units go by 128-bit hashes to the parts that own them,
-and a part finds the least id of each. A unit that occurs in a smaller document is removed
+string that starts in the phrase. Units go by 128-bit BLAKE2b digests to the parts that own them (so
+two units of one key are one string), and a part finds the least id of each. A unit that occurs in a smaller document is removed
 as a whole: repeated text is settled phrase by phrase, whatever the number of its copies.
 What is left are the first occurrences, the dictionary; the least document of any string
 still holds it there, since a removed unit has a copy in a smaller document.
@@ -33,6 +33,7 @@ smaller. A null id is the least.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +52,7 @@ BLOCK_BYTES, CHUNK_BYTES, PART_BYTES = 1 << 20, 1 << 16, 1 << 24
 RUN, MANY, MANY_BLOCKS = 256, 64, 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_TABLES = common.mix(np.arange(1, 513, dtype="uint64") * np.uint64(0xD1B54A32D192ED03)).reshape(2, 256)
+_TABLE = common.mix(np.arange(1, 257, dtype="uint64") * np.uint64(0xD1B54A32D192ED03))
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -88,7 +89,7 @@ class Parsed:
         self.begins = self.ends - self.sizes
         n = len(self.data)
         up, self.down = _powers(n)
-        self.sums = [np.concatenate([np.zeros(1, "uint64"), np.cumsum(t[self.data] * up[:n])]) for t in _TABLES]
+        self.sums = np.concatenate([np.zeros(1, "uint64"), np.cumsum(_TABLE[self.data] * up[:n])])
         # Phrases start with documents and at triggers.
         hashes = common.mix(self.hashes(TRIGGER))
         at = np.flatnonzero(hashes % np.uint64(EVERY) == 0)
@@ -107,15 +108,14 @@ class Parsed:
         n = len(self.data)
         if n < width:
             return np.zeros(0, "uint64")
-        s = self.sums[0]
-        return (s[width:] - s[: n + 1 - width]) * self.down[: n + 1 - width]
+        return (self.sums[width:] - self.sums[: n + 1 - width]) * self.down[: n + 1 - width]
 
     def units(self) -> tuple[np.ndarray, np.ndarray]:
         """The 16-byte key and the document's id of each unit."""
-        two = [(s[self.stops] - s[self.starts]) * self.down[self.starts] for s in self.sums]
-        size = (self.stops - self.starts).astype("uint64")
-        keys = np.stack([common.mix(two[0] + size), common.mix(two[1] ^ size)], axis=1)
-        return np.ascontiguousarray(keys).view("S16").ravel(), self.ids[self.doc]
+        data = memoryview(self.data)
+        spans = zip(self.starts.tolist(), self.stops.tolist(), strict=True)
+        keys = b"".join(hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in spans)
+        return np.frombuffer(keys, "S16"), self.ids[self.doc]
 
     def settle(self, removed: np.ndarray) -> None:
         """Take out units; the strings of the others stay open, as runs that share an anchor."""

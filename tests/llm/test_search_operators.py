@@ -72,6 +72,22 @@ def test_topk(spark, width, spread):
     assert topk.search(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("scale", [1, 70_000, 3e6, 2e13, 1e30])
+def test_topk_of_large_components(spark, scale):
+    rng = np.random.RandomState(5)
+    rows = [(k, [float(np.float32(x * (scale if k % 3 else 1))) for x in rng.randn(4)]) for k in range(120)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    low, high = -(2**63), 2**63 - 1
+    whole = {i: [min(max(math.floor(256 * x), low), high) for x in v] for i, v in rows}
+    got = {}
+    for r in topk.search(df, k=5, every=50, block=40).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.score, r.vec_id))
+    for q in (0, 50, 100):
+        scores = [(i, min(max(sum(a * b for a, b in zip(whole[q], v, strict=True)), low), high)) for i, v in whole.items() if i != q]
+        best = sorted((-s, i) for i, s in scores)[:5]
+        assert sorted(got[q]) == [(n + 1, -s, i) for n, (s, i) in enumerate(best)]
+
+
 def test_components(spark):
     rng = random.Random(1)
     pairs = [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(50)] + [(k, k + 1) for k in range(100, 140)]
@@ -172,6 +188,22 @@ def test_dealt_blocks_hold_each_pair_once(spark, monkeypatch):
     assert met == {(k, a, b): 1 for k, a, p in rows for m, b, q in rows if k == m and a < b and p != q}
 
 
+def test_near_duplicates_of_one_large_group(spark, monkeypatch):
+    """A star of many near copies goes in blocks, and a repeated id may have a text of another class."""
+    monkeypatch.setattr(hamming, "STAR", 16)
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(500)}" for _ in range(120)]
+    rows = [(5000, " ".join(base))]
+    for k in range(400):
+        copy = list(base)
+        copy[rng.randrange(120)] = f"x{k}"
+        rows.append((k, " ".join(copy)))
+    df = spark.createDataFrame([*rows, (7, "another text under the same id, linked with nothing at all")], "doc_id long, text string")
+    got = hamming.near_duplicates(df).collect()
+    assert {r.component_id for r in got if r.doc_id != 7} == {0}
+    assert len(got) == 402
+
+
 def test_near_duplicates_with_null_and_repeated_ids(spark):
     text = "a b c d e f g h i j"
     rows = [(None, text), (5, text), (5, text), (6, "other words stand in this one here"), (6, None)]
@@ -241,6 +273,19 @@ def test_repeated_strings(spark, block):
     assert prefixfree.repeated(df.limit(0)).count() == 0
 
 
+def test_texts_made_to_collide_in_rolling_hashes_are_kept(spark):
+    """Sums of powers modulo 2**64 are equal for texts that differ in 128 places in Thue-Morse order."""
+    rng = random.Random(2)
+    base = rng.choices("abcdefghijklmnopqrstuvwxyz ", k=8192)
+    one, two = list(base), list(base)
+    for k in range(128):
+        odd = bin(k).count("1") % 2
+        one[64 * k], two[64 * k] = "ab"[odd], "ba"[odd]
+    rows = [(0, "".join(one)), (1, "".join(two))]
+    got = prefixfree.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_repeats(rows, 50)
+
+
 def test_repeated_strings_parts_grow_with_the_text(spark, monkeypatch):
     rows = [(i, t) for i, t in repeat_rows() if i is not None and i != 4]
     df = spark.createDataFrame(rows, "doc_id long, text string")
