@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog import derived as D
@@ -11,6 +13,8 @@ from catalog.url_queries import PAGE_LINKS
 from siteloom.functions import urls
 from siteloom.operators import canonical, extract, frontier, robots, sitemap
 from siteloom.plans import crawl
+from siteloom.session import checkpoint_dir
+from siteloom.streaming.politeness import FetchPlan
 
 
 @query(f"""WITH {D.ROBOT_LINES} SELECT r.host, a.value AS agent, r.line_no::INT AS rule_no,
@@ -166,10 +170,11 @@ def link_merge(spark, sf):
     return canonical.distinct_urls(extract.links(D.pages(spark, sf)))
 
 
-CRAWL_EDGES = f"""{FIRST_RULE}, hrefs AS (
+CRAWL_EDGES = f"""{FIRST_RULE}, {PAGE_LINKS}, added AS (
   SELECT page_id, unnest(['/en/1', '/fr/x', '/en/2/y', '/zz?a#b']) AS raw, * EXCLUDE (page_id) FROM pages), made AS (
-  SELECT {sql_canonical('url')} AS src, lower({part('url', 1)}) || '://' || {part('url', 2)} || raw AS resolved FROM hrefs WHERE page_id % 5 <> 0), canon AS (
-  SELECT DISTINCT src, {sql_canonical('resolved')} AS dst FROM made)"""
+  SELECT {sql_canonical('url')} AS src, lower({part('url', 1)}) || '://' || {part('url', 2)} || raw AS resolved FROM added WHERE page_id % 5 <> 0), canon AS (
+  SELECT DISTINCT src, {sql_canonical('resolved')} AS dst FROM made
+  UNION SELECT {sql_canonical('p.url')}, l.canonical_url FROM links l JOIN pages p USING (page_id) WHERE page_id % 5 <> 0)"""
 
 
 @query(f"""WITH {CRAWL_EDGES} SELECT src, dst FROM (
@@ -179,7 +184,7 @@ CRAWL_EDGES = f"""{FIRST_RULE}, hrefs AS (
 def crawl_edges(spark, sf):
     """Links of pages that are no duplicates, to allowed domains, permitted by robots rules."""
     anchors = F.concat(*[F.lit(f'<a href="{href}">l</a>') for href in ("/en/1", "/fr/x", "/en/2/y", "/zz?a#b")])
-    made = D.pages(spark, sf).select("page_id", "url", anchors.alias("html"))
+    made = D.pages(spark, sf).select("page_id", "url", F.concat("html", anchors).alias("html"))
     duplicates = made.where(F.col("page_id") % 5 == 0).select("page_id")
     return crawl.link_edges(
         made, domains=["example.org", "example.com"], robots=D.robots(spark, sf), duplicates=duplicates
@@ -219,6 +224,20 @@ def fetch_schedule(spark, sf):
     return frontier.schedule(D.pages(spark, sf).select("url"), D.robots(spark, sf))
 
 
+@query(f"""WITH {D.ROBOT_LINES}, p AS (SELECT host, coalesce(max(CASE WHEN key = 'crawl-delay' AND regexp_matches(value, '^[0-9]+$') THEN value::INT END), 3) AS crawl_delay
+    FROM robots LEFT JOIN mine USING (host) GROUP BY host)
+  SELECT u.host, url, crawl_delay, ((row_number() OVER (PARTITION BY u.host ORDER BY batch, url) - 1) * crawl_delay)::BIGINT AS fetch_at
+  FROM (SELECT {part('url', 2)} AS host, url, min(page_id % 3) AS batch FROM pages GROUP BY ALL) u JOIN p USING (host)""")
+def fetch_schedule_batches(spark, sf):
+    """The URLs come in three batches, the last one with those of the first again; accesses of a host go on from batch to batch."""
+    plan = FetchPlan(spark, f"{checkpoint_dir(spark)}/siteloom/{uuid.uuid4().hex}", D.robots(spark, sf))
+    seen = spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url", F.lit(0).cast("long").alias("seen_at"))
+    for batch in range(3):
+        plan.add(seen.where(F.col("page_id") % 3 == batch), batch)
+    plan.add(seen.where(F.col("page_id") % 3 == 0), 3)
+    return plan.planned().select("host", "url", "crawl_delay", "fetch_at")
+
+
 @query("""WITH g AS (SELECT user_id::VARCHAR AS host, ts AS accessed_time,
     epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS us FROM events)
   SELECT host, accessed_time, round(us / 1e6, 6) AS gap_seconds FROM g WHERE us < 600000000""")

@@ -10,6 +10,7 @@ from catalog import derived as D
 from catalog.registry import query
 from siteloom.functions.text import characters
 from siteloom.operators import dedup, minhash
+from siteloom.operators.ordering import rank_in_group
 from siteloom.session import checkpoint_dir, materialise
 from siteloom.sources.signed import SignatureIndex
 
@@ -139,6 +140,30 @@ def near_duplicates_jaccard(spark, sf):
     return found.withColumn("score", F.round("score", 6))
 
 
+LEVENSHTEIN = "(CASE WHEN greatest(length(a.t), length(b.t)) = 0 THEN 1.0 ELSE 1 - levenshtein(a.t, b.t) / greatest(length(a.t), length(b.t)) END)"
+
+
+# The turns of conversations, each followed by a copy with some more letters, stand in for documents. SQL counts edits in
+# bytes, so other letters than ASCII become one sign.
+TURNS = """WITH RECURSIVE documents AS (
+  SELECT row_number() OVER (ORDER BY conv_id, turn, role, copy, text) AS doc_id, text FROM (
+    SELECT conv_id, turn, role, unnest([0, 1]) AS copy,
+      regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', '?', 'g') || unnest(['', ' and.']) AS text FROM conversations)), """
+
+
+@query(f"{TURNS}{_verified(LEVENSHTEIN, 'true').removeprefix('WITH RECURSIVE ')} SELECT page_id, orig_id, round(score, 6) AS score FROM duplicates")
+def near_duplicates_levenshtein(spark, sf):
+    """Turns of conversations by edits over whole texts."""
+    plain = F.regexp_replace(F.coalesce("text", F.lit("")), "[^\\x00-\\x7F]", "?")
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").withColumn("text", plain)
+    copies = F.array(*[F.struct(F.lit(k).alias("copy"), F.concat("text", F.lit(end)).alias("text")) for k, end in ((0, ""), (1, " and."))])
+    both = turns.select("conv_id", "turn", "role", F.inline(copies))
+    pages = materialise(rank_in_group(both, [], ["conv_id", "turn", "role", "copy", "text"], "page_id").select("page_id", "text"))
+    vocab = materialise(minhash.vocabulary(pages, VOCAB))
+    found = dedup.near_duplicates(pages, vocab, SCHEME, similarity=dedup.levenshtein_ratio())
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query(f"{FOUND} SELECT orig_id AS from_page, page_id AS to_page FROM duplicates")
 def duplicate_links(spark, sf):
     return dedup.duplicate_links(_duplicates(spark, sf, similarity=dedup.shingle_jaccard()))

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import derived as D
-from catalog.derived import part, sql_host
+from catalog.derived import part, sql_canonical, sql_host
 from catalog.registry import query
 from catalog.url_queries import PAGE_CLASS, PAGE_LINKS
 from siteloom.functions import urls
 from siteloom.operators import extract, graph, integrity, report
+from siteloom.plans.ingest import ingest
 from siteloom.session import checkpoint_dir, materialise
+from siteloom.sources.indexed import IndexedStore
 from siteloom.sources import pajek
 from siteloom.sources import tables as T
 
@@ -264,7 +268,7 @@ def bytes_by_type(spark, sf):
 def bytes_of_files(spark, sf):
     """Two thirds of the files lie in a folder; their sizes come from there."""
     typed = extract.classify(D.responses(spark, sf)).where(F.col("page_type_code") == "BINARY")
-    place = F.concat(urls.document_path("data_type_code", urls.authority("url"), "url"), F.lit("."), F.col("page_id").cast("string"))
+    place = F.concat(urls.document_path("data_type_code", urls.authority("url"), "url"), F.lit("-"), F.col("page_id").cast("string"))
     rows = typed.select("page_id", "data_type_code", place.alias("path"), F.col("html").alias("content"))
     folder = _folder(spark)
     T.write_files(rows.where(F.col("page_id") % 3 != 0), folder)
@@ -368,3 +372,30 @@ def store_refresh(spark, sf):
     stored.add_pages(rows.join(even.distinct(), "url", "left_semi"))
     note("second")
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@query(f"""WITH {PAGE_CLASS}, seen AS (
+  SELECT page_id, url, page_type_code, page_id % 3 AS batch FROM classed c WHERE page_type_code IS NOT NULL), html AS (
+  SELECT * FROM seen WHERE page_type_code <> 'BINARY')
+  SELECT 'site' AS tab, count(DISTINCT {part('url', 2)}) AS n FROM seen
+  UNION ALL SELECT 'page', count(*) FROM seen
+  UNION ALL SELECT 'image', count(*) FROM html
+  UNION ALL SELECT 'page_data', count(*) FROM seen WHERE page_type_code = 'BINARY'
+  UNION ALL SELECT 'link', count(*) FROM html a JOIN seen b ON b.page_id IN (a.page_id - 1, a.page_id + 1) AND b.batch <= a.batch
+    WHERE {sql_canonical('b.url')} = b.url""")
+def store_ingest(spark, sf):
+    """Pages that come in three batches to all tables of an indexed store; a link needs both of its pages."""
+    typed = D.responses(spark, sf).select("page_id", "url", "content_type", "http_status_code")
+    near = typed.select((F.col("page_id") + 1).alias("page_id"), F.col("url").alias("prev"))
+    far = typed.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("next"))
+    n = F.col("page_id").cast("string")
+    anchor = lambda url, text: F.concat(F.lit('<a href="'), F.coalesce(url, F.lit("#")), F.lit(f'">{text}</a>'))
+    html = F.concat(F.lit('<img src="/i'), n, F.lit('.png">'), anchor(F.col("prev"), "p"), anchor(F.col("next"), "n"), F.lit('<a href="/none/'), n, F.lit('">x</a>'))
+    time = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    made = materialise(typed.join(near, "page_id", "left").join(far, "page_id", "left").withColumns({"html": html, "accessed_time": time}))
+    store = IndexedStore(spark, _folder(spark))
+    store.create()
+    for batch in range(3):
+        ingest(store, made.where(F.col("page_id") % 3 == batch))
+    counts = [store.read(name).agg(F.lit(name).alias("tab"), F.count("*").alias("n")) for name in ("site", "page", "image", "page_data", "link")]
+    return materialise(reduce(DataFrame.unionByName, counts))

@@ -87,7 +87,8 @@ ORIGIN = f"lower({part('url', 1)}) || '://' || {part('url', 2)}"
 WWW_ORIGIN = D.sql_www(f"({ORIGIN})")
 
 
-@query(f"""SELECT page_id, CASE page_id % 8 WHEN 0 THEN {ORIGIN} || '/a/b/' || page_id
+@query(f"""WITH {PAGE_LINKS} SELECT page_id, resolved, canonical_url FROM links UNION ALL
+  SELECT page_id, CASE page_id % 8 WHEN 0 THEN {ORIGIN} || '/a/b/' || page_id
     WHEN 1 THEN {ORIGIN} || {part('url', 3)} || '?p=' || page_id
     WHEN 2 THEN lower({part('url', 1)}) || '://www.cdn.example.com/i/' || page_id
     WHEN 4 THEN 'HTTP://www.Other.com/' || page_id || '/#' ELSE {ORIGIN} || '/x//' END AS resolved,
@@ -105,7 +106,7 @@ def link_resolve(spark, sf):
     )
     href = F.element_at(kinds, (F.col("page_id") % 8 + 1).cast("int"))
     tagged = F.concat(F.lit('<a class="k" href="'), href, F.lit('">k</a>'))
-    made = D.pages(spark, sf).select("page_id", "url", tagged.alias("html"))
+    made = D.pages(spark, sf).select("page_id", "url", F.concat("html", tagged).alias("html"))
     return extract.links(made).select("page_id", "resolved", "canonical_url")
 
 

@@ -117,7 +117,7 @@ def read_vocabulary(spark: SparkSession, path: str, strip: bool = False) -> Data
 def file_sizes(spark: SparkSession, folder: str) -> DataFrame:
     """``(path, size)`` of all files below a folder, paths relative to it; no file is opened.
 
-    The source does not list files without content.
+    The source lists neither files without content nor those whose name starts with a dot or underscore.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     root = re.sub(r"^[a-z0-9]+:/*", "", folder).strip("/") + "/"
