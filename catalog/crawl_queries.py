@@ -191,9 +191,24 @@ def crawl_edges(spark, sf):
     )
 
 
-@query()
+STORED_CRAWL = f"""WITH RECURSIVE {CHOICE}, locs AS (
+  SELECT DISTINCT url AS sitemap_url, replace(trim(unnest(regexp_extract_all(content, '<loc>([^<]*)</loc>', 1))), '&amp;', '&') AS loc FROM sitemaps), typed AS (
+  SELECT *, {part('loc', 3)} LIKE '%.xml' AND {part('loc', 3)} LIKE '%sitemap%' AS nested FROM locs), walk(host, sitemap_url) AS (
+  SELECT host, url FROM chosen WHERE url IS NOT NULL UNION SELECT w.host, t.loc FROM walk w JOIN typed t USING (sitemap_url) WHERE t.nested), listed AS (
+  SELECT DISTINCT w.host, {sql_canonical('t.loc')} AS dst FROM walk w JOIN typed t USING (sitemap_url) WHERE NOT t.nested), {PAGE_LINKS}, rules AS (
+  SELECT host, line_no, key = 'allow' OR value = '' AS allow, value AS path FROM mine WHERE key IN ('allow', 'disallow')), edges AS (
+  SELECT DISTINCT {sql_canonical('p.url')} AS src, l.canonical_url AS dst FROM links l JOIN pages p USING (page_id)), asked AS (
+  SELECT {sql_canonical('url')} AS url FROM pages UNION SELECT dst FROM edges), permitted AS (
+  SELECT a.url FROM asked a LEFT JOIN rules r ON r.host = {part('a.url', 2)} AND starts_with({part('a.url', 3)}, r.path)
+  GROUP BY a.url HAVING coalesce(arg_min(r.allow, r.line_no), true)), zero AS (
+  SELECT DISTINCT {sql_canonical('url')} AS url FROM pages WHERE {sql_canonical('url')} IN (SELECT url FROM permitted)), one AS (
+  SELECT dst AS url FROM edges WHERE src IN (SELECT url FROM zero) AND dst IN (SELECT url FROM permitted)
+  UNION SELECT dst FROM listed WHERE host IN (SELECT {part('url', 2)} FROM zero))"""
+
+
+@query(f"{STORED_CRAWL} SELECT url, 0 AS level FROM zero UNION ALL SELECT url, 1 FROM one WHERE url NOT IN (SELECT url FROM zero)")
 def stored_crawl(spark, sf):
-    """The whole crawl over the stored pages, with sitemaps; the parts have SQL of their own."""
+    """The whole crawl over the stored pages, with robots rules and sitemaps, for two levels."""
     pages = D.pages(spark, sf)
     return crawl.stored_crawl(
         pages, pages.select("url"), robots=D.robots(spark, sf), sitemaps=D.sitemaps(spark, sf), max_level=2, max_pages=None

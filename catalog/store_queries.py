@@ -166,12 +166,13 @@ def link_by_url(spark, sf):
 
 @query(f"WITH {D.STORE} SELECT p.id, p.url FROM page p JOIN image i ON i.page_id = p.id WHERE p.page_type_code = 'HTML' AND p.site_id > 20")
 def sql_lookup(spark, sf):
-    for name, df in D.store(spark, sf).items():
-        df.createOrReplaceTempView(f"stored_{name}")
-    return spark.sql(
-        "SELECT p.id, p.url FROM stored_page p JOIN stored_image i ON i.page_id = p.id WHERE p.page_type_code = ? AND p.site_id > ?",
-        args=["HTML", 20],
-    )
+    store = T.CorpusStore(spark, _folder(spark))
+    store.create()
+    rows = D.store(spark, sf)
+    for name in ("page", "image"):
+        rows[name].select(*T.schema(name).names).write.mode("append").parquet(store.path(name))
+    sql = "SELECT p.id, p.url FROM page p JOIN image i ON i.page_id = p.id WHERE p.page_type_code = ? AND p.site_id > ?"
+    return store.query(sql, args=["HTML", 20])
 
 
 # --- link graph ---------------------------------------------------------------------------------------
@@ -314,16 +315,17 @@ def site_csv(spark, sf):
     return T.read_sites(spark, path)
 
 
-@query(f"WITH {D.STORE} SELECT id, site_id, page_type_code AS type, lsh_hash, url, 200 AS status_code FROM page")
+@query(f"""WITH {D.STORE} SELECT id, site_id, page_type_code AS type, lsh_hash, url, 200 AS status_code,
+  TIMESTAMP '2024-02-28 23:00:00' + to_seconds(id * 61) AS time_retreived FROM page""")
 def page_csv(spark, sf):
     path = _folder(spark)
     page = D.store(spark, sf)["page"]
     rows = page.select(
         "id", "site_id", F.col("page_type_code").alias("type"), "lsh_hash", "url", F.col("http_status_code").alias("status_code"),
-        F.col("accessed_time").cast("string").alias("time_retreived"),
+        (F.lit("2024-02-28 23:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") * 61).cast("decimal(18,6)"))).cast("string").alias("time_retreived"),
     )
     rows.write.csv(path, sep=";", header=True)
-    return T.read_page_list(spark, path).drop("time_retreived")
+    return T.read_page_list(spark, path)
 
 
 @query(f"""WITH {D.EDGES} SELECT s.url AS src, t.url AS dst, 1.0::DOUBLE AS weight

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siteloom.operators.ordering import rank_in_group
+from siteloom.operators.skew import hot_keys, repeated, salted
 from siteloom.session import materialise
 
 VERTEX = r'^\s*(\d+)\s+(?:"([^"]*)"|(\S+))'
@@ -60,7 +61,7 @@ def write_pajek(edges: DataFrame, path: str) -> None:
     order, are the file.
     """
     weight = F.col("weight") if "weight" in edges.columns else F.lit(1.0)
-    labelled = edges.select(F.col("src").cast("string"), F.col("dst").cast("string"), weight.alias("weight"))
+    labelled = materialise(edges.select(F.col("src").cast("string"), F.col("dst").cast("string"), weight.alias("weight")))
     labels = labelled.select(F.col("src").alias("label")).unionByName(labelled.select(F.col("dst").alias("label")))
     numbered = rank_in_group(labels.distinct(), [], ["label"], "v_no").select("label", "v_no")
     quoted = F.when(F.col("label").rlike(r"\s"), F.concat(F.lit('"'), "label", F.lit('"'))).otherwise(F.col("label"))
@@ -70,9 +71,16 @@ def write_pajek(edges: DataFrame, path: str) -> None:
         F.lit(0).cast("long").alias("second"),
         F.concat_ws(" ", "v_no", quoted, F.lit("0.0 0.0 ellipse")).alias("line"),
     )
-    sources = numbered.select(F.col("label").alias("src"), F.col("v_no").alias("first"))
-    targets = numbered.select(F.col("label").alias("dst"), F.col("v_no").alias("second"))
-    arc_lines = labelled.join(sources, "src").join(targets, "dst").select(
+    numbered = materialise(numbered)
+
+    def with_number(rows: DataFrame, end: str, other: str, name: str) -> DataFrame:
+        """Adds the number of one end; a label that very many arcs share is spread by their other end."""
+        hot = hot_keys(rows, end)
+        keys = repeated(numbered.select(F.col("label").alias(end), F.col("v_no").alias(name)), hot, end)
+        return salted(rows, hot, end, [F.col(other)]).join(keys, [end, "_salt"]).drop("_salt")
+
+    arcs = with_number(with_number(labelled, "src", "dst", "first"), "dst", "src", "second")
+    arc_lines = arcs.select(
         F.lit(3).alias("section"),
         "first",
         "second",

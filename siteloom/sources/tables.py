@@ -276,7 +276,9 @@ class CorpusStore:
 
     def add_images(self, images: DataFrame) -> None:
         rows = resolved_images(images, self.read("page"))
-        self._append("image", rows.join(self.read("image").select("page_id", "path"), ["page_id", "path"], "left_anti"))
+        stored = self.read("image").select(F.col("page_id").alias("_page"), F.col("path").alias("_path"))
+        same = (F.col("page_id") == F.col("_page")) & F.col("path").eqNullSafe(F.col("_path"))
+        self._append("image", rows.join(stored, same, "left_anti"))
 
     def add_files(self, files: DataFrame) -> DataFrame:
         """Append files of stored pages; gives the files that have none."""
