@@ -9,7 +9,9 @@ come back to the pieces by rank: the pieces of a length, in order of (doc_id, st
 the places that the patterns have for that length, one after the other.
 
 Null texts count as empty. A document with no ids and no end id has no piece. Rows that
-repeat an id are documents of their own; their pieces may interleave in rank only.
+repeat an id are documents of their own; their pieces may interleave in rank only, and equal
+rows take places of their own. A very long text has as many pieces as it needs. ``pieces`` leaves other columns out,
+``pack`` keeps them under any name but those of its results. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -118,34 +120,36 @@ def places(found: list[tuple[list[int], int]]) -> dict[int, tuple[np.ndarray, np
 def pack(df: DataFrame, size: int = SIZE, order: tuple[str, ...] = ("doc_id", "start")) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to rows with a ``length`` from 1 to ``size``.
 
-    Ranks within a length are made over range slices of (length, order), so a length that
-    most rows share spans many tasks: a slice counts its rows by length, and the counts of
-    the slices before it (one small row for each slice and length) are added.
+    Input columns of those two names are replaced, all others stay. Ranks within a length are made over range slices of
+    (length, order), so a length that most rows share spans many tasks: a slice counts its rows by length, and the
+    counts of the slices before it (one small row for each slice and length) are added.
     """
+    df = df.select(*(f"`{c}`" for c in df.columns if c.lower() not in ("sequence_id", "offset")))
+    slice_, row, many, first, before = (common.fresh(df, name) for name in ("slice", "row", "n", "first", "before"))
     ordering = ["length", *order]
     # Written once: range borders are sampled from the rows, which else would be made twice.
     ranged = materialise(df).repartitionByRange(*ordering).sortWithinPartitions(*ordering)
-    rows = materialise(ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()))
-    counts = rows.groupBy("length", "_slice").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    earlier = Window.partitionBy("length").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    counts = materialise(counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
-    histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("_n")).collect()}  # at most `size` rows
+    rows = materialise(ranged.withColumn(slice_, F.spark_partition_id()).withColumn(row, F.monotonically_increasing_id()))
+    counts = rows.groupBy("length", slice_).agg(F.count("*").alias(many), F.min(row).alias(first))
+    earlier = Window.partitionBy("length").orderBy(slice_).rowsBetween(Window.unboundedPreceding, -1)
+    counts = materialise(counts.withColumn(before, F.coalesce(F.sum(many).over(earlier), F.lit(0))))
+    histogram = {r[0]: r[1] for r in counts.groupBy("length").agg(F.sum(many)).collect()}  # at most `size` rows
     where = places(patterns(histogram, size))
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rank = (batch.pop("_row") - batch.pop("_first") + batch.pop("_before")).to_numpy("int64")
-            batch = batch.drop(columns="_slice")
+            rank = (batch.pop(row) - batch.pop(first) + batch.pop(before)).to_numpy("int64")
+            batch = batch.drop(columns=slice_)
             sequence, offset = np.zeros(len(batch), "int64"), np.zeros(len(batch), "int64")
             lengths = batch["length"].to_numpy("int64")
             for length in np.unique(lengths):
                 at = np.flatnonzero(lengths == length)
-                first, base, off = where[int(length)]
-                run = np.searchsorted(first, rank[at], side="right") - 1
-                sequence[at], offset[at] = base[run] + rank[at] - first[run], off[run]
+                begin, base, off = where[int(length)]
+                run = np.searchsorted(begin, rank[at], side="right") - 1
+                sequence[at], offset[at] = base[run] + rank[at] - begin[run], off[run]
             yield batch.assign(sequence_id=sequence, offset=offset)
 
-    # Rows of a (length, slice) are next to each other in their slice, so _row - _first counts them.
-    joined = rows.join(counts.drop("_n"), ["length", "_slice"]).select(*rows.columns, "_first", "_before")
+    # Rows of a (length, slice) are next to each other in their slice, so a row's number less the first is its rank.
+    joined = rows.join(counts.drop(many), ["length", slice_]).select(*(f"`{c}`" for c in rows.columns), first, before)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return joined.mapInPandas(work, f"{kept}, sequence_id long, offset long")

@@ -91,7 +91,11 @@ def test_word_tokens_as_the_library():
 @pytest.mark.parametrize("size", [8, 2048])
 def test_packing(odd, nothing, size):
     cut = packing.pieces(odd, WORDS, size)
-    packed = packing.pack(cut.withColumn("sequence", F.lit("clash")), size).collect()
+    clashes = {c: F.lit(c) for c in ("sequence", "_slice", "_row", "_n", "_first", "_before", "offset", "SEQUENCE_ID")}
+    table = packing.pack(cut.withColumns(clashes), size)
+    assert table.columns == [*cut.columns, *list(clashes)[:6], "sequence_id", "offset"]
+    packed = table.collect()
+    assert {r["_first"] for r in packed} == {"_first"}
     whole = Counter((None if k == common.LOWEST else k, tuple(tokens(t))) for k, t in in_order())
     room = {}
     for r in packed:
