@@ -27,7 +27,9 @@ Before sets are compared, a second signature of 512 symbols of 8 bits drops pair
 the threshold by more than five standard deviations, at their key already.
 
 Null and empty texts (and such without words) have no set and are linked with nothing. Rows
-that repeat an id count as one document. A null id is the least; its component is null.
+that repeat an id count as one document. A null id is the least; its component is null. Of equal texts
+the least id stays. A very long text counts whole, with 8 bytes a word where its set is compared. ``kept`` gives all
+columns of its input, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -119,8 +121,10 @@ def _star(pairs: DataFrame, texts: DataFrame, threshold: tuple[int, int]) -> Dat
     A middle's classes are dealt by hash into blocks of about ``STAR``; its signature and its text travel once a block.
     """
     slack = _slack(*threshold)
-    sizes = pairs.groupBy("middle").agg(F.ceil(F.count("*") / STAR).cast("long").alias("blocks"))
-    dealt = pairs.join(sizes, "middle").select("middle", "id", F.pmod(F.xxhash64("id"), "blocks").alias("slice"))
+    # Only middles of more than one block: few rows, however many classes such a middle has.
+    sizes = pairs.groupBy("middle").agg(F.ceil(F.count("*") / STAR).cast("long").alias("blocks")).where("blocks > 1")
+    slice_ = F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).alias("slice")
+    dealt = pairs.join(sizes, "middle", "left").select("middle", "id", slice_)
 
     def blocks(rows: DataFrame, column: str) -> DataFrame:
         """``key, slice, first, id, <column>``: a block's middle, then its classes."""
