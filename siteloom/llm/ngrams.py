@@ -21,10 +21,14 @@ where the folder allows it:
   shards that hold one too small for 8). A bigram's followers are found by its place in the trie.
 
 Trie shards are split by counts of the first word, frequent words by second word as well. A
-batch of texts looks up its words and n-grams in order, shard by shard; no table is held whole or
-broadcast. Counting works alike: a batch sends each shard its n-grams once, with counts.
-
-Null and empty texts have one token, the end.
+batch of texts looks up its words and n-grams in order, shard by shard, each by a successor search within the range of
+its context: one select on the high bits, then a few low parts, read from the mapped file where they lie. No table is
+unpacked, held whole or broadcast. Counting works alike: a batch sends each shard its n-grams once, with counts.
+
+Null and empty texts have one token, the end. Rows that repeat an id, and equal texts, count and are scored one by
+one. A very long text is a portion of its own, which its task holds whole. Columns other than id and text are left out,
+whatever their names. An empty table trains a model without words, under which every word is unknown; scoring one
+gives no rows.
 """
 
 from __future__ import annotations
@@ -61,10 +65,6 @@ def _tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(common.LOWER).split()
 
 
-def _portions(texts: list) -> Iterator[tuple[int, int]]:
-    return common.portions([t or "" for t in texts], PORTION)
-
-
 def _save(folder: str, name: str, parts: list[bytes]) -> None:
     files, root = common.filesystem(folder)
     temporary = f"{root}/.tmp-{uuid.uuid4().hex}"
@@ -184,10 +184,11 @@ def _count_words(docs: DataFrame) -> DataFrame:
             return made
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(_tokens(text))
-                if len(counts) > 500_000:
-                    yield out()
+            for _, texts in common.text_portions(batch.column(0)):
+                for text in texts:
+                    counts.update(_tokens(text))
+                    if len(counts) > 500_000:
+                        yield out()
         yield out()
 
     counted = docs.select("text").mapInArrow(work, "word binary, c long")
@@ -251,9 +252,8 @@ def _ngrams(model: Model, docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splits = np.array(model.splits, "int64")
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in _portions(texts):
-                number = model.batch(texts[a:b], followers=False)["number"]
+            for _, texts in common.text_portions(batch.column(0), PORTION):
+                number = model.batch(texts, followers=False)["number"]
                 keys = _bigrams(number)
                 at = np.flatnonzero(keys >= 0)
                 pairs, place, counts = np.unique(keys[at], return_inverse=True, return_counts=True)
@@ -411,28 +411,31 @@ def probabilities(model: Model, texts: list, made: dict[str, np.ndarray] | None
         data, stop = _load(model.folder, f"trie-{shard}"), 0
         levels = []
         for _ in range(5):
-            values, stop = eliasfano.decode(data, stop)
-            levels.append(values)
-        contexts, _, second, pointers, children = levels
-        n, m = len(second), len(children)
+            levels.append(eliasfano.Sequence(data, stop))
+            stop = levels[-1].end
+        contexts, starts, second, pointers, children = levels
+        n, m = second.n, children.n
         size = (len(data) - stop - 2 * n) // (n + m)  # bytes a share
         wide = f"<u{size}"
         asked = pairs[lo:hi]
-        context = np.minimum(np.searchsorted(contexts, asked >> 32), len(contexts) - 1)
-        value = context * width + (asked & 0xFFFFFFFF)
-        found = np.minimum(np.searchsorted(second, value), n - 1)
-        hit = (second[found] == value) & (contexts[context] == asked >> 32)
-        count[lo:hi] = np.where(hit, _count(np.frombuffer(data, "<u2", n, stop)[found]), 0)
-        rest[lo:hi] = np.where(hit, _number(np.frombuffer(data, wide, n, stop + 2 * n)[found]), 1)
+        firsts, of = np.unique(asked >> 32, return_inverse=True)
+        context, known = contexts.successor(firsts)
+        begin = np.where(known, starts.values(np.where(known, context, 0)), 0)
+        end = np.where(known, starts.values(np.where(known, context + 1, 0)), 0)
+        found, hit = second.successor(context[of] * width + (asked & 0xFFFFFFFF), begin[of], end[of])
+        there = np.minimum(found, n - 1)
+        count[lo:hi] = np.where(hit, _count(np.frombuffer(data, "<u2", n, stop)[there]), 0)
+        rest[lo:hi] = np.where(hit, _number(np.frombuffer(data, wide, n, stop + 2 * n)[there]), 1)
         # Of a bigram in the trie, its place; then the followers that its pointers span.
         x, y = np.searchsorted(parent, [lo, hi])
         mine = parent[x:y] - lo
         ok = hit[mine]
         bigram, word = found[mine[ok]], number[third[x:y][ok]]
         if m:
-            value = bigram * width + word
-            child = np.minimum(np.searchsorted(children, value), m - 1)
-            same = (word >= END) & (children[child] == value) & (pointers[bigram] <= child) & (child < pointers[bigram + 1])
+            spans, span = np.unique(bigram, return_inverse=True)
+            begin, end = pointers.values(spans), pointers.values(spans + 1)
+            child, same = children.successor(bigram * width + np.maximum(word, 0), begin[span], end[span])
+            same &= word >= END
             codes = np.frombuffer(data, wide, m, stop + (2 + size) * n)
             share[x + np.flatnonzero(ok)[same]] = _number(codes[child[same]])
     before = np.maximum(np.arange(len(number)) - 1, 0)
@@ -465,11 +468,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in _portions(texts):
-                made = score_texts(model, texts[a:b])
-                columns = [batch.column(0).slice(a, b - a), pa.array(made["n_tokens"]), pa.array(made["n_known"])]
-                columns += [pa.array(np.full(b - a, model.tokens, "int64")), pa.array(made["base_score"]), pa.array(made["score"])]
+            for a, texts in common.text_portions(batch.column(1), PORTION):
+                made, n = score_texts(model, texts), len(texts)
+                columns = [batch.column(0).slice(a, n), pa.array(made["n_tokens"]), pa.array(made["n_known"])]
+                columns += [pa.array(np.full(n, model.tokens, "int64")), pa.array(made["base_score"]), pa.array(made["score"])]
                 yield pa.RecordBatch.from_arrays(
                     columns, ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
                 )

@@ -428,3 +428,27 @@ def test_pipeline_on_small_tables(spark, tmp_path):
     for name in ("documents", "labels"):
         spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_monotone_sequences():
+    """Values, and successors within bounds, as on the plain array; a sequence may start anywhere in a buffer."""
+    rng = np.random.default_rng(1)
+    for n, most in [(1, 5), (1, 2**40), (10, 3), (900, 2**50), (5000, 5000), (60_000, 2**40), (300, 10)]:
+        values = np.sort(rng.integers(0, most, n))
+        data = memoryview(b"x" * 8 + ngrams.eliasfano.encode(values) + b"tail")
+        made = ngrams.eliasfano.Sequence(data, 8)
+        assert bytes(data[made.end :]) == b"tail"
+        assert (made.values(np.arange(n)) == values).all() and (ngrams.eliasfano.decode(data, 8)[0] == values).all()
+        asked = np.concatenate([values, values + 1, np.maximum(values - 1, 0), rng.integers(0, most + 10, 200)])
+        place, same = made.successor(asked)
+        want = np.searchsorted(values, asked)
+        assert (place == want).all() and (same == ((want < n) & (values[np.minimum(want, n - 1)] == asked))).all()
+        first = rng.integers(0, n, len(asked))
+        last = np.minimum(n, first + rng.integers(0, 9, len(asked)))
+        place, same = made.successor(asked, first, last)
+        for k in range(0, len(asked), 7):
+            part = values[first[k] : last[k]]
+            assert same[k] == (asked[k] in part)
+            assert not same[k] or place[k] == first[k] + np.searchsorted(part, asked[k])
+    none = ngrams.eliasfano.Sequence(memoryview(ngrams.eliasfano.encode(np.zeros(0, "int64"))))
+    assert none.n == 0 and not none.successor(np.array([3]))[1].any()
