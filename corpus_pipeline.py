@@ -5,7 +5,9 @@ the columns of ``docs``, extra ones included. ``run`` writes each stage's rows a
 shared folder and reads them back for the next.
 
 Null texts count as empty. Rows that repeat an id count as one document where documents are told apart by
-id. Empty tables pass through all stages.
+id; of equal texts that with the least id stays. Very long texts are scored, compared and packed whole (the third stage's memory
+for them is told in its module). Extra columns stay until the last stage, whatever their names. Empty tables pass through
+all stages.
 """
 
 from __future__ import annotations

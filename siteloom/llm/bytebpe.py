@@ -13,7 +13,9 @@ matches the join is plain concatenation. A match never spans a space that follow
 character other than white space; text is cut there and each such word encoded once.
 
 The vocabulary is a file of ranks (base64 of the token, rank) at a path that all machines
-have. Null texts count as empty and give no ids. Special tokens are ordinary text.
+have. Null texts count as empty and give no ids. Special tokens are ordinary text. Rows are encoded one by
+one, so ties and repeated ids change nothing. A very long text, and a very long match in it, is encoded
+whole. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ similarity, sum of minima over sum of maxima of the weights. Each draw is kept i
 which adds at most 2**-16 to the rate.
 
 Null texts count as empty. A text without words has the fingerprint ``""``; it is like
-(1.0) another such text and unlike (0.0) all others.
+(1.0) another such text and unlike (0.0) all others. Equal texts have equal fingerprints; rows that repeat
+an id are documents of their own. A very long text counts whole, its different words held once. Other columns are left
+out, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -28,7 +28,9 @@ part, so ``block_bytes`` should grow with the memory of the executors (a task ta
 alone; lost tasks are run again.
 
 Null texts count as empty. Rows that repeat an id are documents of equal id: neither is
-smaller. A null id is the least.
+smaller. A null id is the least. A very long text is a block of its own and takes 60 to 80 bytes a byte in its task, so
+a text of 30 MB or more needs executors of more than 3 GB. ``cleaned`` gives all columns of its input, whatever their
+names. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ file. ``manifest.json`` is written last, names each shard with its counts, and a
 the files valid.
 
 Null texts count as empty, null ids come first (stored as the lowest long, read as null),
-rows that repeat an id are ordered by text. An empty table gives a manifest without shards.
+rows that repeat an id are ordered by text. A very long text is one frame, which its task holds
+whole. Other columns are left out, whatever their names. An empty table gives a manifest without shards.
 """
 
 from __future__ import annotations

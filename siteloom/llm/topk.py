@@ -16,8 +16,10 @@ each query; the best k of those follow.
 
 Components x become floor(scale * x). Vectors that are null or hold null, NaN or infinite
 components take no part. Vectors of unequal length count as padded with zeros. Scores are
-exact in 64-bit integers; a component beyond 2**24 in size is an error, not a wrong score.
-Rows that repeat an id are rows of their own; a query leaves out all rows of its own id.
+exact 64-bit integers. Where a query's scores in a block may pass 2**53, its rows are all scored in integers; a score
+beyond 64 bits counts as the nearest that is not, and so does a component.
+Rows that repeat an id are rows of their own; a query leaves out all rows of its own id. Equal scores are
+ranked by id. An empty table gives no rows; other columns are left out, whatever their names, and texts play no part.
 """
 
 from __future__ import annotations
@@ -53,18 +55,25 @@ def matrix(vectors: pa.Array, width: int) -> np.ndarray:
     sizes = np.diff(offsets)
     rows = np.repeat(np.arange(len(vectors)), sizes)
     out[rows, np.arange(offsets[0], offsets[-1]) - np.repeat(offsets[:-1], sizes)] = flat[offsets[0] : offsets[-1]]
-    if out.size and np.abs(out).max() > 1 << 24:
-        raise ValueError("a component is beyond 2**24")
     return out
 
 
+def products(rows: np.ndarray, query: np.ndarray, bound: float) -> np.ndarray:
+    """Exact inner products of integers; ``bound`` is at least the size of any."""
+    if bound < 2**53:
+        return (rows.astype("float64") @ query.astype("float64")).astype("int64")
+    if bound < 2**62:
+        return rows @ query
+    exact = rows.astype(object) @ query.astype(object)
+    return np.array([min(max(score, -(2**63)), 2**63 - 1) for score in exact], "int64")
+
+
 class Index:
     """The impact-ordered postings of a block of rows."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray, levels: int = LEVELS):
-        self.ids, self.rows = ids, rows.astype("float64")  # whole numbers, exact to 2**53
-        if rows.size and float(np.abs(self.rows).max()) ** 2 * rows.shape[1] >= 2**53:
-            raise ValueError("scores may pass 2**53")
+        self.ids, self.whole, self.rows = ids, rows, rows.astype("float64")  # these are exact to 2**53
+        self.most = float(np.abs(self.rows).max()) if rows.size else 0.0
         n = len(rows)
         self.order = np.argsort(rows, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(self.rows.T, self.order, axis=1)  # by dimension, ascending
@@ -74,7 +83,13 @@ class Index:
     def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the best ``k`` rows, ties to the smaller id."""
         (n, _), segments = self.rows.shape, len(self.cuts) - 1
-        query = query.astype("float64")
+        whole, query = query, query.astype("float64")
+        bound = self.most * float(np.abs(query).sum())
+        if bound >= 2**53:  # partial scores are no longer exact, so every row is scored in integers
+            possible = np.flatnonzero(self.ids != own)
+            exact = products(self.whole[possible], whole, bound)
+            chosen = np.lexsort((self.ids[possible], -exact.astype(object)))[:k] if len(possible) else possible
+            return self.ids[possible][chosen], exact[chosen]
         dims = np.flatnonzero(query)
         weights, up = query[dims], query[dims] > 0
         others = self.ids != own

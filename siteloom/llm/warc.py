@@ -13,7 +13,8 @@ that it does not name.
 A null payload is empty. A null id comes first and is read as null. Of rows with equal id and
 payload the first is the response. Record ids are version-8 UUIDs that hold the page id and
 the number of the row among those of its id. A null URL is written as ``urn:page:ID``; control
-characters and spaces of a URL are percent-encoded. An empty table gives no archives.
+characters and spaces of a URL are percent-encoded. A very long payload is one record, which its task holds whole; files are
+rolled between records. Other columns are left out, whatever their names. An empty table gives no archives.
 """
 
 from __future__ import annotations
@@ -179,7 +180,8 @@ def write(df: DataFrame, folder: str, least: int = 0, roll: int = ROLL, rows: in
     shards = common.sliced(both, "key", splits, ["key", "kind", "payload", "url"]).mapInArrow(
         work, "name string, records long, bytes long, sha256 string"
     )
-    manifest = {"files": [r.asDict() for r in shards.orderBy("name").collect()]}  # a row for each file
+    # A row for each file. They are sorted here: a sort in Spark would sample its input, and so write it twice.
+    manifest = {"files": sorted((r.asDict() for r in shards.collect()), key=lambda r: r["name"])}
     with files.open_output_stream(f"{root}/.tmp-manifest") as out:
         out.write(json.dumps(manifest).encode())
     files.move(f"{root}/.tmp-manifest", f"{root}/manifest.json")
