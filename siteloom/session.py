@@ -58,14 +58,15 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
+def bucketed(df: DataFrame, keys: list[str], least: int = 1) -> tuple[DataFrame, str]:
     """Write ``df`` as a table bucketed by ``keys``; gives the table and its name.
 
     Joins on all of ``keys`` then shuffle the other side only. Drop the table
-    when the loop that needs it is over.
+    when the loop that needs it is over. There are as many buckets as shuffle partitions,
+    or ``least``, which callers take from the bytes they know of.
     """
     spark = df.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
     name = f"siteloom_{uuid.uuid4().hex}"
     (
         df.repartition(buckets, *keys)
