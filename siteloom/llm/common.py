@@ -15,7 +15,7 @@ from pyspark.sql.types import IntegerType
 
 from siteloom.session import checkpoint_dir
 
-SLICE_ROWS = 8192
+SLICE_ROWS, SLICE_BYTES, SLICE_KEYS = 8192, 1 << 26, 20
 LOWEST = -(2**63)
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -78,6 +78,76 @@ def sliced(df: DataFrame, key: str, splits: list[int], order: list[str], name: s
     return placed.repartitionById(len(splits) + 1, F.col(name)).sortWithinPartitions(*order)
 
 
+def cuts(df: DataFrame, total: int, most: int) -> list[tuple[int, int]]:
+    """Split points ``(key, tie)`` for slices of ``most`` bytes or little more.
+
+    ``df`` holds the longs ``key``, ``tie`` (a hash of the row's text) and ``size``, of which ``total`` is the sum. The
+    rows of a key stay together, but a key that fills more than a slice has slices of its own, dealt by ``tie``
+    (rows alike in both stay together). Rows are sampled by their size, about ``SLICE_KEYS`` a slice, so many small
+    rows weigh as much as a few large ones, and repeated rows are added up before they reach the driver.
+    """
+    slices = -(-total // most)
+    if slices <= 1:
+        return []
+    step = max(1, total // (slices * SLICE_KEYS))
+    taken = df.where(F.pmod(F.xxhash64("key", "tie"), F.lit(step)) < F.col("size"))
+    weighed = taken.groupBy("key", "tie").agg(F.sum(F.greatest("size", F.lit(step))).alias("weight"))
+    found = sorted(tuple(row) for row in weighed.collect())
+    splits, filled, start = [], 0, 0
+    while start < len(found):
+        key, end = found[start][0], start
+        while end < len(found) and found[end][0] == key:
+            end += 1
+        weight = sum(row[2] for row in found[start:end])
+        if weight > most:
+            splits.append((key, LOWEST))
+            within = 0
+            for _, tie, one in found[start:end]:
+                if within and within + one > most:
+                    splits.append((key, max(tie, LOWEST + 1)))
+                    within = 0
+                within += one
+            if key < 2**63 - 1:
+                splits.append((key + 1, LOWEST))
+            filled = 0
+        else:
+            if filled and filled + weight > most:
+                splits.append((key, LOWEST))
+                filled = 0
+            filled += weight
+        start = end
+    return sorted(set(splits))
+
+
+def places(keys: np.ndarray, ties: np.ndarray, splits: list[tuple[int, int]]) -> np.ndarray:
+    """The number of the slice of :func:`cuts` that each row falls into."""
+    edges = np.array(splits, "int64").reshape(-1, 2)
+    place = np.searchsorted(edges[:, 0], keys, side="left")
+    stop = np.searchsorted(edges[:, 0], keys, side="right")
+    for key in np.unique(keys[stop > place]):
+        at = np.flatnonzero(keys == key)
+        low, high = place[at[0]], stop[at[0]]
+        place[at] += np.searchsorted(edges[low:high, 1], ties[at], side="right")
+    return place.astype("int32")
+
+
+def first_places(splits: list[tuple[int, int]]) -> np.ndarray:
+    """For each slice the first one that holds its key: slices of one key have the same."""
+    own = np.array([True, *(tie == LOWEST for _, tie in splits)])
+    return np.maximum.accumulate(np.where(own, np.arange(len(own)), 0)).astype("int64")
+
+
+def dealt(df: DataFrame, splits: list[tuple[int, int]], order: list[str], name: str = "slice") -> DataFrame:
+    """One partition for each slice of :func:`cuts`, sorted; ``name`` holds the slice's number."""
+
+    @F.pandas_udf(IntegerType())
+    def place(keys: pd.Series, ties: pd.Series) -> pd.Series:
+        return pd.Series(places(keys.to_numpy("int64"), ties.to_numpy("int64"), splits))
+
+    placed = df.withColumn(name, place("key", "tie"))
+    return placed.repartitionById(len(splits) + 1, F.col(name)).sortWithinPartitions(*order)
+
+
 class Memo:
     """Codes of words and, by code, runs of a flat array, for a bounded number of words.
 

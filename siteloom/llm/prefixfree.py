@@ -24,13 +24,13 @@ Documents are cut by id into blocks of about ``block_bytes`` (so the number of a
 which ids are smaller), kept compressed in a table bucketed by block; each step groups
 that table without a shuffle. Blocks send keys to parts and get back a flag for each, in the
 same order, so no group of equal strings is ever gathered. A block sends a row to each
-part, so ``block_bytes`` should grow with the memory of the executors (a task takes about 100 bytes a byte). Each answer depends on the rows
-alone; lost tasks are run again.
+part that owns one of its keys, so at most a row a key; ``block_bytes`` may grow with the memory of the executors. Each answer
+depends on the rows alone; lost tasks are run again.
 
 Null texts count as empty. Rows that repeat an id are documents of equal id: neither is
-smaller. A null id is the least. A very long text is a block of its own and takes 60 to 80 bytes a byte in its task, so
-a text of 30 MB or more needs executors of more than 3 GB. ``cleaned`` gives all columns of its input, whatever their
-names. An empty table gives no rows.
+smaller. An id with more rows than a block takes has blocks of its own, dealt by text, which count as one place. A null id
+is the least. A very long text is a block of its own; it is hashed in windows of ``WINDOW`` bytes. ``cleaned`` gives all columns
+of its input, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -50,7 +50,8 @@ from siteloom.session import bucketed, materialise
 
 LENGTH = 50
 TRIGGER, EVERY, ANCHOR = 16, 128, 24
-BLOCK_BYTES, CHUNK_BYTES, PART_BYTES = 1 << 20, 1 << 16, 1 << 24
+BLOCK_BYTES, CHUNK_BYTES, PART_BYTES, BUCKET_BYTES = 1 << 20, 1 << 16, 1 << 24, 1 << 28
+WINDOW, ROW_BYTES = 1 << 20, 64
 RUN, MANY, MANY_BLOCKS = 256, 64, 256
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -90,11 +91,12 @@ class Parsed:
         self.ends = np.cumsum(self.sizes)
         self.begins = self.ends - self.sizes
         n = len(self.data)
-        up, self.down = _powers(n)
-        self.sums = np.concatenate([np.zeros(1, "uint64"), np.cumsum(_TABLE[self.data] * up[:n])])
         # Phrases start with documents and at triggers.
-        hashes = common.mix(self.hashes(TRIGGER))
-        at = np.flatnonzero(hashes % np.uint64(EVERY) == 0)
+        found = [np.zeros(0, "int64")]
+        for a in range(0, n - TRIGGER + 1, WINDOW):
+            hashes = self.hashes(TRIGGER, a, min(a + WINDOW, n - TRIGGER + 1))
+            found.append(a + np.flatnonzero(hashes % np.uint64(EVERY) == 0))
+        at = np.concatenate(found)
         whole = at + TRIGGER <= self.ends[np.searchsorted(self.ends, at, side="right")] if len(at) else at
         starts = np.unique(np.concatenate([self.begins[self.sizes > 0], at[whole] if len(at) else at]))
         doc = np.searchsorted(self.ends, starts, side="right")
@@ -106,11 +108,15 @@ class Parsed:
         self.after = np.minimum(following, stop - length + 1)[open_]
         self.stops = np.minimum(following + length - 1, stop)[open_]
 
-    def hashes(self, width: int) -> np.ndarray:
-        n = len(self.data)
+    def hashes(self, width: int, start: int, stop: int) -> np.ndarray:
+        """Rolling hashes of the strings of ``width`` bytes at the places from ``start`` up to ``stop``."""
+        data = self.data[start : stop + width - 1]
+        n = len(data)
         if n < width:
             return np.zeros(0, "uint64")
-        return (self.sums[width:] - self.sums[: n + 1 - width]) * self.down[: n + 1 - width]
+        up, down = _powers(n)
+        sums = np.concatenate([np.zeros(1, "uint64"), np.cumsum(_TABLE[data] * up[:n])])
+        return common.mix((sums[width:] - sums[: n + 1 - width]) * down[: n + 1 - width])
 
     def units(self) -> tuple[np.ndarray, np.ndarray]:
         """The 16-byte key and the document's id of each unit."""
@@ -122,24 +128,32 @@ class Parsed:
     def settle(self, removed: np.ndarray) -> None:
         """Take out units; the strings of the others stay open, as runs that share an anchor."""
         self.removed = removed
-        left = ~removed
-        sizes = (self.after - self.starts)[left]
-        shift = np.repeat(self.starts[left] - (np.cumsum(sizes) - sizes), sizes)
-        at = np.arange(int(sizes.sum())) + shift
+        starts, after = self.starts[~removed], self.after[~removed]
+        windows = [self._runs(starts, after, a) for a in range(0, len(self.data), WINDOW)]
+        none = np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, "uint64")
+        self.runs, self.run_sizes, self.anchors = (np.concatenate(parts) for parts in zip(none, *windows, strict=True))
+        self.run_doc = np.searchsorted(self.ends, self.runs, side="right")
+
+    def _runs(self, starts: np.ndarray, after: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The open strings that start in a window: first places, sizes and anchors of their runs."""
+        high = low + WINDOW
+        phrases = slice(np.searchsorted(after, low, side="right"), np.searchsorted(starts, high))
+        starts, after = np.maximum(starts[phrases], low), np.minimum(after[phrases], high)
+        sizes = after - starts
+        at = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
         if not len(at):
-            self.runs = self.run_sizes = self.run_doc = at
-            self.anchors = at.astype("uint64")
-            return
-        least = _sliding_least(common.mix(self.hashes(ANCHOR)), self.length - ANCHOR + 1)[at]
+            return at, at, at.astype("uint64")
+        # The last string that is asked for ends at most where the data does.
+        width = self.length - ANCHOR + 1
+        hashes = self.hashes(ANCHOR, low, min(high + width - 1, len(self.data) - ANCHOR + 1))
+        least = _sliding_least(hashes, width)[at - low]
         new = np.concatenate([[True], (np.diff(at) != 1) | (least[1:] != least[:-1])])
         first = np.flatnonzero(new)
         # A run of more than RUN strings is cut.
         many = np.diff(np.append(first, len(at)))
         pieces = -(-many // RUN)
         first = np.repeat(first, pieces) + (np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * RUN
-        self.runs, self.run_sizes = at[first], np.diff(np.append(first, len(at)))
-        self.anchors = least[first] & np.uint64((1 << 48) - 1)
-        self.run_doc = np.searchsorted(self.ends, self.runs, side="right")
+        return at[first], np.diff(np.append(first, len(at))), least[first] & np.uint64((1 << 48) - 1)
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -164,11 +178,11 @@ def _flags(data: bytes, count: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, "uint8"), count=count).astype("bool")
 
 
-def _request(block: int, rows: list[tuple[int, bytes, bytes, bytes]]) -> pa.Table:
+def _request(block: int, place: int, rows: list[tuple[int, bytes, bytes, bytes]]) -> pa.Table:
     parts, keys, sizes, notes = zip(*rows, strict=True) if rows else ((), (), (), ())
-    columns = [pa.array([block] * len(rows), "int32"), pa.array(parts, "int32")]
+    columns = [pa.array(c, "int32") for c in ([block] * len(rows), [place] * len(rows), parts)]
     columns += [pa.array(c, "binary") for c in (keys, sizes, notes)]
-    return pa.table(columns, names=["block", "part", "keys", "sizes", "notes"])
+    return pa.table(columns, names=["block", "place", "part", "keys", "sizes", "notes"])
 
 
 class Keys:
@@ -195,14 +209,14 @@ class Keys:
             if b > a:
                 yield p, self.order[a:b]
 
-    def requests(self, block: int) -> pa.Table:
+    def requests(self, block: int, place: int) -> pa.Table:
         """Keys of integers travel as 6 bytes."""
         rows = []
         for p, at in self._shares():
             keys = self.keys[at]
             data = keys.tobytes() if keys.dtype.kind != "u" else keys.view("uint8").reshape(-1, 8)[:, :6].tobytes()
             rows.append((p, data, b"", _bits(self.several[at]) + _bits(self.counts[at] >= MANY)))
-        return _request(block, rows)
+        return _request(block, place, rows)
 
     def flags(self, replies: dict[int, bytes], kinds: int = 1) -> list[np.ndarray]:
         """The flags of each entry."""
@@ -240,7 +254,7 @@ class Strings:
         _, rank = np.unique(parsed.ids, return_inverse=True)  # rows of one id are equal in order
         self.rank = rank[np.searchsorted(parsed.ends, self.runs, side="right")] if len(self.runs) else self.runs
 
-    def requests(self, block: int) -> pa.Table:
+    def requests(self, block: int, place: int) -> pa.Table:
         rows = []
         for p, (a, b) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
             if b > a:
@@ -248,7 +262,7 @@ class Strings:
                 at = np.repeat(self.runs[a:b] - (np.cumsum(wide) - wide), wide) + np.arange(int(wide.sum()))
                 sizes = self.sizes[a:b].astype("<u2").tobytes()
                 rows.append((p, self.parsed.data[at].tobytes(), sizes, self.rank[a:b].astype("<u4").tobytes()))
-        return _request(block, rows)
+        return _request(block, place, rows)
 
     def removed(self, replies: dict[int, bytes]) -> np.ndarray:
         """The places of the strings that a smaller document has."""
@@ -265,11 +279,11 @@ def _firsts(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, "int64")
 
 
-REQUEST = "block int, part int, keys binary, sizes binary, notes binary"
+REQUEST = "block int, place int, part int, keys binary, sizes binary, notes binary"
 REPLY = "block int, part int, kind string, flags binary"
 
 
-def _judged(kind: str, length: int, blocks: np.ndarray, keys: list[bytes], sizes: list[bytes], notes: list[bytes]) -> list[bytes]:
+def _judged(kind: str, length: int, places: np.ndarray, keys: list[bytes], sizes: list[bytes], notes: list[bytes]) -> list[bytes]:
     """Flags for each request of a part."""
     if kind == "string":
         counts = [np.frombuffer(x, "<u2").astype("int64") for x in sizes]
@@ -278,13 +292,13 @@ def _judged(kind: str, length: int, blocks: np.ndarray, keys: list[bytes], sizes
         at = np.repeat(begins - (np.cumsum(runs) - runs), runs) + np.arange(int(runs.sum()))
         found = np.lib.stride_tricks.sliding_window_view(data, length)[at].view(f"S{length}").ravel()
         rank = np.concatenate([np.frombuffer(x, "<u4") for x in notes]).astype("int64")
-        place = np.repeat(np.repeat(blocks.astype("int64") << 32, [len(c) for c in counts]) | rank, runs)
+        place = np.repeat(np.repeat(places.astype("int64") << 32, [len(c) for c in counts]) | rank, runs)
         ends = np.cumsum([int(c.sum()) for c in counts])
     else:
         width = 16 if kind == "unit" else 6
         lengths = np.array([len(k) // width for k in keys])
         found = np.frombuffer(b"".join(keys), f"S{width}")
-        place, ends = np.repeat(blocks.astype("int64"), lengths), np.cumsum(lengths)
+        place, ends = np.repeat(places.astype("int64"), lengths), np.cumsum(lengths)
     order = np.argsort(found, kind="stable")  # for strings, the part's suffix array
     first = _firsts(found[order])
     sizes_ = np.diff(np.append(first, len(found)))
@@ -305,8 +319,7 @@ def _owned(requests: DataFrame, kind: str, length: int) -> DataFrame:
     """Answer requests: for anchors whether several documents hold the key and whether very many do, else whether a smaller one does."""
 
     def judge(table: pa.Table) -> pa.Table:
-        blocks = table.column("block").to_numpy()
-        made = _judged(kind, length, blocks, *(table.column(c).to_pylist() for c in ("keys", "sizes", "notes")))
+        made = _judged(kind, length, table.column("place").to_numpy(), *(table.column(c).to_pylist() for c in ("keys", "sizes", "notes")))
         return pa.table(
             [table.column("block"), table.column("part"), pa.array([kind] * len(made)), pa.array(made, "binary")],
             names=["block", "part", "kind", "flags"],
@@ -320,18 +333,18 @@ def _unpacked(table: pa.Table) -> pa.Table:
     return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in table.column("rows").to_pylist()]).combine_chunks()
 
 
-def _blocks(docs: DataFrame, splits: list[int]) -> tuple[DataFrame, str]:
+def _blocks(docs: DataFrame, splits: list[tuple[int, int]], buckets: int) -> tuple[DataFrame, str]:
     """A table bucketed by ``block``: ``rows`` holds some compressed rows of one block.
 
     They are kept small (about CHUNK_BYTES of text), as readers take rows by thousands.
     """
-    edges = np.array(splits, "int64")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
-            block = np.searchsorted(edges, batch.column(batch.schema.names.index("id")).to_numpy(), side="right")
-            size = np.cumsum(pc.binary_length(batch.column(batch.schema.names.index("text"))).to_numpy(zero_copy_only=False))
+            block = common.places(batch.column("id").to_numpy(), batch.column("tie").to_numpy(), splits)
+            batch = batch.drop_columns("tie")
+            size = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False))
             order = np.lexsort((size // CHUNK_BYTES, block))
             new = (np.diff(block[order]) != 0) | (np.diff(size[order] // CHUNK_BYTES) != 0)
             cuts = [0, *(np.flatnonzero(new) + 1).tolist(), len(order)] if len(order) else []
@@ -344,7 +357,7 @@ def _blocks(docs: DataFrame, splits: list[int]) -> tuple[DataFrame, str]:
                 blob = pa.array([sink.getvalue().to_pybytes()], "binary")
                 yield pa.RecordBatch.from_arrays([pa.array([number], "int32"), blob], ["block", "rows"])
 
-    return bucketed(docs.mapInArrow(work, "block int, rows binary"), ["block"])
+    return bucketed(docs.mapInArrow(work, "block int, rows binary"), ["block"], buckets)
 
 
 class _Replies:
@@ -395,11 +408,14 @@ def _removed(df: DataFrame, length: int, block_bytes: int) -> DataFrame:
     columns = carried.columns
     doc_id, text = (f"c{df.columns.index(name)}" for name in ("doc_id", "text"))
     docs = carried.withColumns({"id": common.ids(doc_id), "text": F.coalesce(text, F.lit(""))})
-    total, count = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
-    splits = common.borders(docs.select("id"), "id", max(1, count * block_bytes // max(total, 1)))
+    docs = docs.withColumn("tie", F.xxhash64("text"))
+    sized = docs.select(F.col("id").alias("key"), "tie", (F.octet_length("text") + ROW_BYTES).cast("long").alias("size"))
+    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    splits = common.cuts(sized, total, block_bytes)
+    order = common.first_places(splits)
     # A part is one group in a task, so their number grows with the text.
     parts = max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
-    stored, name = _blocks(docs, splits)
+    stored, name = _blocks(docs, splits, -(-total // BUCKET_BYTES))
 
     def units(rows: pa.Table) -> tuple[Parsed, Keys]:
         parsed = Parsed(rows.column("id").to_pylist(), rows.column("text").to_pylist(), length)
@@ -414,17 +430,19 @@ def _removed(df: DataFrame, length: int, block_bytes: int) -> DataFrame:
         parsed, keys = anchored(rows, replies)
         return parsed, Strings(parsed, *keys.flags(replies.of("anchor"), 2), parts)
 
-    def block_of(table: pa.Table) -> int:
-        return table.column("block")[0].as_py()
+    def block_of(table: pa.Table) -> tuple[int, int]:
+        """The number of a block, and the first block of its id."""
+        block = table.column("block")[0].as_py()
+        return block, int(order[block])
 
     def ask_units(table: pa.Table) -> pa.Table:
-        return units(_unpacked(table))[1].requests(block_of(table))
+        return units(_unpacked(table))[1].requests(*block_of(table))
 
     def ask_anchors(table: pa.Table, replies: pa.Table) -> pa.Table:
-        return anchored(_unpacked(table), _Replies(replies))[1].requests(block_of(table))
+        return anchored(_unpacked(table), _Replies(replies))[1].requests(*block_of(table))
 
     def ask_strings(table: pa.Table, replies: pa.Table) -> pa.Table:
-        return strings(_unpacked(table), _Replies(replies))[1].requests(block_of(table))
+        return strings(_unpacked(table), _Replies(replies))[1].requests(*block_of(table))
 
     def results(table: pa.Table, replies: pa.Table) -> pa.Table:
         docs, found = _unpacked(table), _Replies(replies)

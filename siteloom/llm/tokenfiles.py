@@ -10,14 +10,14 @@ A shard ``part-NNNNN.ids`` holds the documents of one id slice in ascending orde
              bytes an id (uint64)
 
 so a single document is read by its index row and one frame. The dictionary is trained on
-the serialized ids of ``sample`` documents (those of least hash; 4,096 ids of each at most)
-and stored once under its hash. A task writes its shard under a temporary name and renames
+the serialized ids of ``sample`` documents (those of least hash; of long ones ``WINDOWS`` windows from all
+places, 4,096 ids together) and stored once under its hash. A task writes its shard under a temporary name and renames
 it when it is whole; shards depend on the rows alone, so a repeated task writes the same
 file. ``manifest.json`` is written last, names each shard with its counts, and alone makes
 the files valid.
 
-Null texts count as empty, null ids come first (stored as the lowest long, read as null),
-rows that repeat an id are ordered by text. A very long text is one frame, which its task holds
+Slices go by rows and bytes. Null texts count as empty, null ids come first (stored as the lowest long, read as null),
+rows that repeat an id are ordered by text; an id with more rows than a slice takes has several, dealt by a hash of the text. A very long text is one frame, which its task holds
 whole. Other columns are left out, whatever their names. An empty table gives a manifest without shards.
 """
 
@@ -39,11 +39,21 @@ from siteloom.llm import common, wordtokens
 MAGIC = b"SLIDS001"
 END = 1
 INDEX = np.dtype([("id", "<i8"), ("at", "<i8"), ("size", "<u4"), ("ids", "<u4")])
-SAMPLE, SAMPLE_IDS, DICTIONARY_BYTES, LEVEL = 1000, 4096, 64 * 1024, 3
+SAMPLE, SAMPLE_IDS, WINDOWS, DICTIONARY_BYTES, LEVEL = 1000, 4096, 8, 64 * 1024, 3
 
 
 def _documents(df: DataFrame) -> DataFrame:
-    return df.select(common.ids("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = df.select(common.ids("doc_id").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    return docs.withColumn("tie", F.xxhash64("text"))
+
+
+def windows(ids: np.ndarray) -> np.ndarray:
+    """All ids of a document, or windows at even distances of a long one."""
+    if len(ids) <= SAMPLE_IDS:
+        return ids
+    width = SAMPLE_IDS // WINDOWS
+    starts = np.arange(WINDOWS) * (len(ids) - width) // (WINDOWS - 1)
+    return ids[(starts[:, None] + np.arange(width)).ravel()]
 
 
 def train(df: DataFrame, vocabulary: str, end: int = END, sample: int = SAMPLE) -> bytes:
@@ -54,10 +64,13 @@ def train(df: DataFrame, vocabulary: str, end: int = END, sample: int = SAMPLE)
         encode = wordtokens.encoder(vocabulary)
         for batch in batches:
             runs = encode.ids(batch["text"].tolist())
-            yield pd.DataFrame({"ids": [wordtokens.with_end(r, end)[:SAMPLE_IDS].tobytes() for r in runs]})
+            yield pd.DataFrame({"ids": [windows(wordtokens.with_end(r, end)).tobytes() for r in runs]})
 
-    chosen = _documents(df).orderBy(F.xxhash64("key", "text"), "key").limit(sample)
-    samples = [r[0] for r in chosen.repartition(8).mapInPandas(serialized, "ids binary").collect()]
+    docs = _documents(df).withColumn("rank", F.xxhash64("key", "text"))
+    # The sample is chosen by hashes alone; its texts are found by them, equal rows once.
+    chosen = docs.select("rank", "key").orderBy("rank", "key").limit(sample).distinct()
+    texts = docs.join(F.broadcast(chosen), ["rank", "key"], "left_semi").select("text").distinct()
+    samples = [r[0] for r in texts.mapInPandas(serialized, "ids binary").collect()]
     samples.sort(key=lambda x: (hashlib.sha256(x).digest(), x))  # training depends on the order
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
@@ -80,7 +93,10 @@ def write(df: DataFrame, folder: str, vocabulary: str, end: int = END, rows: int
     files.create_dir(root, recursive=True)
     with files.open_output_stream(f"{root}/dictionary-{digest.hex()}") as out:
         out.write(dictionary)
-    splits = common.borders(docs, "key", rows)
+    each = common.SLICE_BYTES // rows  # so a slice has ``rows`` rows at most, or SLICE_BYTES of text
+    sized = docs.select("key", "tie", (F.octet_length("text") + each).cast("long").alias("size"))
+    total = sized.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    splits = common.cuts(sized, total, common.SLICE_BYTES)
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zstandard
@@ -120,7 +136,7 @@ def write(df: DataFrame, folder: str, vocabulary: str, end: int = END, rows: int
             {"slice": [number], "name": [name], "docs": [len(rows)], "tokens": [int(rows["ids"].sum(dtype="int64"))], "bytes": [at]}
         )
 
-    shards = common.sliced(docs, "key", splits, ["key", "text"]).mapInPandas(
+    shards = common.dealt(docs, splits, ["key", "text"]).mapInPandas(
         work, "slice int, name string, docs long, tokens long, bytes long"
     )
     # A small row for each shard. They are sorted here: a sort in Spark would sample its input, and so write it twice.

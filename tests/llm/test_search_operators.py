@@ -302,6 +302,53 @@ def test_repeated_strings_parts_grow_with_the_text(spark, monkeypatch):
     assert parts["unit"] > 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_repeated_strings_of_an_id_with_many_rows(spark):
+    """Null ids fill blocks of their own, which count as one place among the ids."""
+    rng = random.Random(4)
+    passages = ["".join(rng.choices("abcd ", k=120)) for _ in range(40)]
+    rows = [(k // 3, rng.choice(passages) + str(rng.random())) for k in range(150)]
+    rows += [(None, rng.choice(passages) + str(rng.random())) for _ in range(300)]
+    rows += [(20, rng.choice(passages) + str(rng.random())) for _ in range(200)] + [(20, rows[0][1])] * 30
+    rows += [(2**63 - 1, rng.choice(passages) + str(rng.random())) for _ in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = prefixfree.repeated(df, 50, 4000).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == brute_repeats(rows, 50)
+
+
+def test_a_third_of_all_rows_without_id_is_dealt_out(spark):
+    docs = spark.range(150_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("key"), F.col("id").cast("string").alias("text"))
+    sized = docs.select(common.ids("key").alias("key"), F.xxhash64("text").alias("tie"), (F.length("text") + 64).cast("long").alias("size"))
+    total = sized.agg(F.sum("size")).first()[0]
+    splits = common.cuts(sized, total, 100_000)
+    assert total // 100_000 <= len(splits) <= 2 * total // 100_000
+    first = common.first_places(splits)
+    assert (first[:30] == 0).all() or (first[1:30] == 1).all()
+    sizes, seen = Counter(), {}
+    for key, tie, size in sized.collect():
+        place = int(common.places(np.array([key]), np.array([tie]), splits)[0])
+        sizes[place] += size
+        assert seen.setdefault(key, first[place]) == first[place]
+    assert max(sizes.values()) < 250_000
+    ordered = [seen[key] for key in sorted(seen)]
+    assert ordered == sorted(ordered)
+
+
+def test_long_texts_are_hashed_in_windows(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcde \u00e9", k=n)) for n in (9000, 40, 0, 777, 2100)]
+    whole = prefixfree.Parsed(list(range(5)), texts)
+    whole.settle(np.arange(len(whole.starts)) % 3 == 0)
+    monkeypatch.setattr(prefixfree, "WINDOW", 500)
+    cut = prefixfree.Parsed(list(range(5)), texts)
+    assert (cut.starts == whole.starts).all() and (cut.stops == whole.stops).all()
+    cut.settle(np.arange(len(cut.starts)) % 3 == 0)
+
+    def strings(parsed):
+        return [(p + j, a) for p, n, a in zip(parsed.runs.tolist(), parsed.run_sizes.tolist(), parsed.anchors.tolist(), strict=True) for j in range(n)]
+
+    assert strings(cut) == strings(whole) and len(cut.runs) > len(whole.runs)
+
+
 def score_of(model, text):
     return float(ngrams.score_texts(model, [text])["score"][0])
 

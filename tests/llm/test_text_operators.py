@@ -130,6 +130,25 @@ def test_patterns_use_each_piece_once_with_little_padding():
         assert sum(n for _, n in found) <= total / size * 1.02 + 2
 
 
+def test_token_files_of_an_id_with_many_rows(spark, tmp_path):
+    rows = [(None if k % 3 else k, f"text {k * 7919 % 1000} of {k}") for k in range(400)] + [(3, "the same")] * 20
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    manifest = tokenfiles.write(df, str(tmp_path), WORDS, rows=30)
+    assert max(shard["docs"] for shard in manifest["shards"]) <= 80
+    got = sorted(tokenfiles.read(spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    assert [r.doc_id is not None for r in got] == [False] * 266 + [True] * 154
+    ids = [r.doc_id for r in got if r.doc_id is not None]
+    assert ids == sorted(ids) and [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
+    assert Counter((r.doc_id, bytes(r.ids)) for r in got) == Counter((i, np.array(tokens(t), "<u4").tobytes()) for i, t in rows)
+
+
+def test_the_dictionary_sees_all_places_of_a_long_document():
+    long = tokenfiles.windows(np.arange(100_000))
+    assert len(long) == tokenfiles.SAMPLE_IDS and long[0] == 0 and long[-1] == 99_999
+    assert max(np.diff(long)) < 100_000 / (tokenfiles.WINDOWS - 1)
+    assert tokenfiles.windows(np.arange(50)).tolist() == list(range(50))
+
+
 def test_token_files(odd, nothing, tmp_path):
     folder = str(tmp_path / "ids")
     manifest = tokenfiles.write(odd, folder, WORDS, rows=5)
