@@ -6,6 +6,9 @@ bound is certain, whatever the hashes are: pages beyond it cannot reach the thre
 sketches, block by block; what a block gives is no pair but each page's first link, so rows grow with the
 pages. Components of these links are the groups: two pages of different groups are below the threshold.
 
+Where texts are compared by blocks of letters, the units are their grams with repeats, cut in the task. Bits then only
+choose pairs: such a link is confirmed by the grams themselves, as a few chance links would make one group of a large key.
+
 Comparisons are pages x pages of their key and of a neighbouring length, a few machine words each, in blocks of
 bounded size that are dealt out over all tasks.
 """
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +30,18 @@ from siteloom.session import materialise
 SLICE = 1024
 LEAST_BITS, MOST_BITS = 64, 1 << 15
 CHUNK = 1 << 24
+# Bytes of one side of a block.
+SLICE_BYTES = 1 << 25
+# Letters of a gram of a text, bits of its sketch for each gram, and the most of them.
+GRAM, GRAM_BITS, MOST_GRAM_BITS = 8, 4, 1 << 20
 
 SKETCHED = "page_id long, size long, sketch binary"
 
 
-def sketch(units: np.ndarray) -> bytes:
-    """The parity sketch of an array of 64-bit hashes, with as many bits as hashes or more."""
+def sketch(units: np.ndarray, times: int = 1, most: int = MOST_BITS) -> bytes:
+    """The parity sketch of an array of 64-bit hashes, with ``times`` as many bits as hashes or more, up to ``most``."""
     bits = LEAST_BITS
-    while bits < min(len(units), MOST_BITS):
+    while bits < min(times * len(units), most):
         bits *= 2
     odd = np.bincount((units & (bits - 1)).astype("int64"), minlength=bits) & 1
     return np.packbits(odd.astype("uint8"), bitorder="little").tobytes()
@@ -53,6 +61,62 @@ def sketches(rows: DataFrame) -> DataFrame:
     return rows.select("page_id", F.coalesce("units", F.array().cast("array<bigint>")).alias("units")).mapInArrow(run, SKETCHED)
 
 
+def _grams(points: np.ndarray) -> np.ndarray:
+    """A hash of each gram of a text, in order."""
+    n = max(0, len(points) - GRAM + 1)
+    found = np.zeros(n, "uint64")
+    for k in range(GRAM):
+        found = found * np.uint64(0x9E3779B97F4A7C15) + points[k : k + n]
+    found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return found ^ (found >> np.uint64(32))
+
+
+def _anchors(points: np.ndarray) -> int:
+    """How many letters of a text the matcher of the standard library takes as anchors."""
+    counts = np.unique(points, return_counts=True)[1]
+    return int(counts[counts <= len(points) // 100 + 1].sum()) if len(points) >= 200 else len(points)
+
+
+def texts(rows: list[bytes]) -> tuple[list[bytes], np.ndarray, Callable]:
+    """Sketches of the grams of texts, their numbers of anchors, and how many grams two of them hold alone."""
+    points = [np.frombuffer(row.decode("utf-8", "replace").encode("utf-32-le"), "uint32").astype("uint64") for row in rows]
+    made = [sketch(_grams(p), GRAM_BITS, MOST_GRAM_BITS) for p in points]
+    anchors = np.array([_anchors(p) for p in points])
+    del points
+
+    @lru_cache(maxsize=64)
+    def counted(k: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(_grams(np.frombuffer(rows[k].decode("utf-8", "replace").encode("utf-32-le"), "uint32").astype("uint64")), return_counts=True)
+
+    def alone(one: int, other: int) -> int:
+        (grams, n), (asked, m) = counted(one), counted(other)
+        if not len(grams) or not len(asked):
+            return int(n.sum() + m.sum())
+        at = np.minimum(np.searchsorted(grams, asked), len(grams) - 1)
+        shared = np.where(grams[at] == asked, np.minimum(n[at], m), 0).sum()
+        return int(n.sum() + m.sum() - 2 * shared)
+
+    return made, anchors, alone
+
+
+def apart_by_blocks(threshold: float) -> Callable:
+    """The most grams that two texts may hold alone whose matching blocks reach the threshold, by lengths and anchors.
+
+    Every block but the one at the start of both texts holds an anchor of the earlier text, and a letter of one text at least
+    lies between two blocks. So blocks are few, and each end of one breaks ``GRAM - 1`` grams at most.
+    """
+    edge = GRAM - 1
+
+    def most(one: np.ndarray, other: np.ndarray, anchors: np.ndarray, other_anchors: np.ndarray) -> np.ndarray:
+        both = one + other
+        free = (1 - threshold) * both + 1e-6  # letters outside of all blocks
+        breaks = np.minimum(np.maximum(anchors, other_anchors), free)
+        bound = np.maximum(one - edge, 0) + np.maximum(other - edge, 0) - both + free + 2 * edge * (1 + breaks)
+        return np.where(np.abs(one - other) <= free, bound, -1.0)
+
+    return most
+
+
 def _folded(rows: list[bytes], width: int) -> np.ndarray:
     """Sketches as rows of ``width`` words; longer ones fold, as buckets are the low bits of a hash."""
     words = np.frombuffer(b"".join(rows), "uint64").reshape(len(rows), -1)
@@ -75,9 +139,35 @@ def _least_labels(n: int, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> np
         label = now
 
 
-def linked(size: np.ndarray, made: list[bytes], left: np.ndarray, right: np.ndarray, new: np.ndarray, apart: Callable) -> np.ndarray:
-    """For each page of a block the first page of its component, by the bound on the sketches."""
+def _confirmed(label: np.ndarray, a: np.ndarray, b: np.ndarray, confirm: Callable) -> np.ndarray:
+    """The labels with those of the links ``a, b`` that are confirmed; links within a component are not asked for."""
+    least = label.tolist()
+
+    def first(k: int) -> int:
+        while least[k] != k:
+            least[k] = least[least[k]]
+            k = least[k]
+        return k
+
+    for one, other in zip(a.tolist(), b.tolist()):
+        x, y = first(one), first(other)
+        if x != y and confirm(one, other):
+            least[max(x, y)] = min(x, y)
+    return np.array([first(k) for k in range(len(least))])
+
+
+def linked(
+    size: np.ndarray, made: list[bytes], left: np.ndarray, right: np.ndarray, new: np.ndarray, apart: Callable, confirm: Callable | None = None
+) -> np.ndarray:
+    """For each page of a block the first page of its component, by the bound on the sketches.
+
+    ``apart`` takes places of pages in the block. ``confirm`` is asked for pages that sketches would link.
+    """
     n = len(size)
+
+    def joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return _least_labels(n, a, b, label) if confirm is None else _confirmed(label, a, b, confirm)
+
     label = np.arange(n)
     words = np.array([len(m) // 8 for m in made])
     for width in np.unique(words):
@@ -98,12 +188,12 @@ def linked(size: np.ndarray, made: list[bytes], left: np.ndarray, right: np.ndar
             first = int(place[some[0]])
             one, other = some[:, None], many[None, first:]
             asked = ((left[one] & right[other]) | (right[one] & left[other])) & (new[one] | new[other]) & (place[other] > place[one])
-            most = apart(size[one], size[other])
-            asked &= np.abs(size[one] - size[other]) <= most
+            most = apart(one, other)
+            asked &= (np.abs(size[one] - size[other]) <= most) & (label[one] != label[other])
             i, j = np.nonzero(asked)
             if not len(i):
                 continue
-            if 4 * len(i) < asked.size:  # few: word by word for those alone
+            if 4 * len(i) < asked.size or 64 * width > MOST_BITS:  # few: word by word for those alone
                 for p in range(0, len(i), CHUNK // 64):
                     x, y = i[p : p + CHUNK // 64], j[p : p + CHUNK // 64]
                     for q in range(0, int(width), 32):  # ends early where a part of the bits is beyond the bound
@@ -112,17 +202,30 @@ def linked(size: np.ndarray, made: list[bytes], left: np.ndarray, right: np.ndar
                         stay = total <= most[x, y]
                         x, y = x[stay], y[stay]
                     if len(x):
-                        label = _least_labels(n, some[x], many[first + y], label)
+                        label = joined(label, some[x], many[first + y])
             else:
                 differ = np.bitwise_count(table[place[some]][:, None, :] ^ table[None, first:, :]).sum(axis=2, dtype="int64")
                 x, y = np.nonzero(asked & (differ <= most))
                 if len(x):
-                    label = _least_labels(n, some[x], many[first + y], label)
+                    label = joined(label, some[x], many[first + y])
     return label
 
 
-def _links(runs: DataFrame, apart: Callable) -> DataFrame:
-    """``a, b`` from rows ``run, page_id, is_new, side, size, sketch`` (side: 1 left, 2 right, 3 both)."""
+def _links(runs: DataFrame, apart: Callable, read: Callable | None = None) -> DataFrame:
+    """``a, b`` from rows ``run, page_id, is_new, side, size, sketch`` (side: 1 left, 2 right, 3 both).
+
+    With ``read`` the rows hold what it makes sketches of.
+    """
+
+    def label(size: np.ndarray, made: list[bytes], *sides: np.ndarray) -> np.ndarray:
+        if read is None:
+            return linked(size, made, *sides, lambda one, other: apart(size[one], size[other]))
+        made, anchors, alone = read(made)
+
+        def most(one, other):
+            return apart(size[one], size[other], anchors[one], anchors[other])
+
+        return linked(size, made, *sides, most, lambda one, other: alone(one, other) <= most(one, other))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def settled(table: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -134,10 +237,10 @@ def _links(runs: DataFrame, apart: Callable) -> DataFrame:
             for a, b in zip(borders[:-1], borders[1:]):
                 if b - a < 2:
                     continue
-                label = linked(size[a:b], made[a:b], (side[a:b] & 1) > 0, (side[a:b] & 2) > 0, new[a:b], apart)
-                moved = np.flatnonzero(label != np.arange(b - a))
+                first = label(size[a:b], made[a:b], (side[a:b] & 1) > 0, (side[a:b] & 2) > 0, new[a:b])
+                moved = np.flatnonzero(first != np.arange(b - a))
                 ones.append(page[a:b][moved])
-                others.append(page[a:b][label[moved]])
+                others.append(page[a:b][first[moved]])
             if ones:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ones)), pa.array(np.concatenate(others))], ["a", "b"])
 
@@ -187,26 +290,25 @@ def components(links: DataFrame) -> DataFrame:
         before = state
 
 
-def groups(keyed: DataFrame, sketched: DataFrame, apart: Callable, least_ratio: float) -> DataFrame:
+def groups(keyed: DataFrame, sketched: DataFrame, apart: Callable, least_ratio: float, read: Callable | None = None) -> DataFrame:
     """``page_id, group`` of pages that may reach the threshold with another one of a key; others are left out.
 
     ``keyed`` holds ``page_id, key, is_new``, ``apart`` gives the most units that two pages of given sizes may hold
     alone, and ``least_ratio`` the least smaller-to-larger ratio of sizes. Pages of a large key that may match lie in one
-    band of sizes or in neighbours.
+    band of sizes or in neighbours. With ``read``, ``sketched`` holds what sketches are made of in the task.
     """
     width = -math.log(least_ratio) * (1 + 1e-6) or 1e-9 if least_ratio > 0 else math.inf
-    rows = materialise(keyed.select("page_id", "is_new", F.xxhash64("key").alias("key")).join(sketched.select("page_id", "size"), "page_id"))
-    keys = rows.groupBy("key").agg((F.count("*") > SLICE).alias("_large"))
+    rows = materialise(keyed.select("page_id", "is_new", F.xxhash64("key").alias("key")).join(sketched.select("page_id", "size", F.octet_length("sketch").alias("bytes")), "page_id"))
+    slices = F.greatest(F.ceil(F.count("*") / SLICE), F.ceil(F.sum("bytes") / SLICE_BYTES)).cast("int")
+    keys = rows.groupBy("key").agg((slices > 1).alias("_large"))
     banded = rows.join(keys, "key").withColumn("band", F.when(F.col("_large"), F.floor(F.log(F.col("size") + 1) / F.lit(width))).otherwise(F.lit(0)))
-    cells = materialise(
-        banded.groupBy("key", "band", "_large").agg(F.ceil(F.count("*") / SLICE).cast("int").alias("n"))
-    )
+    cells = materialise(banded.groupBy("key", "band", "_large").agg(slices.alias("n")))
 
     def beside(step: int, name: str) -> DataFrame:
         return cells.where("_large").select("key", (F.col("band") + step).alias("band"), F.col("n").alias(name))
 
     around = cells.join(beside(1, "below"), ["key", "band"], "left").join(beside(-1, "above"), ["key", "band"], "left").fillna(0, ["below", "above"])
-    mine = banded.drop("_large").join(around, ["key", "band"]).withColumn("slice", F.pmod(F.xxhash64("page_id"), "n").cast("int"))
+    mine = banded.drop("_large", "bytes").join(around, ["key", "band"]).withColumn("slice", F.pmod(F.xxhash64("page_id"), "n").cast("int"))
 
     def run(band: Column, one: Column, step: int, other: Column) -> Column:
         return F.xxhash64("key", band, one, F.lit(step), other).alias("run")
@@ -223,4 +325,4 @@ def groups(keyed: DataFrame, sketched: DataFrame, apart: Callable, least_ratio:
     up = each(F.col("above"), lambda k: row(run(band, own, 1, k), F.lit(1)))
     down = each(F.col("below"), lambda k: row(run(band - 1, k, 1, own), F.lit(2)))
     runs = mine.select("page_id", "is_new", F.inline(F.concat(inside, up, down)))
-    return components(_links(runs.join(sketched, "page_id"), apart))
+    return components(_links(runs.join(sketched, "page_id"), apart, read))

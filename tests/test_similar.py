@@ -1,10 +1,12 @@
 import random
+from difflib import SequenceMatcher
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from siteloom.functions.text import characters, shingles
 from siteloom.operators import dedup, minhash, similar
+from siteloom.operators.blocks import Blocks
 
 
 def sets(rng, n):
@@ -84,3 +86,94 @@ def test_signatures_hand_over_one_column_of_hashes(spark):
     signed = minhash.signatures(docs, minhash.vocabulary(docs, 3), minhash.Scheme(num_bands=8, num_hash=32))
     plan = signed._jdf.queryExecution().executedPlan().toString()
     assert "hashes" in plan and "BroadcastHashJoin" in plan
+
+
+def prose(rng, n):
+    """Texts of frequent and rare letters, each with copies that are changed in some places."""
+    found = []
+    for _ in range(n):
+        text = "".join(rng.choices("etaoinsr zqxj,", weights=[9, 9, 8, 8, 7, 7, 6, 6, 9, 1, 1, 1, 1, 1], k=rng.choice([3, 60, 199, 200, 400, 900])))
+        found.append(text)
+        for edits in (1, 4, 12):
+            other = list(text)
+            for _ in range(edits):
+                at = rng.randrange(len(other) + 1)
+                other[at : at + rng.randint(0, 9)] = rng.choices("etaoinszq", k=rng.randint(0, 9))
+            found.append("".join(other))
+        found.append(text[len(text) // 15 :])
+    return found
+
+
+def test_groups_by_blocks_lose_no_pair(spark, monkeypatch):
+    texts = prose(random.Random(11), 24)
+    pages = spark.createDataFrame(list(enumerate(texts)), "page_id long, text string")
+    rows = pages.select("page_id", F.length("text").cast("long").alias("size"), F.col("text").cast("binary").alias("sketch"))
+    keyed = pages.select("page_id", F.lit("k").alias("key"), F.lit(True).alias("is_new"))
+    likeness = dedup.matching_blocks(autojunk=True)
+    ratio = {(b, a): SequenceMatcher(None, texts[b], texts[a]).ratio() for b in range(len(texts)) for a in range(b)}
+    for size, size_bytes, threshold in ((1024, 4000, 0.9), (16, 1 << 25, 0.75)):
+        monkeypatch.setattr(similar, "SLICE", size)
+        monkeypatch.setattr(similar, "SLICE_BYTES", size_bytes)
+        found = similar.groups(keyed, rows, likeness.apart(threshold), likeness.units_ratio(threshold), likeness.texts).collect()
+        group = {r.page_id: r.group for r in found}
+        near = [pair for pair, value in ratio.items() if value >= threshold]
+        assert len(near) > 30 and all(b in group and group[b] == group.get(a) for b, a in near)
+        # Long texts of different origin are apart.
+        assert len({group.get(k, -k) for k in range(len(texts)) if len(texts[k]) > 350}) > 5 or threshold < 0.9
+
+
+def test_blocks_equal_the_standard_matcher():
+    rng = random.Random(9)
+    scripts = ["etaoinsr zqxj,", "abzq", "".join(map(chr, range(0x4E00, 0x4E00 + 300)))]
+    for k in range(150):
+        letters = scripts[k % 3]
+        weights = [1 + 8 * (n % 2) for n in range(len(letters))]
+        one = "".join(rng.choices(letters, weights, k=rng.choice([0, 1, 199, 200, 400, 900])))
+        at = rng.randint(0, len(one))
+        other = one[at:] + "".join(rng.choices(letters, k=rng.randint(0, 9))) + one[: at // (1 + k % 5)]
+        for a, b in ((one, other), (other, one), (one, one[:at] + "q" + one[at:])):
+            want = sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks())
+            assert Blocks(b, True).letters(a, 0) == want
+            assert Blocks(b, True).letters(a, want) == want
+
+
+def test_ratio_ends_early_and_stays_exact(spark):
+    texts = prose(random.Random(2), 8)
+    pairs = [(a, b) for a in texts for b in texts] + [("", ""), ("", "a")]
+    df = spark.createDataFrame(pairs, "a string, b string").coalesce(1)
+    for autojunk in (True, False):
+        want = [SequenceMatcher(None, a, b, autojunk).ratio() for a, b in pairs]
+        likeness = dedup.matching_blocks(autojunk=autojunk)
+        assert [r[0] for r in df.select(likeness.score(F.col("a"), F.col("b"))).collect()] == want
+        got = [r[0] for r in df.select(likeness.score(F.col("a"), F.col("b"), 0.9)).collect()]
+        assert all(value == score if score >= 0.9 else value is None or value == score for value, score in zip(got, want))
+        assert sum(value is None for value in got) > len(pairs) / 2
+
+
+def test_unlike_long_texts_of_one_key_are_not_paired(spark, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinsr", k=5)) + rng.choice(["", "", "", ",", "q"]) for _ in range(400)]
+    rows = [(k, " ".join(rng.choices(words, k=200))) for k in range(60)]
+    rows += [(100 + k, rows[k][1] + " end") for k in range(10)]
+    texts = dict(rows)
+    pages = spark.createDataFrame(rows, "page_id long, text string")
+    vocab = spark.createDataFrame([("eta", 0, 1), ("oin", 1, 1), (" ", 2, 1), (words[0][:3], 3, 1)], "gram string, idx long, n long")
+    scheme = minhash.Scheme(num_bands=1, num_hash=1)
+    sigs = {r.page_id: r.sig for r in minhash.signatures(pages, vocab, scheme, doc_id="page_id").where("has_units").collect()}
+    want = {}
+    for page in sorted(sigs):
+        for other in sorted(p for p in sigs if p < page and p not in want and sigs[p] == sigs[page]):
+            score = SequenceMatcher(None, texts[page], texts[other]).ratio()
+            if score >= 0.9:
+                want[page] = (other, score)
+                break
+    counted, verify = [], dedup._verify
+
+    def watched(pairs, *rest):
+        counted.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(dedup, "_verify", watched)
+    found = dedup.near_duplicates(pages, vocab, scheme, similarity=dedup.matching_blocks(autojunk=True)).collect()
+    assert {r.page_id: (r.orig_id, r.score) for r in found} == want
+    assert len(want) > 3 and sum(counted) < 60  # all pairs of the keys are hundreds
