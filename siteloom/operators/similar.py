@@ -6,6 +6,9 @@ bound is certain, whatever the hashes are: pages beyond it cannot reach the thre
 sketches, block by block; what a block gives is no pair but each page's first link, so rows grow with the
 pages. Components of these links are the groups: two pages of different groups are below the threshold.
 
+A group may be a chain of pages of which few reach the threshold with each other. So the pairs that are asked for within it
+pass the same bound once more, by sketches of one length (:func:`pairs`).
+
 Where texts are compared by blocks of letters, the units are their grams with repeats, cut in the task. Bits then only
 choose pairs: such a link is confirmed by the grams themselves, as a few chance links would make one group of a large key.
 
@@ -32,22 +35,24 @@ LEAST_BITS, MOST_BITS = 64, 1 << 15
 CHUNK = 1 << 24
 # Bytes of one side of a block.
 SLICE_BYTES = 1 << 25
+# Bits of a sketch of one length for all pages.
+PAIR_BITS = 1 << 11
 # Letters of a gram of a text, bits of its sketch for each gram, and the most of them.
 GRAM, GRAM_BITS, MOST_GRAM_BITS = 8, 4, 1 << 20
 
 SKETCHED = "page_id long, size long, sketch binary"
 
 
-def sketch(units: np.ndarray, times: int = 1, most: int = MOST_BITS) -> bytes:
-    """The parity sketch of an array of 64-bit hashes, with ``times`` as many bits as hashes or more, up to ``most``."""
-    bits = LEAST_BITS
+def sketch(units: np.ndarray, times: int = 1, most: int = MOST_BITS, least: int = LEAST_BITS) -> bytes:
+    """The parity sketch of an array of 64-bit hashes, with ``times`` as many bits as hashes or more, ``least`` to ``most``."""
+    bits = least
     while bits < min(times * len(units), most):
         bits *= 2
     odd = np.bincount((units & (bits - 1)).astype("int64"), minlength=bits) & 1
     return np.packbits(odd.astype("uint8"), bitorder="little").tobytes()
 
 
-def sketches(rows: DataFrame) -> DataFrame:
+def sketches(rows: DataFrame, least: int = LEAST_BITS, most: int = MOST_BITS) -> DataFrame:
     """``page_id, size, sketch`` of rows ``page_id, units`` (distinct units, hashed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,7 +60,7 @@ def sketches(rows: DataFrame) -> DataFrame:
             units = batch.column(1)
             flat, ends = units.values.to_numpy(zero_copy_only=False), units.offsets.to_numpy()
             sizes = np.diff(ends).astype("int64")
-            made = [sketch(flat[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+            made = [sketch(flat[a:b], 1, most, least) for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())], ["page_id", "size", "sketch"])
 
     return rows.select("page_id", F.coalesce("units", F.array().cast("array<bigint>")).alias("units")).mapInArrow(run, SKETCHED)
@@ -211,6 +216,23 @@ def linked(
     return label
 
 
+def _whole_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of whole runs from batches that are sorted by their first column."""
+    held: list[pa.RecordBatch] = []  # rows of a run that may go on in the next batch
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        at = batch.column(0).to_numpy()
+        new_from = int(np.searchsorted(at, at[-1]))  # the last run starts here, as rows are sorted
+        if held and held[-1].column(0)[-1].as_py() == at[-1]:
+            held.append(batch)
+            continue
+        yield pa.Table.from_batches([*held, batch.slice(0, new_from)])
+        held = [batch.slice(new_from)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _links(runs: DataFrame, apart: Callable, read: Callable | None = None) -> DataFrame:
     """``a, b`` from rows ``run, page_id, is_new, side, size, sketch`` (side: 1 left, 2 right, 3 both).
 
@@ -244,24 +266,84 @@ def _links(runs: DataFrame, apart: Callable, read: Callable | None = None) -> Da
             if ones:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ones)), pa.array(np.concatenate(others))], ["a", "b"])
 
-        held: list[pa.RecordBatch] = []  # rows of a run that may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            at = batch.column(0).to_numpy()
-            new_from = int(np.searchsorted(at, at[-1]))  # the last run starts here, as rows are sorted
-            if held and held[-1].column(0)[-1].as_py() == at[-1]:
-                held.append(batch)
-                continue
-            yield from settled(pa.Table.from_batches([*held, batch.slice(0, new_from)]))
-            held = [batch.slice(new_from)]
-        if held:
-            yield from settled(pa.Table.from_batches(held))
+        for table in _whole_runs(batches):
+            yield from settled(table)
 
     dealt = runs.repartition("run").sortWithinPartitions("run")
     return dealt.select("run", "page_id", "is_new", "side", "size", "sketch").mapInArrow(run, "a long, b long")
 
 
+def near_rows(
+    size: np.ndarray, table: np.ndarray, order: np.ndarray, bands: np.ndarray | None, later: np.ndarray, kept: np.ndarray, apart: Callable
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of ``later`` and ``kept`` rows of a key that the bound on sketches of one length allows.
+
+    ``order`` tells which page comes first. Pairs that share one of ``bands`` are left out.
+    """
+    step = max(1, CHUNK // (8 * len(kept)))
+    for k in range(0, len(later), step):
+        one, other = later[k : k + step, None], kept[None, :]
+        asked = (order[other] < order[one]) & (np.abs(size[one] - size[other]) <= apart(size[one], size[other]))
+        i, j = np.nonzero(asked)
+        for p in range(0, len(i), CHUNK // 256):
+            x, y = later[k + i[p : p + CHUNK // 256]], kept[j[p : p + CHUNK // 256]]
+            if bands is not None:
+                first = ~(bands[x] == bands[y]).any(axis=1)
+                x, y = x[first], y[first]
+            near = np.bitwise_count(table[x] ^ table[y]).sum(axis=1, dtype="int64") <= apart(size[x], size[y])
+            if near.any():
+                yield x[near], y[near]
+
+
+def pairs(rows: DataFrame, apart: Callable) -> DataFrame:
+    """``page_id, orig_id, orig_new, key`` of rows ``key, _salt, side, page_id, is_new, size, sketch, before``.
+
+    Side 1 are later pages, side 2 those they are compared with; sketches are of one length. ``before`` are the bands
+    before the key's own (or NULL): a pair counts at the first band that it shares.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _whole_runs(batches):
+            if not whole.num_rows:
+                continue
+            page, new, side, size = (whole[name].to_numpy() for name in ("page_id", "is_new", "side", "size"))
+            table = np.frombuffer(b"".join(whole["sketch"].to_pylist()), "uint64").reshape(len(page), -1)
+            before = whole["before"].to_pylist()
+            # Runs are hashes, so the keys themselves tell where the next one starts.
+            at, key, salt = (whole[name].to_numpy() for name in ("run", "key", "_salt"))
+            moved = (at[1:] != at[:-1]) | (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])
+            borders = [0, *(np.flatnonzero(moved) + 1), len(page)]
+            # Rows of one page have one place, so that none of them comes before another.
+            by = np.lexsort((page, new))
+            order = np.empty(len(page), "int64")
+            order[by] = np.cumsum(np.concatenate([[False], (page[by][1:] != page[by][:-1]) | (new[by][1:] != new[by][:-1])]))
+            ones, others, n = [], [], 0
+
+            def found() -> pa.RecordBatch:
+                x, y = np.concatenate(ones), np.concatenate(others)
+                taken = [pa.array(page[x]), pa.array(page[y]), pa.array(new[y]), pa.array(key[x], pa.string())]
+                return pa.RecordBatch.from_arrays(taken, ["page_id", "orig_id", "orig_new", "key"])
+
+            for a, b in zip(borders[:-1], borders[1:]):
+                later = np.flatnonzero((side[a:b] == 1) & new[a:b])
+                kept = np.flatnonzero(side[a:b] == 2)
+                if not len(later) or not len(kept):
+                    continue
+                bands = np.array(before[a:b], "int64") if before[a] else None
+                for x, y in near_rows(size[a:b], table[a:b], order[a:b], bands, later, kept, apart):
+                    ones.append(a + x)
+                    others.append(a + y)
+                    n += len(x)
+                    if n >= CHUNK // 64:
+                        yield found()
+                        ones, others, n = [], [], 0
+            if n:
+                yield found()
+
+    dealt = rows.withColumn("run", F.xxhash64("key", "_salt")).repartition("run").sortWithinPartitions("run", "key", "_salt")
+    return dealt.select("run", "key", "_salt", "side", "page_id", "is_new", "size", "sketch", "before").mapInArrow(run, "page_id long, orig_id long, orig_new boolean, key string")
+
+
 def _toward(edges: DataFrame) -> DataFrame:
     """Every page's larger neighbours become neighbours of its least one."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

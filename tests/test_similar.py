@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from siteloom.functions.text import characters, shingles
 from siteloom.operators import dedup, minhash, similar
 from siteloom.operators.blocks import Blocks
+from siteloom.session import materialise
 
 
 def sets(rng, n):
@@ -177,3 +178,61 @@ def test_unlike_long_texts_of_one_key_are_not_paired(spark, monkeypatch):
     found = dedup.near_duplicates(pages, vocab, scheme, similarity=dedup.matching_blocks(autojunk=True)).collect()
     assert {r.page_id: (r.orig_id, r.score) for r in found} == want
     assert len(want) > 3 and sum(counted) < 60  # all pairs of the keys are hundreds
+
+
+def test_pages_of_a_chain_are_not_all_paired(spark, monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(400)]
+    # Neighbours are alike, so that all pages are one group, while most of its pages are not.
+    texts = {k: "zz " + " ".join(words[2 * at : 2 * at + 100]) for k, at in enumerate(rng.sample(range(60), 60))}
+    pages = spark.createDataFrame(list(texts.items()), "page_id long, text string")
+    vocab = spark.createDataFrame([("zz ", 0, 1)], "gram string, idx long, n long")
+    grams = {k: {t[i : i + 3] for i in range(len(t) - 2)} for k, t in texts.items()}
+    kept, want = [], {}
+    for page in range(60):
+        near = [k for k in kept if len(grams[page] & grams[k]) / len(grams[page] | grams[k]) >= 0.9]
+        if near:
+            want[page] = near[0]
+        else:
+            kept.append(page)
+    counted, verify = [], dedup._verify
+
+    def watched(pairs, *rest):
+        counted.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(dedup, "_verify", watched)
+    scheme = minhash.Scheme(num_bands=2, num_hash=2)
+    found = dedup.near_duplicates(pages, vocab, scheme, similarity=dedup.shingle_jaccard(), match="any_band").collect()
+    assert {r.page_id: r.orig_id for r in found} == want and len(kept) > 12
+    assert sum(counted) < 4 * len(texts)  # all pairs of the group are 1,770
+
+
+def test_pairs_lose_nothing_and_count_once(spark, monkeypatch):
+    rng = random.Random(8)
+    units = [u for u in sets(rng, 30) if u]
+    bands = [[rng.randint(0, 1) for _ in range(3)] for _ in units]
+    rows = spark.createDataFrame([(k, k % 3 > 0, sorted(u), b) for k, (u, b) in enumerate(zip(units, bands))], "page_id long, is_new boolean, units array<long>, bands array<long>")
+    made = similar.sketches(rows.select("page_id", "units"), similar.PAIR_BITS, similar.PAIR_BITS)
+    members = rows.join(made, "page_id").select("page_id", "is_new", "bands", F.struct("size", "sketch").alias("profile"), F.posexplode("bands").alias("no", "band"))
+    members = materialise(members.withColumn("key", F.concat_ws(":", "no", "band")))
+    likeness = dedup.shingle_jaccard()
+    want = {(b, a) for b in range(len(units)) for a in range(len(units)) if b % 3 and (a % 3 > 0, a) < (True, b) and len(units[a] & units[b]) >= 0.8 * len(units[a] | units[b])}
+    shared = {(b, a) for b, a in want if any(x == y for x, y in zip(bands[a], bands[b]))}
+    for hot_rows, chunk in ((10**6, similar.CHUNK), (7, 300)):
+        monkeypatch.setattr(similar, "CHUNK", chunk)
+        got = dedup._candidates(members, members, likeness, 0.8, hot_rows).collect()
+        pairs = [(r.page_id, r.orig_id) for r in got]
+        assert len(set(pairs)) == len(pairs) < 3 * len(shared) and shared <= set(pairs) and len(shared) > 3
+        for r in got:
+            same = [x == y for x, y in zip(bands[r.page_id], bands[r.orig_id])]
+            assert r.key == f"{same.index(True)}:{bands[r.page_id][same.index(True)]}" and r.orig_new == (r.orig_id % 3 > 0)
+
+
+def test_signatures_by_a_table_equal_those_by_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "abcdef"), (2, "a😀b"), (3, None), (4, "xbcd"), (4, "def"), (None, "cde")], "doc_id long, text string")
+    vocab = spark.createDataFrame([("abc", 0), ("bcd", 7), ("a😀b", 3), (" ", 1), ("def", None), ("cde", 2), ("cde", 5)], "gram string, idx long")
+    scheme = minhash.Scheme(num_bands=2, num_hash=4)
+    one = sorted(map(str, minhash.signatures(docs, vocab, scheme).collect()))
+    monkeypatch.setattr(minhash, "TABLE_BYTES", 0)
+    assert sorted(map(str, minhash.signatures(docs, vocab, scheme).collect())) == one and len(one) == 5
